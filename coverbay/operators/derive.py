@@ -93,24 +93,33 @@ def client_years(clients: DataFrame, last_year: int) -> DataFrame:
 def remaining_capacity(clients: DataFrame, policies: DataFrame, last_year: int) -> DataFrame:
     """Capacity of each client and year less the policies taken out in earlier years.
 
-    Policies are counted per client and year first, on the map side, so a client with very many
-    policies is a handful of rows when it meets the client table.
+    Capacities and policies meet in one aggregate by client and year, combined on the map side: a
+    client with very many policies is a handful of rows per task, and one per year afterwards.
     """
-    taken = policies.groupBy("client_id", F.year("effective_date").alias("year")).agg(
-        F.count("*").alias("taken")
+    capacities = client_years(clients, last_year).select(
+        "client_id", "year", "capacity", F.lit(0).alias("taken")
+    )
+    taken = policies.select(
+        "client_id",
+        F.year("effective_date").alias("year"),
+        F.lit(None).cast("int").alias("capacity"),
+        F.lit(1).alias("taken"),
+    )
+    by_year = (
+        capacities.unionByName(taken)
+        .groupBy("client_id", "year")
+        .agg(F.max("capacity").alias("capacity"), F.sum("taken").alias("taken"))
     )
     earlier = (
         Window.partitionBy("client_id")
         .orderBy("year")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow - 1)
     )
-    by_year = client_years(clients, last_year).join(taken, ["client_id", "year"], "left")
-    return by_year.select(
-        "client_id",
-        "year",
-        "capacity",
-        F.coalesce(F.sum("taken").over(earlier), F.lit(0)).alias("held"),
-    ).withColumn("remaining", F.col("capacity") - F.col("held"))
+    held = F.coalesce(F.sum("taken").over(earlier), F.lit(0))
+    with_held = by_year.withColumn("held", held).where(F.col("capacity").isNotNull())
+    return with_held.select(
+        "client_id", "year", "capacity", "held", (F.col("capacity") - F.col("held")).alias("remaining")
+    )
 
 
 def capacity_shortfall(clients: DataFrame, policies: DataFrame, last_year: int) -> DataFrame:

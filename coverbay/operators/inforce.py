@@ -69,6 +69,18 @@ class Calendar:
             raise CalendarGap(f"{rows} rows from {first} to {last}")
         return cls(dim_time, first, last)
 
+    def of_year(self, year: int) -> Calendar:
+        """The part of the calendar in one year.
+
+        A view over it equals the view over the whole calendar filtered to the year, but policies
+        and claims outside the year are already left out when the facts are read.
+        """
+        return Calendar(
+            self.table.where(F.col("year") == year),
+            max(self.first_day, datetime.date(year, 1, 1)),
+            min(self.last_day, datetime.date(year, 12, 31)),
+        )
+
     def key_range(self) -> tuple[int, int]:
         """First and last day as ``yyyymmdd`` keys."""
         return int(f"{self.first_day:%Y%m%d}"), int(f"{self.last_day:%Y%m%d}")
@@ -90,6 +102,9 @@ def terms_in_calendar(policies: DataFrame, calendar: Calendar, null_expiration:
     in_calendar = (effective <= last_key) & F.coalesce(
         (expiration >= first_key) & (expiration >= effective), F.lit(True)
     )
+    if "policy_year" in policies.columns:
+        # the partition column of the stored table: later years are not read at all
+        in_calendar &= F.coalesce(F.col("policy_year") <= calendar.last_day.year, F.lit(True))
     starts = effective >= first_key
     ends = F.coalesce(expiration <= last_key, F.lit(False))
     return policies.where(in_calendar).withColumns(

@@ -261,7 +261,12 @@ def risk_daily(
         InForceSum("new_scored", new_score.isNotNull().cast("int")),
     ]
     facts = star["fact_policies"].select(
-        "policy_id", "product_key", "effective_date_key", "expiration_date_key", "risk_score"
+        "policy_id",
+        "product_key",
+        "effective_date_key",
+        "expiration_date_key",
+        "policy_year",
+        "risk_score",
     )
     headers = star["dim_policies"].select("policy_id", *GEOGRAPHY, "is_renewal")
     rows = _line_in_force(

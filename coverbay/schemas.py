@@ -5,11 +5,40 @@ Every reader passes one of these schemas; nothing is inferred from data.
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    BooleanType,
+    DateType,
+    DecimalType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructType,
+)
+
+TYPES = {
+    "string": StringType(),
+    "int": IntegerType(),
+    "bigint": LongType(),
+    "date": DateType(),
+    "boolean": BooleanType(),
+    "decimal(4,2)": DecimalType(4, 2),
+    "decimal(6,4)": DecimalType(6, 4),
+    "decimal(18,2)": DecimalType(18, 2),
+    "decimal(18,6)": DecimalType(18, 6),
+}
+
+
+def _schema(text: str) -> StructType:
+    """Schema of ``name type`` pairs; unlike ``fromDDL`` it needs no running session."""
+    words = text.replace(", ", " ").split()
+    schema = StructType()
+    for name, type_name in zip(words[::2], words[1::2]):
+        schema = schema.add(name, TYPES[type_name.rstrip(",")])
+    return schema
 
 
-def _schemas(ddl: dict[str, str]) -> dict[str, StructType]:
-    return {name: StructType.fromDDL(text) for name, text in ddl.items()}
+def _schemas(tables: dict[str, str]) -> dict[str, StructType]:
+    return {name: _schema(text) for name, text in tables.items()}
 
 
 RAW = _schemas(
@@ -71,6 +100,11 @@ FACTS = [name for name in STAR if name.startswith("fact_")]
 VIEWS = ["exec_portfolio", "claims_loss", "operations_daily", "risk_daily"]
 
 PRIMARY_KEY = {
+    "clients": "client_id",
+    "policies": "policy_id",
+    "claims": "claim_id",
+    "expenses": "expense_id",
+    "taxes": "tax_id",
     "dim_time": "date_key",
     "dim_state": "state_code",
     "dim_clients": "client_id",

@@ -203,9 +203,8 @@ def _expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _taxes(spark: SparkSession, sf_dir: str, policies: DataFrame) -> DataFrame:
     tiers = states(spark, sf_dir).select("state_code", "market_tier")
-    factor = (F.col("o_orderkey") % 11).cast("int") * F.lit("0.01").cast("decimal(4,2)") + F.lit(
-        "0.95"
-    ).cast("decimal(4,2)")
+    hundredth = F.lit("0.01").cast("decimal(4,2)")
+    factor = ((F.col("o_orderkey") % 11 + 95) * hundredth).cast("decimal(4,2)")
     taxed = derive.premium_tax(
         policies.join(tiers, "state_code"), default_parameters(spark).tax_rates, factor
     )
