@@ -23,10 +23,11 @@ from __future__ import annotations
 
 import datetime
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from coverbay.functions.dates import key_date, month_start
+from coverbay.functions.dates import date_key, key_date, month_start
 
 PER_POLICY = "policy"
 PER_DAY = "day"
@@ -45,29 +46,46 @@ class InForceSum:
     null_if_empty: bool = False
 
 
-class CalendarGap(Exception):
-    """A calendar that is not one row per day."""
+class BadCalendar(Exception):
+    """A calendar that is not one row per day, or whose columns disagree with its dates."""
+
+
+def calendar_columns(day: Column) -> list[Column]:
+    """Year, month and ``yyyy-MM`` text of a day, as the calendar table holds them."""
+    return [
+        F.year(day).alias("year"),
+        F.month(day).alias("month"),
+        F.date_format(day, "yyyy-MM").alias("year_month"),
+    ]
 
 
 @dataclass(frozen=True)
 class Calendar:
-    """A calendar table and its first and last day.
+    """First and last day of a calendar table that has one row for every day between them.
 
-    The two days are fetched by one aggregate when the calendar is taken, so that views compare
-    keys with literals: such filters reach the Parquet scan of the facts.
+    The days are fetched by one aggregate over the calendar table. Views then compare keys with
+    literals, so such filters reach the Parquet scan of the facts, and derive calendar columns
+    from the day instead of joining them: the aggregate has checked that both give the same.
     """
 
-    table: DataFrame
     first_day: datetime.date
     last_day: datetime.date
 
     @classmethod
     def of(cls, dim_time: DataFrame) -> Calendar:
-        first, last, rows = dim_time.agg(F.min("full_date"), F.max("full_date"), F.count("*")).first()
-        if rows == 0 or rows != (last - first).days + 1:
-            # running sums would disagree with a join on the calendar's days
-            raise CalendarGap(f"{rows} rows from {first} to {last}")
-        return cls(dim_time, first, last)
+        derived = calendar_columns(F.col("full_date"))
+        names = ["year", "month", "year_month"]
+        agrees = [F.col(name).eqNullSafe(value) for name, value in zip(names, derived)]
+        agrees.append(F.col("date_key").eqNullSafe(date_key(F.col("full_date"))))
+        first, last, rows, wrong = dim_time.agg(
+            F.min("full_date"),
+            F.max("full_date"),
+            F.count("*"),
+            F.count_if(~reduce(lambda a, b: a & b, agrees)),
+        ).first()
+        if rows == 0 or rows != (last - first).days + 1 or wrong:
+            raise BadCalendar(f"{rows} rows from {first} to {last}, {wrong} disagree with their date")
+        return cls(first, last)
 
     def of_year(self, year: int) -> Calendar:
         """The part of the calendar in one year.
@@ -76,7 +94,6 @@ class Calendar:
         and claims outside the year are already left out when the facts are read.
         """
         return Calendar(
-            self.table.where(F.col("year") == year),
             max(self.first_day, datetime.date(year, 1, 1)),
             min(self.last_day, datetime.date(year, 12, 31)),
         )

@@ -4,7 +4,7 @@ A stage reads each table once per kind of rule, whatever the number of its rules
 
 * row rules of a table share one aggregate, which yields one row;
 * key rules (unique, reference) of all tables share one aggregate by (domain, key). A domain is a
-  primary key; its own table and every column that refers to it count their keys into it. Keys
+  primary key, as a number; its own table and every column that refers to it count their keys into it. Keys
   are combined on the map side, so a key that fills a third of a table is one row per task, and
   no join is needed to find keys without a parent;
 * a share rule counts its two tables.
@@ -183,12 +183,13 @@ def _key_results(rules: list[Rule], tables: dict[str, DataFrame]) -> list[DataFr
         roles[rule.parent].append((rule.table, rule.column))
     roles = {domain: list(dict.fromkeys(columns)) for domain, columns in roles.items()}
     width = max(len(columns) for columns in roles.values())
+    number = {domain: i for i, domain in enumerate(roles)}
 
     keys = []
     for table in dict.fromkeys(t for columns in roles.values() for t, _ in columns):
         entries = [
             F.struct(
-                F.lit(domain).alias("domain"),
+                F.lit(number[domain]).alias("domain"),
                 F.lit(role).alias("role"),
                 F.col(column).cast("string").alias("key"),
             )
@@ -228,7 +229,9 @@ def _key_results(rules: list[Rule], tables: dict[str, DataFrame]) -> list[DataFr
         results.append((rule.parent, rule.rule_id, F.col(f"{prefix}{rule.count}{role}")))
     entries = [
         F.struct(
-            F.lit(domain).alias("rule_domain"), F.lit(rule_id).alias("rule_id"), total.alias("violations")
+            F.lit(number[domain]).alias("rule_domain"),
+            F.lit(rule_id).alias("rule_id"),
+            total.alias("violations"),
         )
         for domain, rule_id, total in results
     ]
@@ -242,23 +245,29 @@ def _key_results(rules: list[Rule], tables: dict[str, DataFrame]) -> list[DataFr
 
 def run_rules(
     spark: SparkSession,
-    stage: str,
-    rules: list[Rule],
+    stages: dict[str, list[Rule]],
     tables: dict[str, DataFrame],
-    presence: tuple[str, list[str]] | None = None,
+    presence: dict[str, tuple[str, list[str]]] | None = None,
 ) -> DataFrame:
-    """One report row per rule. Nothing stops early: a rule that cannot run is reported as failed
-    with NULL violations. ``presence`` is a rule id and the names expected among ``tables``."""
+    """One report row per rule of the named stages, which share their passes over the tables.
+
+    Nothing stops early: a rule that cannot run is reported as failed with NULL violations.
+    ``presence`` gives, per stage, a rule id and the names expected among ``tables``.
+    """
+    rules = [rule for of_stage in stages.values() for rule in of_stage]
     runnable = [rule for rule in rules if _runnable(rule, tables)]
     ran = {rule.rule_id for rule in runnable}
-    declared = [(stage, r.table, r.rule_id, r.severity, r.rule_id in ran) for r in rules]
+    declared = [
+        (stage, rule.table, rule.rule_id, rule.severity, rule.rule_id in ran)
+        for stage, of_stage in stages.items()
+        for rule in of_stage
+    ]
     known = [
         (rule.rule_id, len(set(rule.required) - set(tables[rule.table].columns)))
         for rule in runnable
         if isinstance(rule, Columns)
     ]
-    if presence is not None:
-        rule_id, expected = presence
+    for stage, (rule_id, expected) in (presence or {}).items():
         declared.append((stage, "*", rule_id, FAIL, True))
         known.append((rule_id, len(set(expected) - set(tables))))
 
@@ -459,27 +468,50 @@ def constraint_rules() -> list[Rule]:
     ]
 
 
+PRESENCE = {
+    "raw": ("V-R1", list(RAW)),
+    "star": ("V-N1", list(STAR)),
+    "loaded": ("V-L11", [*STAR, *VIEWS]),
+}
+
+
+def _present(*stages: str) -> dict[str, tuple[str, list[str]]]:
+    return {stage: PRESENCE[stage] for stage in stages}
+
+
 def check_raw(spark: SparkSession, raw: dict[str, DataFrame], bounds: Bounds = Bounds()) -> DataFrame:
-    return run_rules(spark, "raw", raw_rules(bounds), raw, ("V-R1", list(RAW)))
+    return run_rules(spark, {"raw": raw_rules(bounds)}, raw, _present("raw"))
 
 
 def check_star(spark: SparkSession, star: dict[str, DataFrame]) -> DataFrame:
-    return run_rules(spark, "star", star_rules(), star, ("V-N1", list(STAR)))
+    return run_rules(spark, {"star": star_rules()}, star, _present("star"))
 
 
 def check_constraints(spark: SparkSession, star: dict[str, DataFrame]) -> DataFrame:
-    return run_rules(spark, "ddl", constraint_rules(), star)
+    return run_rules(spark, {"ddl": constraint_rules()}, star)
 
 
 def check_loaded(
     spark: SparkSession, star: dict[str, DataFrame], views: dict[str, DataFrame]
 ) -> DataFrame:
     """Loaded tables and views. A view is run for one row; an empty view only warns."""
-    expected = ("V-L11", [*STAR, *VIEWS])
-    report = run_rules(spark, "loaded", loaded_rules(), {**star, **views}, expected)
+    report = run_rules(spark, {"loaded": loaded_rules()}, {**star, **views}, _present("loaded"))
+    return _union([report, *_view_probes(views)])
+
+
+def check_written(
+    spark: SparkSession, star: dict[str, DataFrame], views: dict[str, DataFrame]
+) -> DataFrame:
+    """Star, key-constraint and loaded stages in one go."""
+    stages = {"star": star_rules(), "ddl": constraint_rules(), "loaded": loaded_rules()}
+    report = run_rules(spark, stages, {**star, **views}, _present("star", "loaded"))
+    return _union([report, *_view_probes(views)])
+
+
+def _view_probes(views: dict[str, DataFrame]) -> list[DataFrame]:
     probes = []
-    for name in views:
-        rows = views[name].limit(1).agg(F.count("*").alias("n"))
+    for name, view in views.items():
+        rows = view.limit(1).agg(F.count("*").alias("n"))
         empty = F.when(F.col("n") > 0, 0).otherwise(1).cast("bigint")
         probes.append(
             rows.select(
@@ -491,4 +523,4 @@ def check_loaded(
                 (F.col("n") > 0).alias("passed"),
             )
         )
-    return _union([report, *probes])
+    return probes

@@ -13,6 +13,7 @@ from coverbay.functions.dates import (
     strict_date,
 )
 from coverbay.functions.text import product_key, tolerant_flag
+from coverbay.operators.skew import salted_join
 from coverbay.schemas import STAR
 
 TAX_TYPE = "PREMIUM_TAX"
@@ -113,14 +114,14 @@ def build_fact_policies(policies: DataFrame) -> DataFrame:
 def build_fact_claims(claims: DataFrame, policies: DataFrame) -> DataFrame:
     """Claims with state, region and product of their policy; NULL where the policy is unknown.
 
-    A policy with very many claims makes one large join partition on the claims side, which
-    adaptive execution splits: a left join may always split its left side.
+    A policy, or a missing policy id, may hold a large share of all claims: such keys are cut
+    into slices for the join.
     """
     attributes = policies.select(
         "policy_id", "state_code", "region_code", "line_of_business", "plan_name"
     )
     flag = tolerant_flag(F.col("fraud_flag")) if "fraud_flag" in claims.columns else F.lit(False)
-    keyed = claims.join(attributes, "policy_id", "left").withColumns(
+    keyed = salted_join(claims, attributes, "policy_id", spread_by="claim_id").withColumns(
         {
             "product_key": _policy_product_key(),
             "fraud_flag": flag,

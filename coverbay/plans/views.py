@@ -8,9 +8,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from coverbay.functions.dates import key_date, month_start, month_text_date
+from coverbay.functions.dates import key_date, month_start
 from coverbay.functions.numbers import ratio
-from coverbay.operators.inforce import PER_DAY, PER_POLICY, Calendar, InForceSum, in_force
+from coverbay.operators.inforce import (
+    PER_DAY,
+    PER_POLICY,
+    Calendar,
+    InForceSum,
+    calendar_columns,
+    in_force,
+)
 
 Star = dict[str, DataFrame]
 
@@ -22,22 +29,14 @@ GEOGRAPHY = ["state_code", "region_code"]
 LINE_SEGMENT = [*GEOGRAPHY, "line_of_business"]
 
 
-def calendar_months(dim_time: DataFrame) -> DataFrame:
-    """Months of the calendar with the columns the monthly views show."""
-    months = dim_time.groupBy("year", "month", "year_month").agg(F.min("full_date").alias("any_day"))
-    return months.select(
-        month_text_date(F.col("year_month")).alias("month_date"),
-        "year",
-        "month",
-        "year_month",
-        month_start(F.col("any_day")).alias("period"),
-    )
+def _month_columns() -> list[Column]:
+    period = F.col("period")
+    return [period.alias("month_date"), *calendar_columns(period)]
 
 
-def calendar_days(dim_time: DataFrame) -> DataFrame:
-    return dim_time.select(
-        F.col("full_date").alias("day_date"), "year", "month", "year_month", F.col("full_date").alias("period")
-    )
+def _day_columns() -> list[Column]:
+    day = F.col("period")
+    return [day.alias("day_date"), *calendar_columns(day)]
 
 
 def _with_line(star: Star):
@@ -78,11 +77,8 @@ def _portfolio(star: Star, calendar: Calendar | None, per: str) -> DataFrame:
     rows = _line_in_force(
         star, calendar, star["fact_policies"], sums, grain="month", null_expiration="single_day"
     )
-    return rows.join(calendar_months(calendar.table), "period").select(
-        "month_date",
-        "year",
-        "month",
-        "year_month",
+    return rows.select(
+        *_month_columns(),
         "active_policies",
         _money("total_annual_premium"),
         _money("total_monthly_premium"),
@@ -118,31 +114,13 @@ def _claims_by_policy_month(star: Star, calendar: Calendar) -> DataFrame:
     )
 
 
-def _claim_metrics(exposed: Column, premium: Column) -> dict[str, Column]:
+def _claim_metrics() -> list[Column]:
     count, losses = F.col("claim_count"), F.col("total_losses")
-    return {
-        "claim_frequency": ratio(count, exposed),
-        "claim_severity": ratio(losses, count),
-        "loss_ratio": ratio(losses, premium),
-    }
-
-
-CLAIM_COLUMNS = [
-    "month_date",
-    "year",
-    "month",
-    "year_month",
-    "product_key",
-    "line_of_business",
-    *GEOGRAPHY,
-    "exposed_policies",
-    "claim_count",
-    "total_losses",
-    "total_premium",
-    "claim_frequency",
-    "claim_severity",
-    "loss_ratio",
-]
+    return [
+        ratio(count, F.col("exposed_policies")).alias("claim_frequency"),
+        ratio(losses, count).alias("claim_severity"),
+        ratio(losses, F.col("total_premium")).alias("loss_ratio"),
+    ]
 
 
 def _claims_by_segment(star: Star, calendar: Calendar) -> DataFrame:
@@ -156,11 +134,20 @@ def _claims_by_segment(star: Star, calendar: Calendar) -> DataFrame:
     )
 
 
-def _finish_claims(star: Star, calendar: Calendar, rows: DataFrame) -> DataFrame:
-    rows = _with_line(star)(rows).join(calendar_months(calendar.table), "period")
-    rows = rows.withColumns({name: F.col(name).cast(MONEY) for name in ("total_losses", "total_premium")})
-    metrics = _claim_metrics(F.col("exposed_policies"), F.col("total_premium"))
-    return rows.withColumns(metrics).select(CLAIM_COLUMNS)
+def _finish_claims(star: Star, rows: DataFrame) -> DataFrame:
+    amounts = {name: F.col(name).cast(MONEY) for name in ("total_losses", "total_premium")}
+    named = _with_line(star)(rows).withColumns(amounts)
+    return named.select(
+        *_month_columns(),
+        "product_key",
+        "line_of_business",
+        *GEOGRAPHY,
+        "exposed_policies",
+        "claim_count",
+        "total_losses",
+        "total_premium",
+        *_claim_metrics(),
+    )
 
 
 def claims_loss(star: Star, calendar: Calendar | None = None) -> DataFrame:
@@ -170,7 +157,7 @@ def claims_loss(star: Star, calendar: Calendar | None = None) -> DataFrame:
     claim. Claims of unknown policies or of days outside the calendar are left out.
     """
     calendar = _calendar(star, calendar)
-    return _finish_claims(star, calendar, _claims_by_segment(star, calendar))
+    return _finish_claims(star, _claims_by_segment(star, calendar))
 
 
 def claims_loss_true_exposure(star: Star, calendar: Calendar | None = None) -> DataFrame:
@@ -200,7 +187,7 @@ def claims_loss_true_exposure(star: Star, calendar: Calendar | None = None) -> D
         F.coalesce("total_losses", F.lit(0)).alias("total_losses"),
         "total_premium",
     )
-    return _finish_claims(star, calendar, rows)
+    return _finish_claims(star, rows)
 
 
 def _operations(star: Star, calendar: Calendar | None, exposure: str, factor: Column) -> DataFrame:
@@ -213,11 +200,8 @@ def _operations(star: Star, calendar: Calendar | None, exposure: str, factor: Co
         grain="day",
         null_expiration="open",
     )
-    return rows.join(calendar_days(calendar.table), "period").select(
-        "day_date",
-        "year",
-        "month",
-        "year_month",
+    return rows.select(
+        *_day_columns(),
         *LINE_SEGMENT,
         "active_policies",
         factor.alias(exposure),
@@ -277,11 +261,8 @@ def risk_daily(
         grain="day",
         null_expiration="open",
     )
-    return rows.join(calendar_days(calendar.table), "period").select(
-        "day_date",
-        "year",
-        "month",
-        "year_month",
+    return rows.select(
+        *_day_columns(),
         *LINE_SEGMENT,
         "active_policies",
         ratio(F.col("score"), F.col("scored")).alias("avg_risk_score"),
