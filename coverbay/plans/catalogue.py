@@ -1,7 +1,7 @@
 """Every query by name, each over the test tables of a scale-factor folder.
 
-The raw and star DataFrames of a folder are declared once per session. They are plans: no data is
-kept between queries, and each query reads the Parquet tables again.
+The raw and star DataFrames of a folder are declared once per session, and the first and last day
+of their calendar fetched once. Nothing else is kept: each query reads the Parquet tables again.
 """
 
 from __future__ import annotations
@@ -50,27 +50,32 @@ def _star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return builders.build_star(_raw(spark, sf_dir))
 
 
+@lru_cache(maxsize=4)
+def _calendar(spark: SparkSession, sf_dir: str) -> Calendar:
+    return Calendar.of(_star(spark, sf_dir)["dim_time"])
+
+
 def _table(name: str) -> Query:
     return lambda spark, sf_dir: _star(spark, sf_dir)[name]
 
 
 def _view(build) -> Query:
-    return lambda spark, sf_dir: build(_star(spark, sf_dir))
+    return lambda spark, sf_dir: build(_star(spark, sf_dir), _calendar(spark, sf_dir))
 
 
 def _dashboard(view, query) -> Query:
-    return lambda spark, sf_dir: query(view(_star(spark, sf_dir)))
+    return lambda spark, sf_dir: query(_view(view)(spark, sf_dir))
 
 
 def kpi_yoy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    yearly = dashboards.yearly_kpis(views.exec_portfolio(_star(spark, sf_dir)))
+    yearly = dashboards.yearly_kpis(_view(views.exec_portfolio)(spark, sf_dir))
     metrics = [name for name in yearly.columns if name != "year"]
     return dashboards.change_on_prior_year(yearly, metrics)
 
 
 def slice_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = _star(spark, sf_dir)
-    return views.operations_daily(star, Calendar.of(star["dim_time"]).of_year(SLICE_YEAR))
+    of_year = _calendar(spark, sf_dir).of_year(SLICE_YEAR)
+    return views.operations_daily(_star(spark, sf_dir), of_year)
 
 
 def quality_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,7 +88,7 @@ def quality_star(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     star = _star(spark, sf_dir)
-    return quality.check_loaded(spark, star, views.build_views(star))
+    return quality.check_loaded(spark, star, views.build_views(star, _calendar(spark, sf_dir)))
 
 
 def quality_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:

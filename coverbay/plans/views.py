@@ -286,9 +286,9 @@ BUILDERS = {
 }
 
 
-def build_views(star: Star) -> dict[str, DataFrame]:
+def build_views(star: Star, calendar: Calendar | None = None) -> dict[str, DataFrame]:
     """The four views over one calendar."""
-    calendar = Calendar.of(star["dim_time"])
+    calendar = _calendar(star, calendar)
     return {name: build(star, calendar) for name, build in BUILDERS.items()}
 
 
