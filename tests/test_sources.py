@@ -146,10 +146,11 @@ def test_refresh_from_raw_files(spark, root):
     assert row_set(views.exec_portfolio(loaded)) == row_set(views.exec_portfolio(direct))
 
 
-def test_staging_uses_the_shared_folder_of_the_cluster(spark):
+def test_staging_uses_the_shared_folder_of_the_cluster():
     cluster = SimpleNamespace(conf=SimpleNamespace(get={"spark.checkpoint.dir": "hdfs:///shared/"}.get))
     assert refresh.staging_folder(cluster, "/w").startswith("hdfs:///shared/raw-")
-    assert refresh.staging_folder(spark, "/w").startswith("/w/staging/raw-")
+    unnamed = SimpleNamespace(conf=SimpleNamespace(get={}.get))
+    assert refresh.staging_folder(unnamed, "/w").startswith("/w/staging/raw-")
 
 
 def test_refresh_stops_at_the_raw_gate(spark, root):
@@ -167,15 +168,24 @@ def test_catalog_presence(spark):
 
 
 def test_policies_are_partitioned_by_year_and_a_large_year_is_split(spark, root):
-    rows = [(f"P{i}", "A", "NY", "NE", 20240101, None, 2024 if i % 10 else 2023, 1, "Active", money(5), money(1), money(12)) for i in range(3000)]
+    years = [2024 if i % 10 else 2023 for i in range(3000)]
+    rows = [
+        (f"P{i}", "A", "NY", "NE", 20240101, None, year, 1, "Active", money(5), money(1), money(12))
+        for i, year in enumerate(years)
+    ]
     table = star_table(spark, "fact_policies", rows)
+
+    def files_per_year(folder):
+        warehouse.write_table(table, f"{root}/{folder}", "fact_policies")
+        written = spark.read.schema(STAR["fact_policies"]).parquet(f"{root}/{folder}")
+        assert row_set(written, "policy_id") == row_set(table, "policy_id")
+        files = written.select("policy_year", F.input_file_name().alias("f")).distinct()
+        return dict(files.groupBy("policy_year").count().collect())
+
+    assert files_per_year("small") == {2023: 1, 2024: 1}
     old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2KB")
     try:
-        warehouse.write_table(table, f"{root}/fact_policies", "fact_policies")
+        assert files_per_year("large")[2024] > 1
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
-    files = spark.read.parquet(f"{root}/fact_policies").select("policy_year", F.input_file_name().alias("f")).distinct()
-    per_year = dict(files.groupBy("policy_year").count().collect())
-    assert per_year[2023] == 1 and per_year[2024] > 1
-    assert spark.read.schema(STAR["fact_policies"]).parquet(f"{root}/fact_policies").count() == 3000
