@@ -1,11 +1,14 @@
 """The star schema as versioned Parquet tables, published only when all nine tables pass.
 
-A load writes a new version directory, checks what it wrote, and then appends one row to the list
-of published versions. Readers take the newest published version, so a load that fails or is cut
-short is never seen, and a repeated load replaces the whole data set.
-
-    <root>/versions/<n>/<table>     the tables of one load
-    <root>/published                one row per published version
+A load writes a new version directory, checks what it wrote, computes the semantic views once, and
+then appends one row to the list of published versions. Readers take the newest published version,
+so a load that fails or is cut short is never seen, and a repeated load replaces the whole data
+set. Dashboards read the written views, whose size is segments x periods, and never the facts.
+
+    <root>/versions/<n>/<table>             the tables of one load
+    <root>/versions/<n>/views/<view>        the semantic views over them
+    <root>/versions/<n>/quality_report      every rule and its outcome
+    <root>/published                        one row per published version
 """
 
 from __future__ import annotations
@@ -15,10 +18,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from coverbay.operators import quality
 from coverbay.plans.views import build_views
-from coverbay.schemas import STAR
+from coverbay.schemas import STAR, VIEWS
 
 # The policy fact is the one large table that is read by year.
 PARTITIONED = {"fact_policies": "policy_year"}
+# Rows are sorted inside each file, so that row groups outside a date range are skipped.
+SORTED = {"fact_policies": "effective_date_key", "fact_claims": "incident_date_key"}
 
 
 class NothingPublished(Exception):
@@ -48,11 +53,15 @@ def write_table(df: DataFrame, path: str, name: str) -> None:
     files and a small year one file.
     """
     ordered = df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in STAR[name]])
-    column = PARTITIONED.get(name)
-    if column is None:
-        ordered.write.mode("overwrite").parquet(path)
-    else:
-        ordered.hint("rebalance", F.col(column)).write.mode("overwrite").partitionBy(column).parquet(path)
+    partition, within = PARTITIONED.get(name), SORTED.get(name)
+    if partition is not None:
+        ordered = ordered.hint("rebalance", F.col(partition))
+    if within is not None:
+        ordered = ordered.sortWithinPartitions(*filter(None, [partition, within]))
+    writer = ordered.write.mode("overwrite")
+    if partition is not None:
+        writer = writer.partitionBy(partition)
+    writer.parquet(path)
 
 
 def read_version(spark: SparkSession, root: str, version: int) -> dict[str, DataFrame]:
@@ -75,19 +84,43 @@ def quality_report(spark: SparkSession, root: str, version: int) -> DataFrame:
     return spark.read.parquet(table_path(root, version, "quality_report"))
 
 
+def read_view(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """One semantic view of the newest published version, as it was computed by the load."""
+    version = published_version(spark, root)
+    if version == 0:
+        raise NothingPublished(root)
+    return spark.read.parquet(view_path(root, version, name))
+
+
+def view_path(root: str, version: int, name: str) -> str:
+    return table_path(root, version, f"views/{name}")
+
+
+def _record(spark: SparkSession, root: str, version: int, report: DataFrame, mode: str) -> None:
+    """Keep the outcome of some rules, and raise if a FAIL rule is among the violated ones."""
+    path = table_path(root, version, "quality_report")
+    report.coalesce(1).write.mode(mode).parquet(path)
+    quality.enforce(quality_report(spark, root, version))
+
+
 def load_warehouse(spark: SparkSession, star: dict[str, DataFrame], root: str) -> int:
-    """Full refresh of all nine tables; returns the version it published.
+    """Full refresh of all nine tables and four views; returns the version it published.
 
     Tables are written dimensions first, then every rule runs on what was written. Raises, and
-    publishes nothing, if a FAIL rule is violated; the report stays beside the tables.
+    publishes nothing, if a FAIL rule is violated; the report stays beside the tables. The folder
+    of an earlier load that stopped half way is overwritten.
     """
     version = published_version(spark, root) + 1
     for name in STAR:
         write_table(star[name], table_path(root, version, name), name)
     written = read_version(spark, root, version)
-    report = quality.check_written(spark, written, build_views(written))
-    report.coalesce(1).write.mode("overwrite").parquet(table_path(root, version, "quality_report"))
-    quality.enforce(quality_report(spark, root, version))
+    _record(spark, root, version, quality.check_tables(spark, written), "overwrite")
+
+    for name, view in build_views(written).items():
+        view.write.mode("overwrite").parquet(view_path(root, version, name))
+    views = {name: spark.read.parquet(view_path(root, version, name)) for name in VIEWS}
+    _record(spark, root, version, quality.check_views(spark, written, views), "append")
+
     spark.range(1).select(
         F.lit(version).alias("version"), F.current_timestamp().alias("published_at")
     ).coalesce(1).write.mode("append").parquet(f"{root}/published")

@@ -119,6 +119,11 @@ def test_warehouse_publishes_only_what_passes(spark, root):
         assert loaded[name].schema.names == STAR[name].names
         assert row_set(loaded[name]) == row_set(table), name
 
+    for name, view in views.build_views(star).items():
+        assert row_set(warehouse.read_view(spark, root, name)) == row_set(view), name
+    rules = [row.rule_id for row in warehouse.quality_report(spark, root, 1).collect()]
+    assert len(rules) == len(set(rules)) and {"V-TM2", "V-D8", "V-L9", "V-L10.risk_daily", "V-L11"} <= set(rules)
+
     bad = {**star, "fact_taxes": star_table(spark, "fact_taxes", [*CLEAN_STAR["fact_taxes"], *CLEAN_STAR["fact_taxes"]])}
     with pytest.raises(quality.QualityGateFailed, match="V-D1.fact_taxes"):
         warehouse.load_warehouse(spark, bad, root)
