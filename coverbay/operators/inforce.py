@@ -22,6 +22,7 @@ is bounded by the calendar, however many policies the segment has.
 from __future__ import annotations
 
 import datetime
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -142,70 +143,101 @@ def in_force(
     *,
     grain: str,
     null_expiration: str,
-    regroup=None,
+    regroup: Callable[[DataFrame], DataFrame] | None = None,
     keep: list[str] | None = None,
 ) -> DataFrame:
     """Sums over the policies in force per segment and period, periods without a policy left out.
 
-    ``regroup`` is applied to the pre-aggregated events, a DataFrame with the columns of
-    ``segment`` among others, and may replace segment columns by those in ``keep``: a dimension
-    is joined to the few aggregated rows, never to the policies.
+    ``grain`` is ``"month"`` or ``"day"``. ``regroup`` is applied to the pre-aggregated events, a
+    DataFrame with the columns of ``segment`` among others, and may replace segment columns by
+    those in ``keep``: a dimension is joined to the few aggregated rows, never to the policies.
 
     Returns the segment columns, ``period`` (first day of the month, or the day),
     ``active_policies``, ``started``, ``ended`` and one column per sum. The policy id must be
     unique: it is counted by rows.
     """
-    monthly = grain == "month"
-    first, last = F.lit(calendar.first_day), F.lit(calendar.last_day)
-    sums = [InForceSum("active_policies", F.lit(1)), *sums]
-    for wanted in list(sums):
-        if wanted.null_if_empty:
-            sums.append(InForceSum(f"{wanted.name}__n", wanted.value.isNotNull().cast("int")))
-
-    # 1. two events per policy
-    terms = terms_in_calendar(policies, calendar, null_expiration)
-    terms = terms.select(
+    wanted = [InForceSum("active_policies", F.lit(1)), *sums]
+    wanted += [
+        InForceSum(_present(one.name), one.value.isNotNull().cast("int"))
+        for one in sums
+        if one.null_if_empty
+    ]
+    terms = terms_in_calendar(policies, calendar, null_expiration).select(
         *segment,
         "term_start",
         "term_end",
         "starts",
         "ends",
-        *[wanted.value.alias(f"v_{wanted.name}") for wanted in sums],
+        *[one.value.alias(f"v_{one.name}") for one in wanted],
     )
-    event = F.explode(
-        F.array(
-            F.struct(F.col("term_start").alias("day"), F.lit(False).alias("is_end")),
-            F.struct(F.when(F.col("ends"), F.col("term_end")).alias("day"), F.lit(True).alias("is_end")),
+    by_period = _sum_events(terms, calendar, segment, wanted, grain)
+    if regroup is not None:
+        totals = [name for name in by_period.columns if name not in (*segment, "period")]
+        segment = keep
+        by_period = regroup(by_period).groupBy(*segment, "period").agg(
+            *[F.sum(name).alias(name) for name in totals]
         )
+    filled = _run_forward(by_period, calendar, segment, wanted, grain)
+
+    total = {one.name: _total(one, calendar, grain) for one in wanted}
+    columns = [total["active_policies"].alias("active_policies")]
+    for one in sums:
+        value = total[one.name]
+        if one.null_if_empty:
+            value = F.when(total[_present(one.name)] > 0, value)
+        columns.append(value.alias(one.name))
+    return filled.select(
+        *segment,
+        "period",
+        F.when(_is_event(), F.col("started")).otherwise(0).alias("started"),
+        F.when(_is_event(), F.col("ended")).otherwise(0).alias("ended"),
+        *columns,
+    ).where(F.col("active_policies") > 0)
+
+
+def _is_event() -> Column:
+    """The period is the one whose events the row carries, not a later one it stands for."""
+    return F.col("period") == F.col("event_period")
+
+
+def _present(name: str) -> str:
+    """Name of the helper sum that counts the values present in another sum."""
+    return f"{name}__n"
+
+
+def _sum_events(
+    terms: DataFrame, calendar: Calendar, segment: list[str], wanted: list[InForceSum], grain: str
+) -> DataFrame:
+    """Two events per policy, summed per segment and the period they fall in."""
+    events = F.array(
+        F.struct(F.col("term_start").alias("day"), F.lit(False).alias("is_end")),
+        F.struct(F.when(F.col("ends"), F.col("term_end")).alias("day"), F.lit(True).alias("is_end")),
     )
     day, is_end = F.col("event.day"), F.col("event.is_end")
-    period = month_start(day) if monthly else day
-    events = terms.withColumn("event", event).where(day.isNotNull())
+    period = month_start(day) if grain == "month" else day
     # Days of the period before a start, or up to and including an end.
-    offset = F.datediff(day, F.greatest(period, first)) + is_end.cast("int")
-
-    # 2. map-side combined sums per segment and period
+    offset = F.datediff(day, F.greatest(period, F.lit(calendar.first_day))) + is_end.cast("int")
     totals = [
         F.count(F.when(~is_end & F.col("starts"), 1)).alias("started"),
         F.count(F.when(is_end, 1)).alias("ended"),
     ]
-    for wanted in sums:
-        value = F.col(f"v_{wanted.name}")
+    for one in wanted:
+        value = F.col(f"v_{one.name}")
         signed = F.when(is_end, -value).otherwise(value)
-        totals.append(F.sum(signed).alias(f"change_{wanted.name}"))
-        if wanted.per == PER_DAY:
+        if one.per == PER_DAY:
             extra = -signed * offset.cast("decimal(5,0)")
         else:
             extra = F.when(is_end, value)
-        totals.append(F.sum(extra).alias(f"extra_{wanted.name}"))
-    names = ["started", "ended"] + [f"{part}_{s.name}" for s in sums for part in ("change", "extra")]
-    by_period = events.withColumn("period", period).groupBy(*segment, "period").agg(*totals)
-    if regroup is not None:
-        by_period = regroup(by_period)
-        segment = keep
-        by_period = by_period.groupBy(*segment, "period").agg(*[F.sum(n).alias(n) for n in names])
+        totals.append(F.sum(signed).alias(f"change_{one.name}"))
+        totals.append(F.sum(extra).alias(f"extra_{one.name}"))
+    exploded = terms.withColumn("event", F.explode(events)).where(day.isNotNull())
+    return exploded.withColumn("period", period).groupBy(*segment, "period").agg(*totals)
+
 
-    # 3. running sums, then every event row stands for the periods up to the next one
+def _run_forward(
+    by_period: DataFrame, calendar: Calendar, segment: list[str], wanted: list[InForceSum], grain: str
+) -> DataFrame:
+    """Running sums; each row then stands for all periods up to the segment's next events."""
     ordered = Window.partitionBy(*segment).orderBy("period")
     to_here = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = by_period.select(
@@ -214,41 +246,27 @@ def in_force(
         F.lead("period").over(ordered).alias("next_period"),
         "started",
         "ended",
-        *[F.sum(f"change_{s.name}").over(to_here).alias(f"running_{s.name}") for s in sums],
-        *[F.col(f"extra_{s.name}") for s in sums],
+        *[F.sum(f"change_{one.name}").over(to_here).alias(f"running_{one.name}") for one in wanted],
+        *[f"extra_{one.name}" for one in wanted],
     )
-    step = F.expr("interval 1 month" if monthly else "interval 1 day")
-    last_period = month_start(last) if monthly else last
-    before_next = F.add_months("next_period", -1) if monthly else F.date_sub("next_period", 1)
-    until = F.when(
-        F.col("running_active_policies") > 0, F.coalesce(before_next, last_period)
-    ).otherwise(F.col("event_period"))
-    filled = running.withColumn("period", F.explode(F.sequence("event_period", until, step)))
-
-    # 4. the sums of each period
-    is_event = F.col("period") == F.col("event_period")
-    if monthly:
-        days = F.datediff(F.least(F.last_day("period"), last), F.greatest("period", first)) + 1
+    last = F.lit(calendar.last_day)
+    if grain == "month":
+        step, last, before_next = "1 month", month_start(last), F.add_months("next_period", -1)
     else:
-        days = F.lit(1)
-    results = {}
-    for wanted in sums:
-        factor = days.cast("decimal(5,0)") if wanted.per == PER_DAY else F.lit(1)
-        extra = F.when(is_event, F.col(f"extra_{wanted.name}"))
-        total = F.coalesce(F.col(f"running_{wanted.name}") * factor, F.lit(0)) + F.coalesce(extra, F.lit(0))
-        results[wanted.name] = total
-    columns = []
-    for wanted in sums:
-        if wanted.name.endswith("__n"):
-            continue
-        total = results[wanted.name]
-        if wanted.null_if_empty:
-            total = F.when(results[f"{wanted.name}__n"] > 0, total)
-        columns.append(total.alias(wanted.name))
-    return filled.select(
-        *segment,
-        "period",
-        F.when(is_event, F.col("started")).otherwise(0).alias("started"),
-        F.when(is_event, F.col("ended")).otherwise(0).alias("ended"),
-        *columns,
-    ).where(F.col("active_policies") > 0)
+        step, before_next = "1 day", F.date_sub("next_period", 1)
+    # With nothing in force any more, the row stands for its own period only.
+    until = F.when(F.col("running_active_policies") > 0, F.coalesce(before_next, last))
+    until = until.otherwise(F.col("event_period"))
+    periods = F.sequence("event_period", until, F.expr(f"interval {step}"))
+    return running.withColumn("period", F.explode(periods))
+
+
+def _total(one: InForceSum, calendar: Calendar, grain: str) -> Column:
+    """The sum of one period, from the running sum and the period's own events."""
+    running = F.col(f"running_{one.name}")
+    if one.per == PER_DAY and grain == "month":
+        first, last = F.lit(calendar.first_day), F.lit(calendar.last_day)
+        days = F.datediff(F.least(F.last_day("period"), last), F.greatest("period", first)) + 1
+        running = running * days.cast("decimal(5,0)")
+    extra = F.when(_is_event(), F.col(f"extra_{one.name}"))
+    return F.coalesce(running, F.lit(0)) + F.coalesce(extra, F.lit(0))
