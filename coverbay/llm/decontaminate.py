@@ -213,13 +213,14 @@ def annotate(documents: DataFrame, benchmark: DataFrame, shard_bytes: int = SHAR
     context = documents.sparkSession.sparkContext
     out = documents
     for number, block in enumerate(_blocks(benchmark, block_bytes)):
-        shared = context.broadcast(Patterns(block, WINDOW))
+        shared = context.broadcast(block)
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared, first=number == 0) -> Iterator[pa.RecordBatch]:
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+            patterns = Patterns(shared.value, WINDOW)
             for batch in batches:
                 texts = batch.column(taken.index("text")).cast(pa.binary()).to_pylist()
-                found = list(_hits(texts, shared.value, shard_bytes))
+                found = list(_hits(texts, patterns, shard_bytes))
                 counts, spans, items = ([row[i] for row in found] for i in range(3))
                 if not first:
                     before = [[(s["start"], s["end"]) for s in row] for row in batch.column(len(taken) + 1).to_pylist()]
@@ -259,11 +260,10 @@ def longest_matches(documents: DataFrame, benchmark: DataFrame, shard_bytes: int
     schema = "item_id string, words long, item_offset long, doc_id long, doc_offset long"
     kind = pa.schema([("item_id", pa.string()), *((n, pa.int64()) for n in ("words", "item_offset", "doc_id", "doc_offset"))])
     for block in _blocks(benchmark, block_bytes):
-        patterns = Patterns(block, WINDOW)
-        shared = context.broadcast(patterns)
+        shared = context.broadcast(block)
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            patterns = shared.value
+            patterns = Patterns(shared.value, WINDOW)
             for batch in batches:
                 ids = batch.column(0).to_pylist()
                 texts = batch.column(1).cast(pa.binary()).to_pylist()
@@ -287,7 +287,7 @@ def longest_matches(documents: DataFrame, benchmark: DataFrame, shard_bytes: int
                     )
 
         parts.append(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(search, schema))
-        none = [(item, 0, None, None, None) for item in set(patterns.items)]
+        none = [(item, 0, None, None, None) for item in set(Patterns(block, WINDOW).items)]
         if none:
             parts.append(spark.createDataFrame(none, schema))
     found = parts[0]

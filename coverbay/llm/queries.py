@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from coverbay.llm import decontaminate
-from coverbay.llm.shared import table
+from coverbay.llm import decontaminate, mixing, neardup, quality, sharding, toxicity
+from coverbay.llm.shared import remainder, table
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,4 +22,55 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate}
+def _judged(spark: SparkSession, sf_dir: str, operator, threshold: float) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rest = remainder(F.col("doc_id"), 3)
+    model = operator.train(documents, table(spark, sf_dir, "labels"), rest != 1)
+    found, score = operator.score_documents(documents, model)
+    return found.select(
+        "doc_id",
+        F.coalesce(rest == 1, F.lit(False)).alias("held_out"),
+        F.col(score).alias("score"),
+        (F.col(score) >= threshold).cast("int").alias("predicted"),
+    )
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _judged(spark, sf_dir, toxicity, 0.7)
+
+
+def op4_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.numbered(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        F.col("slot").cast("long").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.planned(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    taken = (F.col("size") * F.col("copies")).alias("taken")
+    return rows.select("doc_id", "size", "source_size", "target", taken, F.col("shards").alias("shards_of_copies"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _judged(spark, sf_dir, quality, 0.5)
+
+
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
+    "op3_toxicity": op3_toxicity,
+    "op4_shard": op4_shard,
+    "op6_mix": op6_mix,
+    "op8_quality": op8_quality,
+    "op10_near_duplicates": op10_near_duplicates,
+}

@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+import coverbay.llm
+
+# Tasks carry this subpackage's code with them, so executors need no copy of it. Broadcasts don't:
+# they hold plain values and arrays only.
+cloudpickle.register_pickle_by_value(coverbay.llm)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
