@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from coverbay.llm import decontaminate, mixing, neardup, quality, sharding, toxicity
+from coverbay.llm import decontaminate, language, mixing, neardup, quality, secretscan, sharding, toxicity, warc
 from coverbay.llm.shared import remainder, table
 
 
@@ -52,16 +52,50 @@ def op4_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    rest = remainder(F.col("doc_id"), 5)
+    model, sharpness, threshold = language.train(documents, rest != 0)
+    found, name = language.identify(documents.select("doc_id", "text"), model, sharpness, threshold)
+    return found.select(
+        "doc_id",
+        F.coalesce(rest == 0, F.lit(False)).alias("held_out"),
+        F.col(name["lang_pred"]).alias("lang_pred"),
+        F.col(name["score"]).alias("score"),
+        F.col(name["cross_entropy"]).alias("cross_entropy"),
+        F.col(name["rejected"]).alias("rejected"),
+    )
+
+
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.planned(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     taken = (F.col("size") * F.col("copies")).alias("taken")
     return rows.select("doc_id", "size", "source_size", "target", taken, F.col("shards").alias("shards_of_copies"))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, spans = secretscan.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = [rule.kind for rule in secretscan.RULES[: secretscan.BASE]]
+    of = lambda kinds: F.filter(spans, lambda span: span["kind"].isin(kinds))
+    return found.select(
+        "doc_id",
+        *(F.size(of([kind])).cast("long").alias(f"n_{kind}") for kind in base),
+        F.sha2(secretscan.listed(of(base)), 256).alias("base_sha256"),
+        secretscan.listed(F.col(spans)).alias("spans"),
+    )
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(spark, sf_dir, quality, 0.5)
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.new_folder(spark)
+    archives = warc.normalise(warc.write_archives(table(spark, sf_dir, "pages"), folder), folder)
+    rows = warc.read_records(archives)
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -70,7 +104,10 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op3_toxicity": op3_toxicity,
     "op4_shard": op4_shard,
+    "op5_language": op5_language,
     "op6_mix": op6_mix,
+    "op7_secrets": op7_secrets,
     "op8_quality": op8_quality,
+    "op9_warc": op9_warc,
     "op10_near_duplicates": op10_near_duplicates,
 }
