@@ -33,4 +33,16 @@ SELECT doc_id, CAST(coalesce(len(words), 0) AS BIGINT) AS n_words, CAST(coalesce
 FROM doc LEFT JOIN covered c USING (doc_id) LEFT JOIN named m USING (doc_id)
 """
 
-ORACLES = {"op1_decontaminate": _OP1}
+_OP9 = """
+WITH page AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS bytes, sha256(coalesce(html, '')) AS digest FROM pages
+), first AS (
+    SELECT digest, min(page_id) AS page_id FROM page WHERE bytes >= 100 GROUP BY digest
+)
+SELECT p.page_id, CAST(p.bytes AS BIGINT) AS payload_bytes, p.digest AS payload_digest,
+       CASE WHEN f.page_id IS DISTINCT FROM p.page_id AND f.page_id IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.page_id IS DISTINCT FROM p.page_id THEN f.page_id END AS refers_to
+FROM page p LEFT JOIN first f ON p.digest = f.digest
+"""
+
+ORACLES = {"op1_decontaminate": _OP1, "op9_warc": _OP9}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from coverbay.llm import decontaminate, language, mixing, neardup, quality, secretscan, sharding, toxicity, warc
+from coverbay.llm import decontaminate, language, mixing, neardup, quality, secretscan, sharding, topk, toxicity, warc
 from coverbay.llm.shared import remainder, table
 
 
@@ -22,6 +22,12 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    queries = documents.where("doc_id % 50 = 0").select(F.col("doc_id").alias("query_id"), "text")
+    return topk.search(documents, queries)
+
+
 def _judged(spark: SparkSession, sf_dir: str, operator, threshold: float) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     rest = remainder(F.col("doc_id"), 3)
@@ -102,6 +108,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_topk": op2_topk,
     "op3_toxicity": op3_toxicity,
     "op4_shard": op4_shard,
     "op5_language": op5_language,
