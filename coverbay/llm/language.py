@@ -108,8 +108,9 @@ def _terms(counts: DataFrame, order: int) -> DataFrame:
     """(lang, part, gram, value): discounted shares of the grams, and what the contexts leave over."""
     context = F.shiftrightunsigned("gram", 16)
     seen = counts.groupBy("lang").agg(F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice"))
-    discount = F.least(F.greatest(F.try_divide(F.col("once"), F.col("once") + 2 * F.col("twice")), F.lit(0.1)), F.lit(0.95))
-    seen = seen.select("lang", F.coalesce(discount, F.lit(0.5)).alias("discount"))
+    estimate = F.try_divide(F.col("once"), F.col("once") + 2 * F.col("twice"))
+    discount = F.when(estimate.isNull(), 0.5).otherwise(F.least(F.greatest(estimate, F.lit(0.1)), F.lit(0.95)))
+    seen = seen.select("lang", discount.alias("discount"))
     sums = counts.groupBy("lang", context.alias("context")).agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("types"))
     sums = sums.join(F.broadcast(seen), "lang")  # a row per language
     rest = sums.select("lang", F.lit(-order).alias("part"), F.col("context").alias("gram"), (F.col("discount") * F.col("types") / F.col("total")).alias("value"))
