@@ -50,7 +50,7 @@ def _columns(documents: DataFrame) -> list[Column]:
     return [
         F.col("source").isNull().alias("nowhere"),
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("origin"),
-        F.xxhash64(F.lit(SEED), F.col("doc_id")).alias("key"),
+        F.shiftrightunsigned(F.xxhash64(F.lit(SEED), F.col("doc_id")), 1).alias("key"),  # 63 bits: never negative
         words().alias("size"),
         F.monotonically_increasing_id().alias("tie"),
     ]
@@ -109,7 +109,7 @@ def planned(documents: DataFrame, shards: int = SHARDS, weights: tuple[int, ...]
     Also what orders the rows (nowhere, origin, key, tie).
     """
     lined = materialise(documents.select("doc_id", *_columns(documents)))
-    bucket = F.shiftrightunsigned("key", 64 - int(math.log2(BUCKETS))).alias("bucket")
+    bucket = F.shiftright("key", 63 - int(math.log2(BUCKETS))).alias("bucket")
     lined = lined.select("*", bucket)
     totals = lined.groupBy(*_SOURCE, "bucket").agg(F.sum("size").alias("words"))
     earlier = Window.partitionBy(*_SOURCE).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
