@@ -30,8 +30,8 @@ def _decimal(text: str, type_name: str = "decimal(4,2)") -> Column:
 
 
 def policy_end(effective: Column, window_end: Column) -> Column:
-    """Last day of a one-year term, cut at the end of the window."""
-    return F.least(F.date_add(effective, TERM_DAYS), window_end)
+    """Last day of a one-year term, cut at the end of the window; NULL without a start."""
+    return F.when(effective.isNotNull(), F.least(F.date_add(effective, TERM_DAYS), window_end))
 
 
 def is_renewal(registration_year: Column, policy_year: Column) -> Column:
@@ -126,7 +126,8 @@ def capacity_shortfall(clients: DataFrame, policies: DataFrame, last_year: int)
     """Per year: remaining capacity against new policies, and the relaxation a shortfall needs.
 
     One round of relaxation gives every eligible client one more policy; needing more rounds than
-    the limit is a failure.
+    the limit is a failure, and so is a shortfall in a year without any eligible client, whose
+    rounds are NULL. Years of either side are kept, a missing year too.
     """
     supply = (
         remaining_capacity(clients, policies, last_year)
@@ -136,32 +137,45 @@ def capacity_shortfall(clients: DataFrame, policies: DataFrame, last_year: int)
     demand = policies.groupBy(F.year("effective_date").alias("year")).agg(
         F.count("*").alias("new_policies")
     )
-    joined = supply.join(demand, "year", "left").withColumn(
-        "new_policies", F.coalesce("new_policies", F.lit(0))
-    )
+    counts = ["eligible_clients", "remaining_capacity", "new_policies"]
+    joined = supply.join(demand, "year", "full").fillna(0, counts)
     missing = F.greatest(F.col("new_policies") - F.col("remaining_capacity"), F.lit(0))
-    rounds = F.ceil(missing / F.col("eligible_clients"))
+    rounds = F.ceil(F.try_divide(missing, F.col("eligible_clients")))
+    unsolved = rounds.isNull() | (rounds > RELAX_ROUNDS_LIMIT)
     return joined.withColumns(
         {
             "shortfall": missing > 0,
             "relax_rounds": rounds,
-            "capacity_failure": rounds > RELAX_ROUNDS_LIMIT,
+            "capacity_failure": (missing > 0) & unsolved,
         }
     )
 
 
 def capacity_pool(clients: DataFrame, policies: DataFrame, year: int) -> DataFrame:
-    """One row per policy a client may still take out in ``year``."""
-    left = remaining_capacity(clients, policies, year).where(
-        (F.col("year") == year) & (F.col("remaining") > 0)
+    """One row per policy a client may still take out in ``year``.
+
+    In a year of shortfall every eligible client's capacity is first raised by the rounds of
+    relaxation that the year needs, as far as the limit allows.
+    """
+    of_year = remaining_capacity(clients, policies, year).where(F.col("year") == year)
+    needed = capacity_shortfall(clients, policies, year).where(F.col("year") == year)
+    raised = needed.select(
+        F.least(F.coalesce("relax_rounds", F.lit(0)), F.lit(RELAX_ROUNDS_LIMIT)).alias("raise")
     )
+    more = F.coalesce(raised.scalar(), F.lit(0))  # one row, or none without clients
+    open_slots = of_year.withColumn("remaining", F.col("remaining") + more)
     slots = F.explode(F.sequence(F.lit(1), F.col("remaining").cast("int")))
-    return left.select("client_id", slots.alias("slot"))
+    return open_slots.where("remaining > 0").select("client_id", slots.alias("slot"))
+
 
+def exposure(policies: DataFrame, window_end: Column) -> DataFrame:
+    """Days in force, both ends included, and the fraction of a year.
 
-def exposure(policies: DataFrame) -> DataFrame:
-    """Days in force, both ends included, and the fraction of a year; terms that end early drop out."""
-    effective, expiration = F.col("effective_date"), F.col("expiration_date")
+    An open-ended policy is in force to the end of the window. Terms that end before they start,
+    and policies without a start, are in force on no day and drop out.
+    """
+    effective = F.col("effective_date")
+    expiration = F.coalesce("expiration_date", window_end)
     days = days_inclusive(effective, expiration)
     return policies.where(effective <= expiration).withColumns(
         {
@@ -171,9 +185,12 @@ def exposure(policies: DataFrame) -> DataFrame:
     )
 
 
-def _claim_factors(policies: DataFrame, parameters: Parameters) -> DataFrame:
-    """Yearly frequency x seasonality x climate x exposure days, exactly, as ``factor_days``."""
-    with_month = exposure(policies).withColumn("month", F.month("effective_date"))
+def _claim_factors(policies: DataFrame, parameters: Parameters, window_end: Column) -> DataFrame:
+    """Yearly frequency x seasonality x climate x exposure days, exactly, as ``factor_days``.
+
+    NULL for a line or month that the parameters don't list.
+    """
+    with_month = exposure(policies, window_end).withColumn("month", F.month("effective_date"))
     joined = (
         with_month.join(parameters.baseline, "line_of_business", "left")
         .join(parameters.seasonality, "month", "left")
@@ -185,12 +202,13 @@ def _claim_factors(policies: DataFrame, parameters: Parameters) -> DataFrame:
 
 
 def _per_year(factor_days: Column) -> Column:
-    return F.greatest(factor_days.cast("double") / F.lit(float(DAYS_PER_YEAR)), F.lit(0.0))
+    years = factor_days.cast("double") / F.lit(float(DAYS_PER_YEAR))
+    return F.when(years.isNotNull(), F.greatest(years, F.lit(0.0)))
 
 
-def expected_claims(policies: DataFrame, parameters: Parameters) -> DataFrame:
-    """Expected claims of each policy over its term, never below zero."""
-    return _claim_factors(policies, parameters).select(
+def expected_claims(policies: DataFrame, parameters: Parameters, window_end: Column) -> DataFrame:
+    """Expected claims of each policy over its term, never below zero; NULL if a factor is unknown."""
+    return _claim_factors(policies, parameters, window_end).select(
         "policy_id",
         "line_of_business",
         "state_code",
@@ -201,33 +219,32 @@ def expected_claims(policies: DataFrame, parameters: Parameters) -> DataFrame:
 
 
 def actual_vs_expected(
-    policies: DataFrame, fact_claims: DataFrame, parameters: Parameters
+    policies: DataFrame, claims: DataFrame, parameters: Parameters, window_end: Column
 ) -> DataFrame:
     """Claims counted against claims expected per line of business and state.
 
-    Both sides are aggregated before they meet. Expected claims are summed as exact decimals, so
-    the result does not depend on the order of the rows.
+    Both sides cover the same policies: those exposed, with all factors known. Exposed policies
+    with an unknown factor are counted apart, and their claims left out. Claims are counted per
+    policy first, on the map side, so a policy with very many of them is one row when it meets its
+    policy. Expected claims are summed as exact decimals, in any order.
     """
-    segment = ["line_of_business", "state_code"]
-    expected = _claim_factors(policies, parameters).groupBy(*segment).agg(
-        F.count("*").alias("policies"), F.sum("factor_days").alias("factor_days")
-    )
-    actual = fact_claims.groupBy(*segment).agg(F.count("*").alias("actual_claims"))
-    joined = expected.join(actual, segment, "left")
-    total = _per_year(F.col("factor_days"))
-    count = F.coalesce("actual_claims", F.lit(0))
-    return joined.select(
-        *segment,
-        "policies",
-        count.alias("actual_claims"),
-        total.alias("expected_claims"),
-        F.try_divide(count.cast("double"), total).alias("actual_to_expected"),
+    counted = claims.groupBy("policy_id").agg(F.count("*").alias("claims"))
+    exposed = _claim_factors(policies, parameters, window_end).join(counted, "policy_id", "left")
+    known = F.col("factor_days").isNotNull()
+    sums = exposed.groupBy("line_of_business", "state_code").agg(
+        F.count_if(known).alias("policies"),
+        F.count_if(~known).alias("unknown_factor_policies"),
+        F.coalesce(F.sum(F.when(known, F.col("claims"))), F.lit(0)).alias("actual_claims"),
+        _per_year(F.sum("factor_days")).alias("expected_claims"),
     )
+    ratio = F.try_divide(F.col("actual_claims").cast("double"), F.col("expected_claims"))
+    return sums.withColumn("actual_to_expected", ratio)
 
 
 def report_date(incident: Column, delay_days: Column, window_end: Column) -> Column:
-    """Incident plus a reporting delay, cut at the end of the window."""
-    return F.least(F.date_add(incident, delay_days), window_end)
+    """Incident plus a reporting delay, cut at the end of the window; NULL without either."""
+    reported = F.date_add(incident, delay_days)
+    return F.when(reported.isNotNull(), F.least(reported, window_end))
 
 
 def settlement_amounts(claims: DataFrame, offered: Column) -> DataFrame:

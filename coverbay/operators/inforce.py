@@ -92,13 +92,17 @@ class Calendar:
         """The part of the calendar in one year.
 
         A view over it equals the view over the whole calendar filtered to the year, but policies
-        and claims outside the year are already left out when the facts are read.
+        and claims outside the year are already left out when the facts are read. A year outside
+        the calendar has no days, and its views no rows.
         """
         return Calendar(
             max(self.first_day, datetime.date(year, 1, 1)),
             min(self.last_day, datetime.date(year, 12, 31)),
         )
 
+    def is_empty(self) -> bool:
+        return self.first_day > self.last_day
+
     def key_range(self) -> tuple[int, int]:
         """First and last day as ``yyyymmdd`` keys."""
         return int(f"{self.first_day:%Y%m%d}"), int(f"{self.last_day:%Y%m%d}")
@@ -120,6 +124,8 @@ def terms_in_calendar(policies: DataFrame, calendar: Calendar, null_expiration:
     in_calendar = (effective <= last_key) & F.coalesce(
         (expiration >= first_key) & (expiration >= effective), F.lit(True)
     )
+    if calendar.is_empty():
+        in_calendar = F.lit(False)
     if "policy_year" in policies.columns:
         # the partition column of the stored table: later years are not read at all
         in_calendar &= F.coalesce(F.col("policy_year") <= calendar.last_day.year, F.lit(True))

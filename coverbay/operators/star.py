@@ -143,7 +143,12 @@ def build_fact_expenses(expenses: DataFrame) -> DataFrame:
 def build_fact_taxes(taxes: DataFrame) -> DataFrame:
     """Premium taxes per policy; the base is recovered from amount and rate when not given."""
     if "tax_base" not in taxes.columns:
-        taxes = taxes.withColumn("tax_base", F.try_divide("tax_amount", "tax_rate"))
+        # both in whole ten-thousandths of their unit, so the quotient is rounded once, half up
+        numerator = (F.col("tax_amount") * 100).cast("decimal(20,0)") * F.lit(100_000_000).cast("decimal(9,0)") * 2
+        rate = (F.col("tax_rate") * 10_000).cast("decimal(10,0)")
+        whole = F.when(rate != 0, (numerator + rate).cast("decimal(38,0)"))
+        millionths = F.floor(F.try_divide(whole, rate * 2)).cast("decimal(32,0)")
+        taxes = taxes.withColumn("tax_base", (millionths * F.lit("0.000001").cast("decimal(6,6)")))
     keyed = taxes.withColumns({"tax_type": F.lit(TAX_TYPE), "date_key": F.lit(None)})
     return _in_load_order(keyed, "fact_taxes")
 

@@ -117,11 +117,13 @@ def policy_term(spark: SparkSession, sf_dir: str) -> DataFrame:
 def renewal_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = _raw(spark, sf_dir)
     registered = raw["clients"].select("client_id", "registration_year")
-    year = F.year("effective_date")
-    joined = raw["policies"].join(registered, "client_id")
-    return joined.groupBy(year.alias("policy_year"), "registration_year").agg(
-        F.count(F.when(derive.is_renewal(F.col("registration_year"), year), 1)).alias("renewals"),
-        F.count("*").alias("policies"),
+    # a client's policies of a year are one row before they meet the client
+    held = raw["policies"].groupBy("client_id", F.year("effective_date").alias("policy_year"))
+    joined = held.agg(F.count("*").alias("held")).join(registered, "client_id")
+    renewed = derive.is_renewal(F.col("registration_year"), F.col("policy_year"))
+    return joined.groupBy("policy_year", "registration_year").agg(
+        F.sum(F.when(renewed, F.col("held")).otherwise(0)).alias("renewals"),
+        F.sum("held").alias("policies"),
     )
 
 
@@ -157,19 +159,19 @@ def capacity_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def exposure_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    exposed = derive.exposure(_raw(spark, sf_dir)["policies"])
+    exposed = derive.exposure(_raw(spark, sf_dir)["policies"], F.lit(standin.END).cast("date"))
     return exposed.select("policy_id", "exposure_days", "year_fraction")
 
 
 def expected_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     policies = _raw(spark, sf_dir)["policies"]
-    return derive.expected_claims(policies, standin.parameters(spark, sf_dir))
+    return derive.expected_claims(policies, standin.parameters(spark, sf_dir), F.lit(standin.END).cast("date"))
 
 
 def actual_vs_expected_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = _raw(spark, sf_dir)
-    claims = builders.build_fact_claims(raw["claims"], raw["policies"])
-    return derive.actual_vs_expected(raw["policies"], claims, standin.parameters(spark, sf_dir))
+    end = F.lit(standin.END).cast("date")
+    return derive.actual_vs_expected(raw["policies"], raw["claims"], standin.parameters(spark, sf_dir), end)
 
 
 def report_date_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,7 +193,7 @@ def settlement_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def premium_tax(spark: SparkSession, sf_dir: str) -> DataFrame:
     parameters = standin.parameters(spark, sf_dir)
     tiers = parameters.states.select("state_code", "market_tier")
-    policies = _raw(spark, sf_dir)["policies"].join(tiers, "state_code")
+    policies = _raw(spark, sf_dir)["policies"].join(tiers, "state_code", "left")
     taxed = derive.premium_tax(policies, parameters.tax_rates)
     return taxed.select("policy_id", "market_tier", "tax_rate", "premium_tax")
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from coverbay.functions.numbers import ratio
 
-LINES = ["Auto", "Health", "Life"]
+LINES = ("Auto", "Health", "Life")
 MONEY = "decimal(38,2)"
 
 
@@ -109,14 +109,17 @@ def new_policies_by_month_line(operations: DataFrame) -> DataFrame:
     )
 
 
-def premium_exposure_by_month_line(portfolio: DataFrame) -> DataFrame:
-    """Monthly premium per month, one column per line of business."""
-    pivoted = (
-        portfolio.groupBy("year_month")
-        .pivot("line_of_business", LINES)
-        .agg(F.sum("total_monthly_premium").cast(MONEY))
+def premium_exposure_by_month_line(portfolio: DataFrame, lines: tuple[str, ...] = LINES) -> DataFrame:
+    """Monthly premium per month, one column per line of business and one for all others.
+
+    Premium of a line that isn't listed, or of none, counts in ``other_lines``.
+    """
+    line, premium = F.col("line_of_business"), F.col("total_monthly_premium")
+    listed = F.coalesce(line.isin(*lines), F.lit(False))
+    wanted = {name.lower(): line == name for name in lines} | {"other_lines": ~listed}
+    return portfolio.groupBy("year_month").agg(
+        *[F.sum(F.when(mine, premium)).cast(MONEY).alias(name) for name, mine in wanted.items()]
     )
-    return pivoted.select("year_month", *[F.col(line).alias(line.lower()) for line in LINES])
 
 
 def premium_by_state_line(portfolio: DataFrame, top: int | None = None) -> DataFrame:

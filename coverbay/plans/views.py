@@ -179,10 +179,12 @@ def claims_loss_true_exposure(star: Star, calendar: Calendar | None = None) -> D
     keys = [*segment, "period"]
     # NULL keys are real segments here, so the match must be null-safe.
     same = [F.col(f"e.{key}").eqNullSafe(F.col(f"c.{key}")) for key in keys]
-    joined = exposure.alias("e").join(claims.alias("c"), on=same, how="left")
+    # a segment may have a claim in a month in which none of its policies is in force
+    joined = exposure.alias("e").join(claims.alias("c"), on=same, how="full")
+    exposed = F.col("active_policies").isNotNull()
     rows = joined.select(
-        *[F.col(f"e.{key}") for key in keys],
-        F.col("active_policies").alias("exposed_policies"),
+        *[F.when(exposed, F.col(f"e.{key}")).otherwise(F.col(f"c.{key}")).alias(key) for key in keys],
+        F.coalesce("active_policies", F.lit(0)).alias("exposed_policies"),
         F.coalesce("claim_count", F.lit(0)).alias("claim_count"),
         F.coalesce("total_losses", F.lit(0)).alias("total_losses"),
         "total_premium",

@@ -13,17 +13,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from coverbay.functions.numbers import money_round
 from coverbay.functions.text import padded_id
 from coverbay.operators import derive
-from coverbay.sources.parameters import Parameters, default_parameters
+from coverbay.sources.parameters import PLANS, Parameters, default_parameters
 
 END = "2001-08-01"
 YEARS = (1994, 2001)
 WINDOW = ("1995-01-01", END)
 
-LINE_PLANS = {
-    "Health": ["Bronze", "Silver", "Gold"],
-    "Auto": ["Liability", "Standard", "Full"],
-    "Life": ["Basic", "Standard", "Premium"],
-}
+LINE_PLANS: dict[str, list[str]] = {}
+for _line, _plan, _ in PLANS:
+    LINE_PLANS.setdefault(_line, []).append(_plan)
 
 # Claim types of each line of business.
 CLAIM_TYPES = {
@@ -125,12 +123,8 @@ def _policies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _claims(spark: SparkSession, sf_dir: str, policies: DataFrame) -> DataFrame:
-    lines = (
-        _table(spark, sf_dir, "lineitem")
-        .where((F.col("l_returnflag") == "R") & (F.col("l_linenumber") <= 2))
-        .select(
-            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount"
-        )
+    lines = _table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_shipdate"
     )
     terms = policies.select(
         "o_orderkey", "policy_id", "line_of_business", "effective_date", "expiration_date"
@@ -163,6 +157,7 @@ def _claims(spark: SparkSession, sf_dir: str, policies: DataFrame) -> DataFrame:
             "-",
             F.concat(F.lit("CL"), F.col("l_orderkey").cast("string")),
             *[F.col(c).cast("string") for c in ("l_linenumber", "l_partkey", "l_suppkey")],
+            F.date_format("l_shipdate", "yyyyMMdd"),
         ).alias("claim_id"),
         "policy_id",
         "incident_date",
@@ -181,7 +176,6 @@ def _expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_day = F.col("l_shipdate").cast("date")
     shipped = (
         _table(spark, sf_dir, "lineitem")
-        .where(ship_day <= F.lit(END).cast("date"))
         .groupBy("l_suppkey", F.trunc(ship_day, "month").alias("expense_month"))
         .agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("amount"))
     )
@@ -206,7 +200,7 @@ def _taxes(spark: SparkSession, sf_dir: str, policies: DataFrame) -> DataFrame:
     hundredth = F.lit("0.01").cast("decimal(4,2)")
     factor = ((F.col("o_orderkey") % 11 + 95) * hundredth).cast("decimal(4,2)")
     taxed = derive.premium_tax(
-        policies.join(tiers, "state_code"), default_parameters(spark).tax_rates, factor
+        policies.join(tiers, "state_code", "left"), default_parameters(spark).tax_rates, factor
     )
     return taxed.select(
         F.col("o_orderkey").alias("tax_id"),

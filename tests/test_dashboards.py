@@ -44,7 +44,9 @@ def test_change_needs_the_prior_year_itself(portfolio):
 
 
 def test_pivot_and_ranking(portfolio):
-    assert row_set(dashboards.premium_exposure_by_month_line(portfolio))[0] == ("2024-01", money("20.00"), None, money("10.00"))
+    assert row_set(dashboards.premium_exposure_by_month_line(portfolio))[0] == ("2024-01", money("20.00"), None, money("10.00"), None)
+    rest = row_set(dashboards.premium_exposure_by_month_line(portfolio, ("Life",)), "year_month", "life", "other_lines")
+    assert rest[0] == ("2024-01", money("10.00"), money("20.00"))
     ranked = dashboards.premium_by_state_line(portfolio, top=1)
     assert row_set(ranked, "year", "state_code", "state_rank") == [
         (2024, "NY", 1), (2024, "NY", 1), (2025, "CA", 1), (2025, "NY", 1), (2027, "TX", 1),

@@ -72,11 +72,28 @@ def test_shortfall_and_pool(spark):
     rows = derive.capacity_shortfall(clients, policies, 2025)
     columns = ("year", "eligible_clients", "remaining_capacity", "new_policies", "shortfall", "relax_rounds", "capacity_failure")
     assert row_set(rows, *columns) == [
-        (2024, 1, 0, 3, True, 3, False), (2025, 2, 1, 1, False, 0, False),
+        (2023, 0, 0, 1, True, None, True), (2024, 1, 0, 3, True, 3, False), (2025, 2, 1, 1, False, 0, False),
     ]
     more = policies.unionByName(spark.createDataFrame([("C9", D(2024, 1, 1))], policies.schema))
-    assert row_set(derive.capacity_shortfall(clients, more, 2024), "relax_rounds", "capacity_failure") == [(4, True)]
+    assert row_set(derive.capacity_shortfall(clients, more, 2024).where("year = 2024"), "relax_rounds", "capacity_failure") == [(4, True)]
     assert row_set(derive.capacity_pool(clients, policies, 2025)) == [("C2", 1), ("C2", 2)]
+    # three rounds raise the one eligible client from none left to three
+    assert row_set(derive.capacity_pool(clients, policies, 2024)) == [("C1", 1), ("C1", 2), ("C1", 3)]
+
+
+def test_shortfall_keeps_years_without_clients(spark):
+    clients, policies = capacity_tables(spark)
+    more = policies.unionByName(spark.createDataFrame([("C9", D(1990, 1, 1)), ("C9", None)], policies.schema))
+    rows = derive.capacity_shortfall(clients, more, 2025).where("year is null or year < 2000")
+    columns = ("year", "eligible_clients", "new_policies", "shortfall", "relax_rounds", "capacity_failure")
+    assert sorted(row_set(rows, *columns), key=str) == [(1990, 0, 1, True, None, True), (None, 0, 1, True, None, True)]
+
+
+def test_missing_dates_stay_missing(spark):
+    df = spark.createDataFrame([(None, 3), (D(2024, 1, 1), None)], "day date, delay int")
+    end = F.lit(D(2024, 6, 1))
+    assert df.select(derive.policy_end(F.col("day"), end)).collect() == [(None,), (D(2024, 6, 1),)]
+    assert df.select(derive.report_date(F.col("day"), F.col("delay"), end)).collect() == [(None,), (None,)]
 
 
 def test_exposure_counts_both_ends(spark):
@@ -84,7 +101,12 @@ def test_exposure_counts_both_ends(spark):
         [(D(2024, 1, 1), D(2024, 12, 30)), (D(2024, 1, 1), D(2024, 1, 1)), (D(2024, 1, 2), D(2024, 1, 1)), (D(2024, 1, 1), None)],
         "effective_date date, expiration_date date",
     )
-    assert row_set(derive.exposure(df), "exposure_days", "year_fraction") == [(1, 1 / 365), (365, 1.0)]
+    exposed = derive.exposure(df, F.lit(D(2024, 1, 10)))
+    assert row_set(exposed, "exposure_days", "year_fraction") == [(1, 1 / 365), (10, 10 / 365), (365, 1.0)]
+
+
+def window_end():
+    return F.lit("2025-12-31").cast("date")
 
 
 def claim_policies(spark):
@@ -96,18 +118,42 @@ def claim_policies(spark):
 
 def test_expected_claims(spark):
     parameters = default_parameters(spark)
-    rows = row_set(derive.expected_claims(claim_policies(spark), parameters), "policy_id", "expected_claims")
+    rows = row_set(derive.expected_claims(claim_policies(spark), parameters, window_end()), "policy_id", "expected_claims")
     assert rows[0] == ("P1", pytest.approx(0.25 * 1.14 * 1.18))
     assert rows[1] == ("P2", pytest.approx(0.10 * 0.90 * 1.0 * 10 / 365))
     negative = replace(parameters, climate=parameters.climate.withColumn("climate", -F.col("climate")))
-    assert ("P1", 0.0) in row_set(derive.expected_claims(claim_policies(spark), negative), "policy_id", "expected_claims")
+    assert ("P1", 0.0) in row_set(derive.expected_claims(claim_policies(spark), negative, window_end()), "policy_id", "expected_claims")
 
 
 def test_actual_against_expected(spark):
-    claims = spark.createDataFrame([("Health", "FL")] * 3, "line_of_business string, state_code string")
-    rows = row_set(derive.actual_vs_expected(claim_policies(spark), claims, default_parameters(spark)))
-    assert [row[:4] for row in rows] == [("Auto", "ZZ", 1, 0), ("Health", "FL", 1, 3)]
-    assert rows[1][5] == pytest.approx(3 / (0.25 * 1.14 * 1.18))
+    claims = spark.createDataFrame([("P1",)] * 3 + [("P9",), (None,)], "policy_id string")
+    rows = row_set(derive.actual_vs_expected(claim_policies(spark), claims, default_parameters(spark), window_end()))
+    assert [row[:5] for row in rows] == [("Auto", "ZZ", 1, 0, 0), ("Health", "FL", 1, 0, 3)]
+    assert rows[1][6] == pytest.approx(3 / (0.25 * 1.14 * 1.18))
+
+
+def test_actual_and_expected_cover_the_same_policies(spark):
+    policies = claim_policies(spark).unionByName(
+        spark.createDataFrame(
+            [
+                ("P3", "Auto", "TX", D(2024, 1, 1), None),  # open: in force to the window's end
+                ("P4", "Auto", None, D(2024, 1, 1), D(2024, 12, 30)),
+                ("P5", "Boat", "TX", D(2024, 1, 1), D(2024, 12, 30)),  # no factor is known
+                ("P6", "Auto", "TX", D(2024, 1, 2), D(2024, 1, 1)),  # in force on no day
+            ],
+            claim_policies(spark).schema,
+        )
+    )
+    claims = spark.createDataFrame([("P3",), ("P3",), ("P4",), ("P5",), ("P6",)], "policy_id string")
+    parameters = default_parameters(spark)
+    got = derive.actual_vs_expected(policies, claims, parameters, window_end())
+    columns = ("line_of_business", "state_code", "policies", "unknown_factor_policies", "actual_claims")
+    assert sorted(row_set(got, *columns), key=str) == [
+        ("Auto", "TX", 1, 0, 2), ("Auto", "ZZ", 1, 0, 0), ("Auto", None, 1, 0, 1), ("Boat", "TX", 0, 1, 0), ("Health", "FL", 1, 0, 0),
+    ]
+    expected = {r["policy_id"]: r["expected_claims"] for r in derive.expected_claims(policies, parameters, window_end()).collect()}
+    assert expected["P5"] is None and expected["P3"] == pytest.approx(0.10 * 0.90 * 1.10 * 731 / 365)
+    assert "P6" not in expected
 
 
 def test_settlement(spark):

@@ -41,7 +41,8 @@ def test_entry(spark):
         "dim_time", "dim_clients", "fact_policies", "fact_claims", "fact_expenses", "fact_taxes",
         "exec_portfolio", "claims_loss", "slice_year", "kpi_yoy", "top_states_by_premium",
         "claims_dashboard_rollup", "risk_dashboard", "quality_raw", "quality_star", "quality_ddl",
-        "remaining_capacity", "capacity_pool", "expected_claims", "expense_grid", "portfolio_targets",
+        "remaining_capacity", "capacity_shortfall", "capacity_pool", "expected_claims", "actual_vs_expected_claims",
+        "premium_exposure_by_month_lob", "claims_loss_true_exposure", "expense_grid", "portfolio_targets",
     ],
 )
 def test_query_equals_its_oracle(spark, con, name):
@@ -52,4 +53,4 @@ def test_query_equals_its_oracle(spark, con, name):
 def test_stand_in_tables(spark):
     raw = standin.raw_tables(spark, SF_DIR)
     counts = {name: table.count() for name, table in raw.items()}
-    assert counts == {"clients": 150, "policies": 1500, "claims": 572, "expenses": 793, "taxes": 1500}
+    assert counts == {"clients": 150, "policies": 1500, "claims": 6000, "expenses": 815, "taxes": 1500}

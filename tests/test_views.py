@@ -89,6 +89,10 @@ def test_calendar_of_a_year_equals_filter(both):
     expected = whole.where(F.col("day_date").between(cut.first_day, cut.last_day))
     assert row_set(views.operations_daily(star, cut)) == row_set(expected)
     assert Calendar.of(dim_time).of_year(2024) == Calendar.of(dim_time)
+    outside = Calendar.of(dim_time).of_year(2031)
+    assert outside.is_empty()
+    for build in views.BUILDERS.values():
+        assert build(star, outside).collect() == []
 
 
 def test_same_result_under_other_partitioning(both, spark):
