@@ -12,11 +12,11 @@ larger ones) is ``SIMILARITY`` or more. A class is a set of texts connected by l
    equal to their similarity. Texts that agree in all samples of a band share a bucket. A pair at
    0.8 is missed by all bands with probability 0.002, at 0.85 with 0.0001.
 3. Verification. Equal texts are one node, the smallest id that has the text. In each bucket all
-   nodes are compared with the bucket's smallest one; nodes whose component is still another one
-   are then compared among themselves in the same way, round by round. Distances to the smallest node
-   say which other pairs of a bucket can be linked at all (the distance obeys the triangle
-   inequality); those not yet in one component are compared too. So no link between texts that share
-   a bucket is lost, and no bucket lists all its pairs.
+   nodes are compared with the bucket's smallest one, and components are built from the links. Where a
+   bucket still holds several components, the nodes outside the first one's component are compared
+   with all other nodes of the bucket, in cells of at most about ``2 * CELL`` nodes; a cell gives only
+   the links that join components. So no link between texts that share a bucket is lost, and no pairs
+   are listed within a component, however large.
 
 Results carry ``doc_id``. NULL and empty texts: a text without words is only the copy of an equal
 text; NULL is a copy of nothing, each such row a class of its own. Rows without an id have no class.
@@ -42,6 +42,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 12, 4
 COMMON = 0.01
 LEAST_IDF = 0.5
+CELL = 256
 
 _SEEDS = mixed(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -285,45 +286,94 @@ def _rooted(frame: DataFrame, roots: DataFrame, node: str, root: str) -> DataFra
 
 def _linked(members: DataFrame, shingled: DataFrame, weights) -> DataFrame:
     """(node, root) of all nodes with a link."""
-    known = links = None
-    open_ = members
-    while True:
-        pairs = open_.where("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b")).distinct()
-        if known is not None:
-            pairs = pairs.join(known, ["a", "b"], "left_anti")
-        found = _compared(pairs, shingled, weights)
-        known = found if known is None else materialise(known.union(found))
-        links = known.where(F.col("similarity") >= SIMILARITY).select("a", "b")
-        roots = components(links)
-        # what is in another component than its bucket's first node forms a bucket of its own
-        apart = _rooted(_rooted(open_, roots, "node", "root"), roots, "rep", "rep_root").where("root <> rep_root")
-        apart = materialise(apart.select("band", "key", "node"))
-        first = apart.groupBy("band", "key").agg(F.min("node").alias("rep"), F.max("node").alias("last")).where("rep < last")
-        open_ = apart.join(first.drop("last"), ["band", "key"])
-        if open_.isEmpty():
-            break
-    pairs = _remaining(members, known, roots)
-    found = _compared(pairs, shingled, weights).where(F.col("similarity") >= SIMILARITY).select("a", "b")
-    return roots if found.isEmpty() else components(links.union(found))
-
-
-def _remaining(members: DataFrame, known: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of a bucket, not compared and in different components, that may be linked.
-
-    Both distances to the bucket's smallest node are known. If they differ by more than the distance
-    of a link, the pair can't be linked.
+    pairs = members.where("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b")).distinct()
+    links = _compared(pairs, shingled, weights).where(F.col("similarity") >= SIMILARITY).select("a", "b")
+    roots = components(links)
+    more = materialise(_joined_cells(_cells(members, roots), shingled, weights))
+    if more.isEmpty():
+        return roots
+    # the components so far are stars around their roots; the new links join some of them
+    return components(more.union(roots.toDF("a", "b")))
+
+
+def _cells(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """(band, key, kind, i, j, node, root, first): the nodes of each cell of the buckets with several components.
+
+    Nodes of the first node's component and the rest are dealt to chunks by hash. Cells of kind 0 hold
+    a chunk of the rest and one of the others, kind 1 two chunks of the rest. ``first`` marks nodes to
+    be compared with those that are not.
     """
-    far = 1 - SIMILARITY
-    distance = known.select(F.col("a").alias("node"), F.col("b").alias("rep"), (1 - F.col("similarity")).alias("d"))
-    near = members.where("node <> rep").join(distance, ["node", "rep"])
-    near = _rooted(_rooted(near, roots, "node", "root"), roots, "rep", "rep_root")
-    apart = near.where("root <> rep_root").select("band", "key", "node", "root", "d")
-    other = near.select("band", "key", F.col("node").alias("b"), F.col("root").alias("b_root"), F.col("d").alias("b_d"))
-    # buckets of distances: only neighbouring ones can hold linkable pairs
-    apart = apart.withColumn("slot", F.explode(F.array(*(F.floor(F.col("d") / far) + i for i in (-1, 0, 1)))))
-    other = other.withColumn("slot", F.floor(F.col("b_d") / far))
-    pairs = apart.join(other, ["band", "key", "slot"]).where(
-        (F.col("root") != F.col("b_root")) & (F.col("node") != F.col("b")) & (F.abs(F.col("d") - F.col("b_d")) <= far + 1e-9)
-    )
-    pairs = pairs.select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
-    return pairs.join(known, ["a", "b"], "left_anti")
+    rooted = _rooted(_rooted(members, roots, "node", "root"), roots, "rep", "rep_root")
+    rooted = rooted.select("band", "key", "node", "root", (F.col("root") == F.col("rep_root")).alias("main"))
+    rooted = materialise(rooted)
+    chunks = lambda test: F.ceil(F.count_if(test) / CELL).cast("int")
+    sizes = rooted.groupBy("band", "key").agg(chunks(F.col("main")).alias("mains"), chunks(~F.col("main")).alias("rests"))
+    dealt = rooted.join(sizes.where("rests > 0"), ["band", "key"])
+    spread = F.pmod(F.xxhash64("node"), F.when(F.col("main"), F.col("mains")).otherwise(F.col("rests"))).cast("int")
+    dealt = dealt.withColumn("chunk", spread)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = ["band", "key"]
+    columns = [*own, "kind", "i", "j", "node", "root", "first"]
+    mains = dealt.where("main").select("*", every("rests").alias("j")).withColumnsRenamed({"chunk": "i"})
+    rests = dealt.where("not main").select("*", every("mains").alias("i")).withColumnsRenamed({"chunk": "j"})
+    mixed = mains.withColumn("first", F.lit(False)).unionByName(rests.withColumn("first", F.lit(True))).withColumn("kind", F.lit(0))
+    among = dealt.where("not main").select("*", every("rests").alias("other"))
+    among = among.withColumns({"kind": F.lit(1), "i": F.least("chunk", "other"), "j": F.greatest("chunk", "other"), "first": F.lit(True)})
+    return mixed.select(columns).union(among.select(columns))
+
+
+def _joined_cells(cells: DataFrame, shingled: DataFrame, weights) -> DataFrame:
+    """(a, b): links that join components, from the comparisons in each cell."""
+
+    def run(cell: pa.Table) -> pa.Table:
+        own = Weights(*weights.value)
+        node, root, first = (cell.column(n).to_numpy() for n in ("node", "root", "first"))
+        found = [np.frombuffer(x, np.uint64) for x in cell.column("found").to_pylist()]
+        links = cell_links(own, node, root, first, found)
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    filled = cells.join(shingled, "node").groupBy("band", "key", "kind", "i", "j")
+    return filled.applyInArrow(run, "a long, b long").distinct()
+
+
+def cell_links(weights: Weights, node: np.ndarray, root: np.ndarray, first: np.ndarray, found: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links of nodes in ``first`` with any node of another component, but no two that join the same ones.
+
+    A shingle's k-th occurrence is an element of its own with the shingle's idf, so that the sum of the
+    smaller weights is the summed idf of the elements two texts share; an inverted index gives it for
+    one text and all others at once.
+    """
+    counts = [counted(x) for x in found]
+    sizes = np.array([len(x) for x in found])
+    value = np.concatenate(found) if len(found) else np.zeros(0, np.uint64)
+    occurrence = np.concatenate([np.arange(len(x)) - np.repeat(np.cumsum(c) - c, c) for x, (_, c) in zip(found, counts)])
+    idf = weights.of(value, np.ones(len(value), np.int64))
+    _, element = np.unique(value + occurrence.astype(np.uint64) * _STEP, return_inverse=True)
+    owner = np.repeat(np.arange(len(found)), sizes)
+    total = np.bincount(owner, idf, len(found))
+    begin = np.append(0, np.cumsum(sizes))
+    sort = np.argsort(element, kind="stable")
+    holder, edge = owner[sort], np.searchsorted(element[sort], np.arange(element.max(initial=-1) + 2))
+    group: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while group.get(x, x) != x:
+            x = group[x]
+        return x
+
+    links = []
+    for row in np.flatnonzero(first):
+        mine = slice(begin[row], begin[row + 1])
+        start, size = edge[element[mine]], edge[element[mine] + 1] - edge[element[mine]]
+        ends = np.cumsum(size)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - size), size)
+        shared = np.bincount(holder[at], np.repeat(idf[mine], size), len(found))
+        union = total + total[row] - shared
+        for other in np.flatnonzero(shared >= SIMILARITY * union - 1e-9 * union):
+            x, y = top(int(root[row])), top(int(root[other]))
+            if x != y and shared[other] / union[other] >= SIMILARITY:
+                group[max(x, y)] = min(x, y)
+                links.append((int(node[row]), int(node[other])))
+    return links
+
+
