@@ -334,15 +334,21 @@ def state_lookup(df: DataFrame, states: DataFrame) -> DataFrame:
     return df.join(looked_up, "state_code", "left")
 
 
-def portfolio_targets(clients: DataFrame, years: list[int], by: list[str]) -> DataFrame:
+def portfolio_targets(
+    clients: DataFrame,
+    years: list[int],
+    by: list[str],
+    growth_rate: float = GROWTH_RATE,
+    policies_per_client: float = POLICIES_PER_CLIENT,
+) -> DataFrame:
     """Target clients and policies per year: all clients in the last year, less growth before it."""
     total = clients.groupBy(*by).agg(F.count("*").alias("total_clients"))
     last = max(years)
     rows = total.withColumn("year", F.explode(F.array(*[F.lit(y) for y in sorted(years)])))
-    shrink = F.pow(F.lit(1 + GROWTH_RATE), (F.lit(last) - F.col("year")).cast("double"))
+    shrink = F.pow(F.lit(1 + growth_rate), (F.lit(last) - F.col("year")).cast("double"))
     active = F.floor(F.col("total_clients").cast("double") / shrink)
     return rows.withColumn("active_clients", active).withColumn(
-        "estimated_policies", F.floor(F.col("active_clients") * F.lit(POLICIES_PER_CLIENT))
+        "estimated_policies", F.floor(F.col("active_clients") * F.lit(policies_per_client))
     )
 
 

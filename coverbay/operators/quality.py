@@ -15,10 +15,12 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from coverbay.schemas import PRIMARY_KEY, RAW, STAR, VIEWS
 from coverbay.sources.parameters import literal_table
+from coverbay.sources.raw import CORRUPT
 
 FAIL, WARN = "FAIL", "WARN"
 
@@ -483,7 +485,13 @@ def _present(*stages: str) -> dict[str, tuple[str, list[str]]]:
 
 
 def check_raw(spark: SparkSession, raw: dict[str, DataFrame], bounds: Bounds = Bounds()) -> DataFrame:
-    return run_rules(spark, {"raw": raw_rules(bounds)}, raw, _present("raw"))
+    """Rules of the raw tables; for those read with their unparsable lines, also that there are none."""
+    parsed = [
+        Rows(name, f"V-R3.{name}", f"{CORRUPT} IS NOT NULL", (CORRUPT,))
+        for name, table in raw.items()
+        if CORRUPT in table.columns
+    ]
+    return run_rules(spark, {"raw": [*raw_rules(bounds), *parsed]}, raw, _present("raw"))
 
 
 def check_star(spark: SparkSession, star: dict[str, DataFrame]) -> DataFrame:
@@ -497,9 +505,9 @@ def check_constraints(spark: SparkSession, star: dict[str, DataFrame]) -> DataFr
 def check_loaded(
     spark: SparkSession, star: dict[str, DataFrame], views: dict[str, DataFrame]
 ) -> DataFrame:
-    """Loaded tables and views. A view is run for one row; an empty view only warns."""
+    """Loaded tables and views. A view is run for one row; an empty view warns, a failing one fails."""
     report = run_rules(spark, {"loaded": loaded_rules()}, {**star, **views}, _present("loaded"))
-    return _union([report, *_view_probes(views)])
+    return report.unionByName(_view_probes(spark, views))
 
 
 def check_tables(spark: SparkSession, star: dict[str, DataFrame]) -> DataFrame:
@@ -513,22 +521,17 @@ def check_views(
 ) -> DataFrame:
     """The part of the loaded stage that needs the views."""
     present = run_rules(spark, {"loaded": []}, {**star, **views}, _present("loaded"))
-    return _union([present, *_view_probes(views)])
+    return present.unionByName(_view_probes(spark, views))
 
 
-def _view_probes(views: dict[str, DataFrame]) -> list[DataFrame]:
-    probes = []
+def _view_probes(spark: SparkSession, views: dict[str, DataFrame]) -> DataFrame:
+    """A row per view. A view that fails is a violated FAIL rule, not the end of the report."""
+    rows = []
     for name, view in views.items():
-        rows = view.limit(1).agg(F.count("*").alias("n"))
-        empty = F.when(F.col("n") > 0, 0).otherwise(1).cast("bigint")
-        probes.append(
-            rows.select(
-                F.lit("loaded").alias("stage"),
-                F.lit(name).alias("table_name"),
-                F.lit(f"V-L10.{name}").alias("rule_id"),
-                F.lit(WARN).alias("severity"),
-                empty.alias("violations"),
-                (F.col("n") > 0).alias("passed"),
-            )
-        )
-    return probes
+        try:
+            empty, severity = int(not view.take(1)), WARN  # a row with all its columns
+        except PySparkException:
+            empty, severity = None, FAIL
+        rows.append(("loaded", name, f"V-L10.{name}", severity, empty, empty == 0))
+    schema = "stage string, table_name string, rule_id string, severity string, violations bigint, passed boolean"
+    return spark.createDataFrame(rows, schema)

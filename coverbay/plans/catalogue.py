@@ -13,11 +13,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DecimalType
 
 from coverbay import standin
+from coverbay.dirt import RAW_DIRT, STAR_DIRT, dirtied
 from coverbay.functions.text import tolerant_flag
 from coverbay.operators import derive, quality, star as builders
 from coverbay.operators.inforce import Calendar
 from coverbay.plans import dashboards, views
-from coverbay.sources.parameters import NEW_BUSINESS_WEIGHTS
 from coverbay.sources.raw import row_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +95,12 @@ def quality_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.check_constraints(spark, _star(spark, sf_dir))
 
 
+def quality_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw, star, loaded and constraint rules over tables with faults of every kind."""
+    raw = quality.check_raw(spark, dirtied(_raw(spark, sf_dir), RAW_DIRT), BOUNDS)
+    return raw.union(quality.check_tables(spark, dirtied(_star(spark, sf_dir), STAR_DIRT)))
+
+
 def table_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = _raw(spark, sf_dir)
     return row_counts({**raw, **builders.build_star(raw)})
@@ -216,15 +222,21 @@ def state_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def portfolio_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parameters = standin.parameters(spark, sf_dir)
     return derive.portfolio_targets(
-        _raw(spark, sf_dir)["clients"], [LAST_YEAR - 1, LAST_YEAR], ["region_code"]
+        _raw(spark, sf_dir)["clients"],
+        [LAST_YEAR - 1, LAST_YEAR],
+        ["region_code"],
+        parameters.growth_rate,
+        parameters.policies_per_client,
     )
 
 
 def seasonal_allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     policies = builders.build_fact_policies(_raw(spark, sf_dir)["policies"])
     yearly = policies.groupBy("policy_year", "product_key").agg(F.count("*").alias("new_policies"))
-    return derive.seasonal_allocation(yearly, "new_policies", NEW_BUSINESS_WEIGHTS)
+    weights = standin.parameters(spark, sf_dir).new_business_weights
+    return derive.seasonal_allocation(yearly, "new_policies", list(weights))
 
 
 QUERIES: dict[str, Query] = {
@@ -281,6 +293,7 @@ QUERIES: dict[str, Query] = {
     "quality_star": quality_star,
     "quality_loaded": quality_loaded,
     "quality_ddl": quality_ddl,
+    "quality_dirty": quality_dirty,
     "row_counts": table_row_counts,
     "fraud_flag_parse": fraud_flag_parse,
     "policy_term": policy_term,

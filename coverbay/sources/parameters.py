@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -71,7 +71,14 @@ NEW_BUSINESS_WEIGHTS = [
 GROWTH_RATE = 0.40
 POLICIES_PER_CLIENT = 1.75
 
+# First and last day of the data window.
+WINDOW = ("2023-01-01", "2025-12-31")
+
 CONFIG_SCHEMA = """
+    time struct<start_date: string, end_date: string, years: array<int>>,
+    portfolio struct<
+        avg_policies_per_client: double,
+        by_year: map<string, struct<active_clients: bigint, estimated_policies: bigint>>>,
     organization struct<states: array<struct<state_code: string, region_code: string, market_tier: string>>>,
     products map<string, map<string, struct<base_monthly_premium: decimal(18,2)>>>,
     claims struct<
@@ -93,6 +100,12 @@ class Parameters:
     climate: DataFrame  # state_code, climate
     tax_rates: DataFrame  # market_tier, tier_rate
     default_climate: str = DEFAULT_CLIMATE
+    window: tuple[str, str] = WINDOW
+    years: tuple[int, ...] = (2023, 2024, 2025)
+    policies_per_client: float = POLICIES_PER_CLIENT
+    growth_rate: float = GROWTH_RATE
+    new_business_weights: tuple[str, ...] = tuple(NEW_BUSINESS_WEIGHTS)
+    targets: dict[int, tuple[int, int]] | None = None  # year: active clients, estimated policies
 
 
 def literal_table(spark: SparkSession, columns: str, rows: list[tuple]) -> DataFrame:
@@ -130,21 +143,46 @@ def read_parameters(spark: SparkSession, path: str) -> Parameters:
     """Parameters of a JSON configuration document; parts it does not hold keep their defaults."""
     defaults = default_parameters(spark)
     document = spark.read.schema(CONFIG_SCHEMA).option("multiLine", True).json(path)
+    # one row; which parts it holds, and its single values
+    head = document.select(
+        F.size("organization.states").alias("states"),
+        F.size("products").alias("plans"),
+        F.size("claims.baseline_frequency").alias("baseline"),
+        F.size("claims.seasonality_by_month").alias("seasonality"),
+        F.size("claims.climate_sensitivity_by_state").alias("climate"),
+        "claims.default_climate_factor",
+        "time",
+        "portfolio",
+    ).first()
 
     def entries(column: str, key: str, value: str) -> DataFrame:
         return document.select(F.explode(column).alias(key, value))
 
     by_line = document.select(F.explode("products").alias("line_of_business", "line_plans"))
     plans = by_line.select("line_of_business", F.explode("line_plans").alias("plan_name", "plan"))
-    climate_default = document.select("claims.default_climate_factor").first()[0]
-    return Parameters(
-        states=document.select(F.inline("organization.states")),
-        plans=plans.select("line_of_business", "plan_name", "plan.base_monthly_premium"),
-        baseline=entries("claims.baseline_frequency", "line_of_business", "baseline_frequency"),
-        seasonality=entries("claims.seasonality_by_month", "month", "seasonality").withColumn(
+    tables = {
+        "states": document.select(F.inline("organization.states")),
+        "plans": plans.select("line_of_business", "plan_name", "plan.base_monthly_premium"),
+        "baseline": entries("claims.baseline_frequency", "line_of_business", "baseline_frequency"),
+        "seasonality": entries("claims.seasonality_by_month", "month", "seasonality").withColumn(
             "month", F.col("month").cast("int")
         ),
-        climate=entries("claims.climate_sensitivity_by_state", "state_code", "climate"),
-        tax_rates=defaults.tax_rates,
-        default_climate=DEFAULT_CLIMATE if climate_default is None else str(climate_default),
-    )
+        "climate": entries("claims.climate_sensitivity_by_state", "state_code", "climate"),
+    }
+    given: dict = {name: table for name, table in tables.items() if (head[name] or -1) >= 0}
+    if head["default_climate_factor"] is not None:
+        given["default_climate"] = str(head["default_climate_factor"])
+    time, portfolio = head["time"], head["portfolio"]
+    if time is not None:
+        given["window"] = (time["start_date"] or WINDOW[0], time["end_date"] or WINDOW[1])
+        if time["years"]:
+            given["years"] = tuple(time["years"])
+    if portfolio is not None:
+        if portfolio["avg_policies_per_client"] is not None:
+            given["policies_per_client"] = portfolio["avg_policies_per_client"]
+        if portfolio["by_year"]:
+            given["targets"] = {
+                int(year): (target["active_clients"], target["estimated_policies"])
+                for year, target in portfolio["by_year"].items()
+            }
+    return replace(defaults, **given)

@@ -5,8 +5,13 @@ then appends one row to the list of published versions. Readers take the newest
 so a load that fails or is cut short is never seen, and a repeated load replaces the whole data
 set. Dashboards read the written views, whose size is segments x periods, and never the facts.
 
+A load claims its version number first, by creating a file that only one load can create, so two
+loads at a time write different folders. Of the published versions the newest few are kept.
+
+    <root>/claims/<n>                       the load that may write version n
+    <root>/versions/<n>/raw_report          rules of the raw stage and their outcome, if there was one
     <root>/versions/<n>/<table>             the tables of one load
-    <root>/versions/<n>/views/<view>        the semantic views over them
+    <root>/versions/<n>/views/<view>        the semantic views over them, partitioned by year
     <root>/versions/<n>/quality_report      every rule and its outcome
     <root>/published                        one row per published version
 """
@@ -19,9 +24,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from coverbay.operators import quality
 from coverbay.plans.views import build_views
 from coverbay.schemas import STAR, VIEWS
+from coverbay.sources import folders
 
 # The policy fact is the one large table that is read by year.
 PARTITIONED = {"fact_policies": "policy_year"}
+KEPT_VERSIONS = 3
 # Rows are sorted inside each file, so that row groups outside a date range are skipped.
 SORTED = {"fact_policies": "effective_date_key", "fact_claims": "incident_date_key"}
 
@@ -84,12 +91,26 @@ def quality_report(spark: SparkSession, root: str, version: int) -> DataFrame:
     return spark.read.parquet(table_path(root, version, "quality_report"))
 
 
+def raw_report(spark: SparkSession, root: str, version: int) -> DataFrame:
+    """The rules of the raw stage before a load and their outcome, published or not."""
+    return spark.read.parquet(table_path(root, version, "raw_report"))
+
+
 def read_view(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """One semantic view of the newest published version, as it was computed by the load."""
+    """One semantic view of the newest published version, as it was computed by the load.
+
+    A filter on ``year`` reads that year's files only.
+    """
     version = published_version(spark, root)
     if version == 0:
         raise NothingPublished(root)
-    return spark.read.parquet(view_path(root, version, name))
+    return _stored_view(spark, root, version, name)
+
+
+def _stored_view(spark: SparkSession, root: str, version: int, name: str) -> DataFrame:
+    view = spark.read.parquet(view_path(root, version, name))
+    first, *rest = [column for column in view.columns if column != "year"]
+    return view.select(first, "year", *rest)  # partition columns are read last
 
 
 def view_path(root: str, version: int, name: str) -> str:
@@ -103,28 +124,63 @@ def _record(spark: SparkSession, root: str, version: int, report: DataFrame, mod
     quality.enforce(quality_report(spark, root, version))
 
 
-def load_warehouse(spark: SparkSession, star: dict[str, DataFrame], root: str) -> int:
+def claim_version(spark: SparkSession, root: str) -> int:
+    """The next version number that no other load holds, now held by the caller."""
+    version = published_version(spark, root) + 1
+    while not folders.create_once(spark, f"{root}/claims/{version}"):
+        version += 1
+    return version
+
+
+def release_version(spark: SparkSession, root: str, version: int) -> None:
+    """Give up a claimed version, so that the next load overwrites it."""
+    folders.delete(spark, f"{root}/claims/{version}")
+
+
+def drop_old_versions(spark: SparkSession, root: str, keep: int) -> None:
+    """Remove published versions but the newest ``keep``; folders of running loads stay."""
+    published = spark.read.parquet(f"{root}/published").select("version").distinct()
+    kept = {row.version for row in published.orderBy(F.desc("version")).limit(keep).collect()}
+    for name in folders.names(spark, f"{root}/versions"):
+        if int(name) < min(kept):
+            folders.delete(spark, f"{root}/versions/{name}")
+            folders.delete(spark, f"{root}/claims/{name}")
+
+
+def load_warehouse(
+    spark: SparkSession, star: dict[str, DataFrame], root: str, version: int | None = None, keep: int = KEPT_VERSIONS
+) -> int:
     """Full refresh of all nine tables and four views; returns the version it published.
 
     Tables are written dimensions first, then every rule runs on what was written. Raises, and
-    publishes nothing, if a FAIL rule is violated; the report stays beside the tables. The folder
-    of an earlier load that stopped half way is overwritten.
+    publishes nothing, if a FAIL rule is violated; the report stays beside the tables, and the next
+    load overwrites them. ``version`` is one that the caller has claimed.
     """
-    version = published_version(spark, root) + 1
+    version = claim_version(spark, root) if version is None else version
+    try:
+        _write_version(spark, star, root, version)
+    except BaseException:
+        release_version(spark, root, version)
+        raise
+    drop_old_versions(spark, root, keep)
+    return version
+
+
+def _write_version(spark: SparkSession, star: dict[str, DataFrame], root: str, version: int) -> None:
     for name in STAR:
         write_table(star[name], table_path(root, version, name), name)
     written = read_version(spark, root, version)
     _record(spark, root, version, quality.check_tables(spark, written), "overwrite")
 
     for name, view in build_views(written).items():
-        view.write.mode("overwrite").parquet(view_path(root, version, name))
-    views = {name: spark.read.parquet(view_path(root, version, name)) for name in VIEWS}
+        # one writer per year: a view is segments x periods, a year of it a few files at most
+        view.hint("rebalance", F.col("year")).write.mode("overwrite").partitionBy("year").parquet(view_path(root, version, name))
+    views = {name: _stored_view(spark, root, version, name) for name in VIEWS}
     _record(spark, root, version, quality.check_views(spark, written, views), "append")
 
     spark.range(1).select(
         F.lit(version).alias("version"), F.current_timestamp().alias("published_at")
     ).coalesce(1).write.mode("append").parquet(f"{root}/published")
-    return version
 
 
 def missing_from_catalog(spark: SparkSession, names: list[str]) -> list[str]:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import dataclasses
 import datetime
 import json
 from types import SimpleNamespace
@@ -12,7 +13,7 @@ from coverbay.operators import quality
 from coverbay.operators.star import build_star
 from coverbay.plans import refresh, views
 from coverbay.schemas import RAW, STAR
-from coverbay.sources import parameters, raw, warehouse
+from coverbay.sources import folders, parameters, raw, warehouse
 from tests.tables import calendar_rows, money, row_set, star_table
 from tests.test_quality import CLEAN_RAW, CLEAN_STAR, raw_tables, spark_star
 
@@ -101,6 +102,39 @@ def test_parameters_document(spark, root):
     assert read.tax_rates.count() == 3
 
 
+def write_json(root, document):
+    path = f"{root}/part.json"
+    with open(path, "w") as file:
+        json.dump(document, file, indent=2)
+    return path
+
+
+@pytest.mark.parametrize(
+    "part, changed",
+    [
+        ({}, set()),
+        ({"claims": {"baseline_frequency": {"Boat": 0.5}}}, {"baseline"}),
+        ({"claims": {"seasonality_by_month": {"1": 0.5}}}, {"seasonality"}),
+        ({"claims": {"climate_sensitivity_by_state": {"ZZ": 2}, "default_climate_factor": 1.5}}, {"climate", "default_climate"}),
+        ({"organization": {"states": [{"state_code": "ZZ", "region_code": "Z", "market_tier": "Tier 1"}]}}, {"states"}),
+        ({"products": {"Boat": {"Small": {"base_monthly_premium": 7}}}}, {"plans"}),
+        ({"time": {"start_date": "2020-01-01", "end_date": "2021-12-31", "years": [2020, 2021]}}, {"window", "years"}),
+        ({"portfolio": {"avg_policies_per_client": 2.5}}, {"policies_per_client"}),
+        ({"portfolio": {"by_year": {"2020": {"active_clients": 5, "estimated_policies": 8}}}}, {"targets"}),
+    ],
+)
+def test_parts_that_a_document_lacks_keep_their_defaults(spark, root, part, changed):
+    read = parameters.read_parameters(spark, write_json(root, part))
+    defaults = parameters.default_parameters(spark)
+    plain = lambda value: row_set(value) if hasattr(value, "schema") else value
+    names = [field.name for field in dataclasses.fields(defaults)]
+    assert {n for n in names if plain(getattr(read, n)) != plain(getattr(defaults, n))} == changed
+    if "targets" in changed:
+        assert read.targets == {2020: (5, 8)}
+    if "window" in changed:
+        assert read.window == ("2020-01-01", "2021-12-31") and read.years == (2020, 2021)
+
+
 def test_default_parameters(spark):
     defaults = parameters.default_parameters(spark)
     counts = [t.count() for t in (defaults.states, defaults.plans, defaults.seasonality, defaults.climate)]
@@ -138,6 +172,45 @@ def test_warehouse_publishes_only_what_passes(spark, root):
     assert row_set(warehouse.read_warehouse(spark, root)["fact_claims"], "claim_type") == [("Death",)]
 
 
+def test_two_loads_never_share_a_version(spark, root):
+    assert [warehouse.claim_version(spark, root) for _ in range(2)] == [1, 2]
+    warehouse.release_version(spark, root, 1)
+    assert warehouse.claim_version(spark, root) == 1
+
+
+def test_old_versions_go(spark, root):
+    star = spark_star(spark, CLEAN_STAR)
+    for _ in range(3):
+        warehouse.load_warehouse(spark, star, root, keep=2)
+    assert folders.names(spark, f"{root}/versions") == ["2", "3"]
+    assert warehouse.read_warehouse(spark, root)["fact_taxes"].count() == 1
+    years = folders.names(spark, f"{root}/versions/3/views/risk_daily")
+    assert any(name.startswith("year=") for name in years)
+
+
+def test_a_failing_view_is_a_failed_rule(spark):
+    star = spark_star(spark, CLEAN_STAR)
+    built = views.build_views(star)
+    broken = spark.range(1).select(F.raise_error(F.lit("no view")).alias("x"))
+    report = quality.check_views(spark, star, {**built, "risk_daily": broken})
+    rows = {row.rule_id: (row.severity, row.violations, row.passed) for row in report.collect()}
+    assert rows["V-L10.risk_daily"] == ("FAIL", None, False)
+    assert rows["V-L10.claims_loss"] == ("WARN", 0, True)
+
+
+def test_refresh_reports_missing_files_and_lines_that_do_not_parse(spark, root):
+    for name, table in raw_tables(spark, CLEAN_RAW).items():
+        if name == "claims":
+            table = table.withColumn("claim_amount_paid", F.lit("much"))
+        if name != "taxes":
+            raw.write_csv(table, f"{root}/raw", name)
+    with pytest.raises(quality.QualityGateFailed, match="V-R1"):
+        refresh.refresh_warehouse(spark, f"{root}/raw", f"{root}/warehouse")
+    report = {row.rule_id: row.violations for row in warehouse.raw_report(spark, f"{root}/warehouse", 1).collect()}
+    assert report["V-R1"] == 1 and report["V-R2.taxes"] is None
+    assert report["V-R3.claims"] == len(CLEAN_RAW["claims"]) and report["V-R3.clients"] == 0
+
+
 def test_refresh_from_raw_files(spark, root):
     tables = raw_tables(spark, CLEAN_RAW)
     for name, table in tables.items():
@@ -146,6 +219,8 @@ def test_refresh_from_raw_files(spark, root):
     loaded = warehouse.read_warehouse(spark, f"{root}/warehouse")
     direct = build_star(tables)
     assert version == 1
+    assert warehouse.raw_report(spark, f"{root}/warehouse", 1).where("rule_id = 'V-K7'").count() == 1
+    assert folders.names(spark, f"{root}/warehouse/staging") == []
     for name in STAR:
         assert row_set(loaded[name]) == row_set(direct[name]), name
     assert row_set(views.exec_portfolio(loaded)) == row_set(views.exec_portfolio(direct))
