@@ -4,19 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# A key is hot above both. Fewer than 1 / HOT_SHARE keys can each hold more than HOT_SHARE of the
-# rows, which bounds the list that is broadcast, whatever the data.
-HOT_SHARE = 0.0001
+# A key is hot above this. At most rows / ROWS_PER_SLICE keys can be, so the list that is broadcast
+# has a millionth of the table's rows: about 20 MB for 10^12 of them.
 ROWS_PER_SLICE = 1_000_000
 
 
-def hot_keys(
-    df: DataFrame, key: str, rows_per_slice: int = ROWS_PER_SLICE, share: float = HOT_SHARE
-) -> DataFrame:
+def hot_keys(df: DataFrame, key: str, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Keys, NULL included, with very many rows, and the number of slices to cut each into."""
     counts = df.groupBy(F.col(key).alias("hot_key")).agg(F.count("*").alias("n"))
-    total = df.agg(F.count("*").alias("n")).select("n").scalar()
-    hot = counts.where((F.col("n") > rows_per_slice) & (F.col("n") > total * F.lit(share)))
+    hot = counts.where(F.col("n") > rows_per_slice)
     return hot.select("hot_key", F.ceil(F.col("n") / rows_per_slice).cast("int").alias("slices"))
 
 
@@ -27,7 +23,6 @@ def salted_join(
     spread_by: str,
     how: str = "left",
     rows_per_slice: int = ROWS_PER_SLICE,
-    share: float = HOT_SHARE,
 ) -> DataFrame:
     """``left`` joined to ``right`` on ``key``, inner or left, with hot keys of ``left`` cut up.
 
@@ -35,7 +30,7 @@ def salted_join(
     every attempt of a task. Rows of ``right`` are repeated once per slice of their key, so every
     pair still meets exactly once. A hot key costs about one task per ``rows_per_slice`` rows.
     """
-    hot = F.broadcast(hot_keys(left, key, rows_per_slice, share))
+    hot = F.broadcast(hot_keys(left, key, rows_per_slice))
     slices = F.coalesce("slices", F.lit(1))
     salt = F.pmod(F.xxhash64(spread_by), slices).cast("int")
     salted_left = (

@@ -1,13 +1,12 @@
 """Every query by name, each over the test tables of a scale-factor folder.
 
-The raw and star DataFrames of a folder are declared once per session, and the first and last day
-of their calendar fetched once. Nothing else is kept: each query reads the Parquet tables again.
+Nothing is kept between queries: each one lists the folder, fetches the first and last day of the
+calendar where a view needs them, and reads the Parquet tables again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DecimalType
@@ -40,17 +39,14 @@ def shown(df: DataFrame) -> DataFrame:
     )
 
 
-@lru_cache(maxsize=4)
 def _raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return standin.raw_tables(spark, sf_dir)
 
 
-@lru_cache(maxsize=4)
 def _star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return builders.build_star(_raw(spark, sf_dir))
 
 
-@lru_cache(maxsize=4)
 def _calendar(spark: SparkSession, sf_dir: str) -> Calendar:
     return Calendar.of(_star(spark, sf_dir)["dim_time"])
 

@@ -72,7 +72,7 @@ GROWTH_RATE = 0.40
 POLICIES_PER_CLIENT = 1.75
 
 # First and last day of the data window.
-WINDOW = ("2023-01-01", "2025-12-31")
+WINDOW = ("2024-01-01", "2025-12-31")
 
 CONFIG_SCHEMA = """
     time struct<start_date: string, end_date: string, years: array<int>>,
@@ -101,7 +101,7 @@ class Parameters:
     tax_rates: DataFrame  # market_tier, tier_rate
     default_climate: str = DEFAULT_CLIMATE
     window: tuple[str, str] = WINDOW
-    years: tuple[int, ...] = (2023, 2024, 2025)
+    years: tuple[int, ...] = (2024, 2025)
     policies_per_client: float = POLICIES_PER_CLIENT
     growth_rate: float = GROWTH_RATE
     new_business_weights: tuple[str, ...] = tuple(NEW_BUSINESS_WEIGHTS)

@@ -90,7 +90,7 @@ def claims_and_policies(spark, n=3000):
 @pytest.mark.parametrize("how", ["left", "inner"])
 def test_salted_join_equals_plain_join(spark, how):
     left, right = claims_and_policies(spark)
-    salted = skew.salted_join(left, right, "k", "id", how, rows_per_slice=100, share=0.01)
+    salted = skew.salted_join(left, right, "k", "id", how, rows_per_slice=100)
     assert row_set(salted, "k", "id", "v") == row_set(left.join(right, "k", how), "k", "id", "v")
     # nothing is hot: same rows
     plain = skew.salted_join(left, right, "k", "id", how)
@@ -99,10 +99,10 @@ def test_salted_join_equals_plain_join(spark, how):
 
 def test_hot_keys_are_cut_into_slices(spark):
     left, _ = claims_and_policies(spark)
-    hot = {row.hot_key: row.slices for row in skew.hot_keys(left, "k", rows_per_slice=100, share=0.01).collect()}
+    hot = {row.hot_key: row.slices for row in skew.hot_keys(left, "k", rows_per_slice=100).collect()}
     assert set(hot) == {None, "P1"} and hot[None] == 10 and hot["P1"] in (10, 11)
-    # no more keys than 1 / share can be hot, so the broadcast list is bounded
-    assert skew.hot_keys(left, "k", rows_per_slice=0, share=0.01).count() <= 100
+    # no more keys than rows / rows_per_slice can be hot, which bounds the broadcast list
+    assert skew.hot_keys(left, "k", rows_per_slice=10).count() <= left.count() / 10
     assert skew.hot_keys(left, "k").isEmpty()
 
 
@@ -118,7 +118,7 @@ def test_a_hot_policy_is_spread_over_tasks(spark):
             return sizes.agg(F.max("count")).first()[0]
 
         plain = left.join(right.where("v >= 0"), "k", "left")
-        salted = skew.salted_join(left, right.where("v >= 0"), "k", "id", rows_per_slice=100, share=0.01)
+        salted = skew.salted_join(left, right.where("v >= 0"), "k", "id", rows_per_slice=100)
         assert largest(plain) >= 1000
         assert largest(salted) <= 500
     finally:
