@@ -45,4 +45,83 @@ SELECT p.page_id, CAST(p.bytes AS BIGINT) AS payload_bytes, p.digest AS payload_
 FROM page p LEFT JOIN first f ON p.digest = f.digest
 """
 
-ORACLES = {"op1_decontaminate": _OP1, "op9_warc": _OP9}
+_WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+_OP2 = f"""
+WITH doc AS (
+    SELECT doc_id, {_WORDS} AS words FROM documents WHERE text IS NOT NULL
+), term AS (
+    SELECT doc_id, word, count(*) AS tf FROM (SELECT doc_id, unnest(words) AS word FROM doc) GROUP BY ALL
+), size AS (
+    SELECT doc_id, len(words) AS n FROM doc
+), total AS (
+    SELECT count(*) AS docs, (SELECT sum(n) FROM size) / count(*) AS mean FROM documents
+), idf AS (
+    SELECT word, ln(1 + (docs - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM term, total GROUP BY word, docs
+), scored AS (
+    SELECT q.doc_id AS query_id, d.doc_id,
+           round(sum(idf * d.tf * 2.2 / (d.tf + 1.2 * (0.25 + 0.75 * n / mean))), 6) AS score
+    FROM term q JOIN term d ON d.word = q.word JOIN idf ON idf.word = q.word JOIN size ON size.doc_id = d.doc_id, total
+    WHERE q.doc_id % 50 = 0 GROUP BY q.doc_id, d.doc_id
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored QUALIFY rank <= 10
+"""
+
+# CRC-32 from its definition: a table of 256 remainders, then one step per byte
+_OP4 = """
+WITH RECURSIVE steps(n, c, k) AS (
+    SELECT i, i, 0 FROM (SELECT CAST(unnest(range(256)) AS UBIGINT) AS i)
+    UNION ALL
+    SELECT n, CASE WHEN c & 1 = 1 THEN xor(CAST(3988292384 AS UBIGINT), c >> 1) ELSE c >> 1 END, k + 1 FROM steps WHERE k < 8
+), remainders AS (
+    SELECT list(c ORDER BY n) AS t FROM steps WHERE k = 8
+), doc AS (
+    SELECT doc_id, CAST(coalesce(octet_length(encode(text)), 0) + 1 AS BIGINT) AS size,
+           list_prepend(CAST(4294967295 AS UBIGINT), list_transform(regexp_extract_all(hex(encode(text)), '..'),
+               lambda pair: CAST('0x' || pair AS UBIGINT))) AS bytes
+    FROM documents
+), summed AS (
+    SELECT doc_id, size, CAST(xor(list_reduce(bytes, lambda c, b: xor(c >> 8, t[CAST(xor(c, b) & 255 AS BIGINT) + 1])),
+                                  CAST(4294967295 AS UBIGINT)) AS BIGINT) AS text_crc32 FROM doc, remainders
+), line AS (
+    SELECT *, sum(size) OVER (ORDER BY doc_id NULLS FIRST, text_crc32 NULLS FIRST, size ROWS UNBOUNDED PRECEDING) AS upto,
+           (SELECT sum(size) FROM summed) AS total FROM summed
+), placed AS (
+    SELECT *, CAST((2 * upto - size) * 8 // (2 * total) AS INTEGER) AS shard FROM line
+)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, text_crc32 NULLS FIRST, size) - 1 AS slot,
+       CAST(NULL AS INTEGER) AS grown_shard FROM placed
+"""
+
+# every pair that shares a shingle, then the components of all links
+_OP10 = f"""
+WITH RECURSIVE doc AS (
+    SELECT doc_id, {_WORDS} AS words, min(doc_id) OVER (PARTITION BY text) AS text_id FROM documents
+), shingle AS (
+    SELECT doc_id, text_id, array_to_string(words[i:i + 4], ' ') AS s, count(*) AS n
+    FROM (SELECT *, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM doc WHERE len(words) > 0) GROUP BY ALL
+), weight AS (
+    SELECT s, CASE WHEN count(*) > 0.01 * docs THEN 0.5 + 0.5 * greatest(0, least(1, ln(docs / count(*)) / ln(100))) ELSE 1 END AS idf
+    FROM shingle, (SELECT count(*) AS docs FROM documents) GROUP BY s, docs
+), weighed AS (
+    SELECT doc_id, s, n * idf AS w FROM shingle JOIN weight USING (s) WHERE doc_id = text_id
+), total AS (
+    SELECT doc_id, sum(w) AS w FROM weighed GROUP BY doc_id
+), shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, sum(least(a.w, b.w)) AS w
+    FROM weighed a JOIN weighed b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), link AS (
+    SELECT a, b FROM shared JOIN total x ON x.doc_id = a JOIN total y ON y.doc_id = b
+    WHERE shared.w / (x.w + y.w - shared.w) >= 0.8
+), reach AS (
+    SELECT text_id AS node, text_id AS root FROM doc
+    UNION
+    SELECT CASE WHEN reach.node = a THEN b ELSE a END, root FROM reach JOIN link ON reach.node = a OR reach.node = b
+)
+SELECT doc.doc_id, (SELECT min(root) FROM reach WHERE node = text_id) AS class_id, text_id FROM doc
+"""
+
+ORACLES = {"op1_decontaminate": _OP1, "op2_topk": _OP2, "op4_shard": _OP4, "op9_warc": _OP9, "op10_near_duplicates": _OP10}
