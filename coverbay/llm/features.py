@@ -86,24 +86,41 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes | None]:
     return batch.column(batch.schema.names.index(name)).cast(pa.binary()).to_pylist()
 
 
+class Examples:
+    """Terms and targets of labelled texts, in the portions they came in; never copied into one."""
+
+    def __init__(self):
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.target = np.zeros(0, np.int64)
+
+    def add(self, first: np.ndarray, bucket: np.ndarray, weight: np.ndarray) -> None:
+        self.parts.append((first, bucket.astype(np.uint32), weight.astype(np.float32)))
+
+    def rows(self) -> np.ndarray:
+        """(part, row) of each text."""
+        return np.array([(p, row) for p, (first, _, _) in enumerate(self.parts) for row in range(len(first) - 1)]).reshape(-1, 2)
+
+    def row(self, part: int, row: int) -> tuple[np.ndarray, np.ndarray]:
+        first, bucket, weight = self.parts[part]
+        mine = slice(first[row], first[row + 1])
+        return bucket[mine].astype(np.int64), weight[mine]
+
+
 def fitted(examples: DataFrame, terms: Callable, fit: Callable) -> bytes | None:
-    """What ``fit`` makes of (first, bucket, weight, target) of the examples (tie, text, target).
+    """What ``fit`` makes of the ``Examples`` of the rows (tie, text, target).
 
-    One task reads the examples, a bounded sample, in the order of ``tie`` and keeps their terms.
+    One task reads the rows, a bounded sample, in the order of ``tie`` and keeps their terms, about
+    twice the size of their texts for each kind of term.
     """
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes, buckets, weights, targets = [], [], [], []
+        kept, targets = Examples(), []
         for batch in batches:
             targets += batch.column(batch.schema.names.index("target")).to_pylist()
             for _, texts in portions(texts_of(batch)):
-                first, bucket, weight = terms(texts)
-                sizes.append(np.diff(first))
-                buckets.append(bucket.astype(np.uint32))
-                weights.append(weight)
-        first = np.concatenate(([0], np.cumsum(np.concatenate(sizes)))) if sizes else np.zeros(1, np.int64)
-        joined = [np.concatenate(x) if x else np.zeros(0) for x in (buckets, weights)]
-        yield pa.RecordBatch.from_arrays([pa.array([fit(first, *joined, np.array(targets))], pa.binary())], ["model"])
+                kept.add(*terms(texts))
+        kept.target = np.array(targets, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array([fit(kept)], pa.binary())], ["model"])
 
     sample = examples.repartition(1).sortWithinPartitions("tie", "text")
     row = sample.mapInArrow(train, "model binary").first()

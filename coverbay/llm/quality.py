@@ -16,7 +16,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame
 
-from coverbay.llm.features import fitted, scored, word_pairs
+from coverbay.llm.features import Examples, fitted, scored, word_pairs
 from coverbay.llm.shared import bounded_examples
 
 BITS = 20
@@ -35,16 +35,17 @@ def _weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:
     return -moved / ((BETA + np.sqrt(n)) / ALPHA + L2)
 
 
-def fit(first: np.ndarray, bucket: np.ndarray, weight: np.ndarray, target: np.ndarray) -> bytes:
+def fit(examples: Examples) -> bytes:
     """Weights of all buckets, then the bias, as 32-bit floats."""
+    target, rows = examples.target, examples.rows()
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
     positive = (target.sum() + 1) / (len(target) + 2)
     bias, seen = float(np.log(positive / (1 - positive))), 1.0
     order = np.random.default_rng(8)
     for _ in range(EPOCHS):
         for row in order.permutation(len(target)):
-            at = bucket[first[row] : first[row + 1]].astype(np.int64)
-            x = weight[first[row] : first[row + 1]].astype(float)
+            at, x = examples.row(*rows[row])
+            x = x.astype(float)
             w = _weights(z[at], n[at])
             miss = 1 / (1 + np.exp(-(w @ x + bias))) - target[row]
             g = miss * x

@@ -20,7 +20,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from coverbay.llm.features import fitted, scored, words_and_stems
+from coverbay.llm.features import Examples, fitted, scored, words_and_stems
 from coverbay.llm.shared import bounded_examples
 
 BITS = 18
@@ -43,20 +43,20 @@ def _weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:
     return -moved / ((BETA + np.sqrt(n)) / ALPHA + L2)
 
 
-def _ratios(first: np.ndarray, bucket: np.ndarray, target: np.ndarray, positive: float) -> np.ndarray:
+def _ratios(examples: Examples, positive: float) -> np.ndarray:
     """Log ratio of each bucket's documents, toxic to others, against that of all documents."""
-    toxic = np.repeat(target == 1, np.diff(first))
-    ones = np.bincount(bucket[toxic], minlength=1 << BITS) + SMOOTHING * positive
-    others = np.bincount(bucket[~toxic], minlength=1 << BITS) + SMOOTHING * (1 - positive)
+    ones, others = np.full(1 << BITS, SMOOTHING * positive), np.full(1 << BITS, SMOOTHING * (1 - positive))
+    for (part, row), target in zip(examples.rows(), examples.target):
+        bucket, _ = examples.row(part, row)  # each bucket once
+        (ones if target == 1 else others)[bucket] += 1
     return np.log(ones / others) - np.log(positive / (1 - positive))
 
 
-def fit(first: np.ndarray, bucket: np.ndarray, weight: np.ndarray, target: np.ndarray) -> bytes:
+def fit(examples: Examples) -> bytes:
     """Log ratios, linear weights and factors by bucket, then the bias, as 32-bit floats."""
-    bucket = bucket.astype(np.int64)
+    target, rows = examples.target, examples.rows()
     positive = (target.sum() + 1) / (len(target) + 2)
-    ratio = _ratios(first, bucket, target, positive)
-    x_all = weight * ratio[bucket]
+    ratio = _ratios(examples, positive)
     order = np.random.default_rng(3)
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
     v = order.normal(0, FACTOR_START, (1 << BITS, FACTORS))
@@ -64,7 +64,8 @@ def fit(first: np.ndarray, bucket: np.ndarray, weight: np.ndarray, target: np.nd
     bias, seen = float(np.log(positive / (1 - positive))), 1.0
     for _ in range(EPOCHS):
         for row in order.permutation(len(target)):
-            at, x = bucket[first[row] : first[row + 1]], x_all[first[row] : first[row + 1]]
+            at, x = examples.row(*rows[row])
+            x = x * ratio[at]
             w, fx = _weights(z[at], n[at]), v[at] * x[:, None]
             total = fx.sum(0)
             margin = bias + w @ x + (total @ total - (fx * fx).sum()) / 2

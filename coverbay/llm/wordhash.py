@@ -59,7 +59,7 @@ def word_hashes(texts: list[bytes | None], keep: bytes = WORD_BYTES) -> tuple[np
     return runs.hashes(), runs.first
 
 
-def portions(texts: list[bytes | None], most: int = 8 << 20):
+def portions(texts: list[bytes | None], most: int = 4 << 20):
     """(first row, texts) of runs of whole texts with about ``most`` bytes; a longer text is one."""
     first, size = 0, 0
     for row, text in enumerate(texts):

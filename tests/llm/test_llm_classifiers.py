@@ -8,7 +8,7 @@ from llm_tables import DOCUMENTS, documents, sentence
 from pyspark.sql import functions as F
 
 from coverbay.llm import quality, toxicity
-from coverbay.llm.features import words_and_stems, word_pairs
+from coverbay.llm.features import Examples, words_and_stems, word_pairs
 
 INSULTS = ["zwick", "zwack", "zwuck"]
 GROUPS = ["martians", "venusians"]
@@ -59,7 +59,10 @@ def test_factors_learn_pairs_that_weights_miss():
         target.append(int(insult and group))
     target = np.array(target)
     terms = toxicity.terms(texts)
-    score = toxicity.score(toxicity.fit(*terms, target))(*terms)
+    examples = Examples()
+    examples.add(*terms)
+    examples.target = target
+    score = toxicity.score(toxicity.fit(examples))(*terms)
     both, one = score[target == 1].mean(), score[target == 0].max()
     assert both > 0.8 and np.mean((score > 0.5) == target) > 0.95, (both, one)
 
