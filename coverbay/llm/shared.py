@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -40,6 +42,16 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared folder and read again, so that Spark knows its size.
+
+    A join then broadcasts it if it is below the session's threshold, and shuffles both sides if not.
+    """
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fresh(taken: list[str], name: str) -> str:
     """``name``, or a longer one that no column has, whatever its case."""
     used = {column.lower() for column in taken}

@@ -31,7 +31,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from coverbay.llm.shared import materialise, shared_folder
+from coverbay.llm.shared import materialise, shared_folder, stored
 
 ARCHIVE_BYTES = 64 << 20
 LEAST_SHARED = 100
@@ -52,7 +52,8 @@ def typed(pages: DataFrame) -> DataFrame:
     rows = rows.withColumn("digest", F.sha2(F.col("html").cast("binary"), 256))
     large = rows.where(F.octet_length("html") >= LEAST_SHARED)
     first = large.groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    joined = rows.join(first.select("digest", "first"), "digest", "left")
+    # payloads are shuffled only if the repeated digests are too many to broadcast
+    joined = rows.join(stored(first.select("digest", "first")), "digest", "left")
     refers = F.when(~F.col("first").eqNullSafe(F.col("page_id")), F.col("first"))
     return joined.select("page_id", "url", "html", "digest", refers.alias("refers_to"))
 
