@@ -7,10 +7,12 @@ counted by language; everything else follows from these counts in Spark: an orde
 
     p_n(d | context) = (count - D) / count(context) + D types(context) / count(context) p_(n-1)(d | ...)
 
-with raw counts in the highest order and, below it, the number of different symbols that precede. A
-language's terms are stored as sorted arrays of ``BITS``-bit hashes with their values; terms whose hashes
-meet share the larger value, so a language has at most 7 * 2 ** BITS values, which bounds what is
-broadcast (12 bytes each). More than ``MOST_LANGUAGES`` languages raise ValueError.
+with raw counts in the highest order and, below it, the number of different symbols that precede. Every
+term is kept, by a 64-bit hash that is one to one on grams, so no two grams share a value. Up to
+``MOST_TERMS`` terms (12 bytes each) are broadcast as sorted arrays. A larger model stays a table:
+documents are cut in runs of about 4 MB, the terms that a run's texts ask for are joined to the table,
+and each run meets what was found. Both ways score alike. More than ``MOST_LANGUAGES`` languages raise
+ValueError.
 
 The language with the least cross-entropy per symbol is predicted, the first in code-point order among
 equals. The score is the softmax of the cross-entropies times ``sharpness`` times the root of the
@@ -25,10 +27,13 @@ the new ones get longer names where they would clash.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from coverbay.llm.features import texts_of
@@ -36,12 +41,13 @@ from coverbay.llm.shared import fresh, materialise
 from coverbay.llm.wordhash import Runs, portions
 
 ORDER = 4
-BITS = 18
+MOST_TERMS = 1 << 21
 MOST_LANGUAGES = 200
 EXAMPLES = 4_000
 REJECT = 0.001
 _SHARPNESS = [0.25, 0.5, 1.0, 2.0, 4.0, 8.0, 16.0]
 _SYMBOLS = 1 << 16
+_RUN_BYTES = 4 << 20
 
 #: a-z after lower-casing and bytes beyond ASCII
 _LETTERS = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
@@ -119,7 +125,31 @@ def _terms(counts: DataFrame, order: int) -> DataFrame:
     return shares.select("lang", F.lit(order).alias("part"), "gram", value.alias("value")).union(rest)
 
 
-def learned(documents: DataFrame) -> dict[str, dict[int, tuple[np.ndarray, np.ndarray]]]:
+@dataclass(frozen=True)
+class Stored:
+    """A model too large to broadcast: its languages, and its terms (lang, part, hash, value)."""
+
+    langs: list[str]
+    terms: DataFrame
+
+
+def _arrays(langs: list[str], terms: pa.Table) -> dict[str, dict[int, tuple[np.ndarray, np.ndarray]]]:
+    """By language and part: sorted hashes and values."""
+    number, part, key, value = (
+        x.to_numpy() for x in (pc.index_in(terms["lang"], pa.array(langs, pa.string())), *(terms[n] for n in ("part", "hash", "value")))
+    )
+    place = number.astype(np.int64) * (2 * ORDER + 1) + part + ORDER
+    sort = np.lexsort((key, place))
+    place, key, value = place[sort], key[sort], value[sort]
+    ends = np.searchsorted(place, np.arange(len(langs) * (2 * ORDER + 1) + 1)).tolist()
+    model = {}
+    for i, lang in enumerate(langs):
+        at = lambda p: slice(*ends[i * (2 * ORDER + 1) + p + ORDER :][:2])  # noqa: B023, E731
+        model[lang] = {p: (key[at(p)], value[at(p)]) for p in range(-ORDER, ORDER + 1) if p}
+    return model
+
+
+def learned(documents: DataFrame) -> dict[str, dict[int, tuple[np.ndarray, np.ndarray]]] | Stored:
     """By language and part: sorted hashes and values. Part n: shares of order n; -n: what is left over."""
     counts = materialise(gram_counts(documents.where("lang is not null and text is not null").select("lang", "text")))
     parts, level = None, counts
@@ -128,24 +158,22 @@ def learned(documents: DataFrame) -> dict[str, dict[int, tuple[np.ndarray, np.nd
         parts = terms if parts is None else parts.union(terms)
         below = F.col("gram").bitwiseAND(F.lit((1 << 16 * (order - 1)) - 1))
         level = level.groupBy("lang", below.alias("gram")).agg(F.count(F.lit(1)).alias("n"))
-    hashed = F.shiftrightunsigned(F.xxhash64("gram"), 64 - BITS).cast("int").alias("hash")
-    stored = parts.groupBy("lang", "part", hashed).agg(F.max("value").cast("float").alias("value"))
-    stored = materialise(stored)
+    stored = materialise(parts.select("lang", "part", F.xxhash64("gram").alias("hash"), F.col("value").cast("float").alias("value")))
     langs = sorted(r["lang"] for r in stored.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect())
     if len(langs) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    model = {}
-    for lang in langs:  # one language in the driver's memory at a time, beside the arrays
-        found = stored.where(F.col("lang") == lang).select("part", "hash", "value").toArrow()
-        part, key, value = (found.column(i).to_numpy() for i in range(3))
-        sort = np.lexsort((key, part))
-        part, key, value = part[sort], key[sort], value[sort]
-        model[lang] = {int(p): (key[part == p], value[part == p]) for p in np.unique(part)}
-    return model
+    return Stored(langs, stored) if stored.count() > MOST_TERMS else _arrays(langs, stored.toArrow())
+
+
+def languages(model: dict | Stored) -> list[str]:
+    return model.langs if isinstance(model, Stored) else list(model)
 
 
 def _xxhash64(value: np.ndarray) -> np.ndarray:
-    """Spark's xxhash64 of one long: the published algorithm for eight bytes with seed 42."""
+    """Spark's xxhash64 of one long: the published algorithm for eight bytes with seed 42.
+
+    Products with odd numbers, turns and shifted XORs can all be undone, so different longs differ in it.
+    """
     one, two, three, four, five = (
         np.uint64(p)
         for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
@@ -160,75 +188,126 @@ def _xxhash64(value: np.ndarray) -> np.ndarray:
 
 def _found(part: tuple[np.ndarray, np.ndarray], hashes: np.ndarray, missing: float) -> np.ndarray:
     keys, values = part
+    if not len(keys):
+        return np.full(len(hashes), missing)
     at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
     return np.where(keys[at] == hashes, values[at], missing)
 
 
-def log_probabilities(model: dict, gram: np.ndarray) -> np.ndarray:
-    """Natural log of each gram's probability (rows) in each language (columns)."""
-    out = np.empty((len(gram), len(model)))
-    hashes = lambda x: (_xxhash64(x) >> np.uint64(64 - BITS)).astype(np.int32)
-    mask = [np.uint64((1 << 16 * order) - 1) if order < 4 else np.uint64(0xFFFFFFFFFFFFFFFF) for order in range(ORDER + 1)]
-    whole = {order: hashes(gram & mask[order]) for order in range(1, ORDER + 1)}
-    context = {order: hashes((gram & mask[order]) >> np.uint64(16)) for order in range(1, ORDER + 1)}
-    for column, parts in enumerate(model.values()):
-        p = np.full(len(gram), 1 / _SYMBOLS)
-        for order in range(1, ORDER + 1):
-            p = _found(parts[order], whole[order], 0.0) + _found(parts[-order], context[order], 1.0) * p
-        out[:, column] = np.log(p)
+def _asked(gram: np.ndarray) -> dict[int, np.ndarray]:
+    """By part: the hashes of the terms that each gram's probability is made of."""
+    out = {}
+    for order in range(1, ORDER + 1):
+        whole = gram & np.uint64((1 << 16 * order) - 1)
+        out[order], out[-order] = (_xxhash64(x).view(np.int64) for x in (whole, whole >> np.uint64(16)))
     return out
 
 
+def log_probabilities(parts: dict, asked: dict[int, np.ndarray]) -> np.ndarray:
+    """Natural log of each gram's probability in one language."""
+    p = np.full(len(asked[1]), 1 / _SYMBOLS)
+    for order in range(1, ORDER + 1):
+        p = _found(parts[order], asked[order], 0.0) + _found(parts[-order], asked[-order], 1.0) * p
+    return np.log(p)
+
+
 def cross_entropies(model: dict, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     """(symbols of each text, cross-entropy of each text in each language)."""
     grams = Grams(texts)
     values, at = np.unique(grams.gram, return_inverse=True)
-    logs = log_probabilities(model, values)
+    asked = _asked(values)
     text = np.repeat(np.arange(len(texts)), np.diff(grams.first))
     word_size = np.bincount(grams.word, minlength=grams.words)
     size = np.bincount(text, word_size[grams.used], len(texts))
     out = np.empty((len(texts), len(model)))
-    for column in range(len(model)):
-        word = np.bincount(grams.word, logs[at, column], grams.words)
+    for column, parts in enumerate(model.values()):
+        word = np.bincount(grams.word, log_probabilities(parts, asked)[at], grams.words)
         out[:, column] = -np.bincount(text, word[grams.used], len(texts)) / np.maximum(size, 1)
     return size, out
 
 
+def _in_runs(documents: DataFrame, name: str) -> DataFrame:
+    """The documents with the number of their run, about ``_RUN_BYTES`` of texts; kept, as it is read twice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size, first = 0, TaskContext.get().partitionId() << 32
+        for batch in batches:
+            upto = size + np.cumsum([len(text or b"") + 1 for text in texts_of(batch)], dtype=np.int64)
+            before = np.concatenate(([size], upto))[: len(upto)]
+            size = int(upto[-1]) if len(upto) else size
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(first + before // _RUN_BYTES)], [*batch.schema.names, name])
+
+    return materialise(documents.mapInArrow(run, T.StructType([*documents.schema.fields]).add(name, T.LongType())))
+
+
+def _judged(documents: DataFrame, model: dict | Stored, judge: Callable, schema: T.StructType) -> DataFrame:
+    """The rows that ``judge(model, batch)`` makes of the documents, its model having all terms they ask for."""
+    if not isinstance(model, Stored):
+        shared = documents.sparkSession.sparkContext.broadcast(model)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield judge(shared.value, batch)
+
+        return documents.mapInArrow(run, schema)
+    langs, name = model.langs, fresh(documents.columns, "run")
+    rows = _in_runs(documents, name)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, numbers = texts_of(batch), batch.column(1).to_numpy()
+            for number in np.unique(numbers):
+                gram = np.unique(Grams([texts[i] for i in np.flatnonzero(numbers == number)]).gram)
+                for part, hashes in _asked(gram).items():
+                    hashes = np.unique(hashes)
+                    columns = [pa.array(np.full(len(hashes), x, kind)) for x, kind in ((number, np.int64), (part, np.int32))]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(hashes)], [name, "part", "hash"])
+
+    def meet(rows: pa.Table, terms: pa.Table) -> pa.Table:
+        here = _arrays(langs, terms)  # terms asked for in two batches are there twice, with one value
+        return pa.Table.from_batches([judge(here, batch) for batch in rows.drop_columns([name]).combine_chunks().to_batches()])
+
+    # a key meets a row per language here and a row per run there, never a row per document
+    terms = rows.select("text", name).mapInArrow(ask, f"`{name}` long, part int, hash long").join(model.terms, ["part", "hash"])
+    return rows.groupBy(name).cogroup(terms.groupBy(name)).applyInArrow(meet, schema)
+
+
 def _confidence(size: np.ndarray, entropy: np.ndarray, sharpness: float) -> np.ndarray:
     gap = (entropy - entropy.min(1, keepdims=True)) * (sharpness * np.sqrt(size))[:, None]
     weight = np.exp(-gap)
     return weight / weight.sum(1, keepdims=True)
 
 
-def calibrated(documents: DataFrame, model: dict, most: int = EXAMPLES) -> tuple[float, float]:
+def calibrated(documents: DataFrame, model: dict | Stored, most: int = EXAMPLES) -> tuple[float, float]:
     """(sharpness, rejection threshold) from at most ``most`` documents (doc_id, lang, text), by the hash of the id."""
     if not model:
         return 1.0, 0.0
-    langs = list(model)
+    langs = languages(model)
     kept = documents.where(F.col("text").isNotNull() & F.col("lang").isin(langs))
     chosen = kept.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     sample = kept.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(F.struct("text", "lang")).alias("row")).select("row.*")
-    shared = documents.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            truth = np.array([langs.index(lang) for lang in batch.column(1).to_pylist()], np.int64)
-            for row, texts in portions(texts_of(batch)):
-                size, entropy = cross_entropies(shared.value, texts)
-                here = np.flatnonzero(size > 0)
-                right = truth[row : row + len(texts)][here]
-                loss = [-np.log(np.maximum(_confidence(size[here], entropy[here], s)[np.arange(len(here)), right], 1e-9)) for s in _SHARPNESS]
-                column = pa.array([list(x) for x in np.array(loss).T], pa.list_(pa.float64()))
-                yield pa.RecordBatch.from_arrays([column, pa.array(entropy[here, right])], ["loss", "entropy"])
-
-    losses = sample.mapInArrow(run, "loss array<double>, entropy double").toArrow()
+    def judge(model: dict, batch: pa.RecordBatch) -> pa.RecordBatch:
+        truth = np.array([langs.index(lang) for lang in batch.column(1).to_pylist()], np.int64)
+        losses, entropies = [], []
+        for row, texts in portions(texts_of(batch)):
+            size, entropy = cross_entropies(model, texts)
+            here = np.flatnonzero(size > 0)
+            right = truth[row : row + len(texts)][here]
+            loss = [-np.log(np.maximum(_confidence(size[here], entropy[here], s)[np.arange(len(here)), right], 1e-9)) for s in _SHARPNESS]
+            losses += np.array(loss).T.tolist()
+            entropies += entropy[here, right].tolist()
+        return pa.RecordBatch.from_arrays([pa.array(losses, pa.list_(pa.float64())), pa.array(entropies, pa.float64())], ["loss", "entropy"])
+
+    schema = T.StructType().add("loss", T.ArrayType(T.DoubleType())).add("entropy", T.DoubleType())
+    losses = _judged(sample, model, judge, schema).toArrow()
     if not losses.num_rows:
         return 1.0, 0.0
     total = np.array(losses.column(0).to_pylist()).sum(0)
     return _SHARPNESS[int(total.argmin())], float(np.quantile(losses.column(1).to_numpy(), 1 - REJECT))
 
 
-def identify(documents: DataFrame, model: dict, sharpness: float, threshold: float) -> tuple[DataFrame, dict[str, str]]:
+def identify(documents: DataFrame, model: dict | Stored, sharpness: float, threshold: float) -> tuple[DataFrame, dict[str, str]]:
     """The documents with lang_pred, score, cross_entropy and rejected, and the names these got."""
     names: dict[str, str] = {}
     for name in ("lang_pred", "score", "cross_entropy", "rejected"):
@@ -236,33 +315,28 @@ def identify(documents: DataFrame, model: dict, sharpness: float, threshold: flo
     schema = T.StructType([*documents.schema.fields])
     for name, kind in zip(names.values(), (T.StringType(), T.DoubleType(), T.DoubleType(), T.BooleanType())):
         schema.add(name, kind)
-    langs = np.array([*model, "und"], object)
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+    langs = np.array([*languages(model), "und"], object)
 
-    def judged(texts: list[bytes | None]) -> tuple[np.ndarray, ...]:
-        if not model_of():
+    def judged(model: dict, texts: list[bytes | None]) -> tuple[np.ndarray, ...]:
+        if not model:
             nothing = np.zeros(len(texts))
             return np.full(len(texts), -1), nothing, nothing, nothing > 0
-        size, entropy = cross_entropies(model_of(), texts)
+        size, entropy = cross_entropies(model, texts)
         best, none = entropy.argmin(1), size == 0
         least = np.where(none, 0.0, entropy.min(1))
         score = np.where(none, 0.0, _confidence(size, entropy, sharpness).max(1))
         return np.where(none, -1, best), score, least, least > threshold
 
-    def model_of() -> dict:
-        return shared.value
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [judged(texts) for _, texts in portions(texts_of(batch))]
-            best, *rest = (np.concatenate(x) for x in zip(*rows)) if rows else (np.zeros(0, np.int64),) * 4
-            new = [pa.array(list(langs[best]), pa.string()), pa.array(rest[0], pa.float64()), pa.array(rest[1], pa.float64()), pa.array(rest[2].astype(bool))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=schema.names)
+    def judge(model: dict, batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = [judged(model, texts) for _, texts in portions(texts_of(batch))]
+        best, *rest = (np.concatenate(x) for x in zip(*rows)) if rows else (np.zeros(0, np.int64),) * 4
+        new = [pa.array(list(langs[best]), pa.string()), pa.array(rest[0], pa.float64()), pa.array(rest[1], pa.float64()), pa.array(rest[2].astype(bool))]
+        return pa.RecordBatch.from_arrays([*batch.columns, *new], names=schema.names)
 
-    return documents.mapInArrow(run, schema), names
+    return _judged(documents, model, judge, schema), names
 
 
-def train(documents: DataFrame, learn: Column) -> tuple[dict, float, float]:
+def train(documents: DataFrame, learn: Column) -> tuple[dict | Stored, float, float]:
     """Model, sharpness and threshold from the documents that fulfil ``learn`` and have a language."""
     lessons = documents.where(learn)
     model = learned(lessons)

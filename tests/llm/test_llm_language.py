@@ -103,3 +103,31 @@ def test_repeated_rows_and_portions_count_alike(spark):
     twice = m.gram_counts(spark.createDataFrame([r[1:3][::-1] for r in rows * 2], "lang string, text string").repartition(3))
     a = {(r["lang"], r["gram"]): r["n"] for r in once.collect()}
     assert {(r["lang"], r["gram"]): r["n"] for r in twice.collect()} == {k: 2 * v for k, v in a.items()}
+
+
+def test_many_different_grams_share_no_value(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyzäöüéèàçñ") for _ in range(12))
+    texts = [" ".join(word() for _ in range(1_000)) for _ in range(30)]
+    model = m.learned(spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string"))
+    p = plain_model(texts)
+    query = [word() for _ in range(200)]
+    _, entropy = m.cross_entropies(model, [q.encode() for q in query])
+    want = [-np.mean([math.log(p(("\0" * 3 + w + "\0")[i - 3 : i + 1])) for i in range(3, len(w) + 4)]) for w in query]
+    assert entropy[:, 0] == pytest.approx(want, rel=1e-4)
+
+
+def test_model_beyond_the_broadcast_size_scores_alike(spark, monkeypatch):
+    rows = lessons(7, 90) + awkward(random.Random(8))
+    docs = spark.createDataFrame([(*r, 5) for r in rows], DOCUMENTS + ", run int").repartition(3)
+    want = m.train(docs, F.lit(True))
+    monkeypatch.setattr(m, "MOST_TERMS", 100)
+    monkeypatch.setattr(m, "_RUN_BYTES", 2_000)
+    got = m.train(docs, F.lit(True))
+    assert isinstance(got[0], m.Stored) and got[1:] == pytest.approx(want[1:])
+    a, b = (m.identify(docs, *model)[0] for model in (want, got))
+    assert a.columns == b.columns
+    key = lambda r: str((r["doc_id"], r["text"], r["lang_pred"]))
+    for x, y in zip(sorted(a.collect(), key=key), sorted(b.collect(), key=key), strict=True):
+        assert x[:-4] == y[:-4] and (x["lang_pred"], x["rejected"]) == (y["lang_pred"], y["rejected"])
+        assert (x["score"], x["cross_entropy"]) == pytest.approx((y["score"], y["cross_entropy"]))
