@@ -11,8 +11,8 @@ with raw counts in the highest order and, below it, the number of different symb
 term is kept, by a 64-bit hash that is one to one on grams, so no two grams share a value. Up to
 ``MOST_TERMS`` terms (12 bytes each) are broadcast as sorted arrays. A larger model stays a table:
 documents are cut in runs of about 4 MB, the terms that a run's texts ask for are joined to the table,
-and each run meets what was found. Both ways score alike. More than ``MOST_LANGUAGES`` languages raise
-ValueError.
+and each run meets what was found. Both ways score alike. Any number of languages can be learned; the
+driver keeps their names, and texts meet one after the other, so that only the best so far is kept.
 
 The language with the least cross-entropy per symbol is predicted, the first in code-point order among
 equals. The score is the softmax of the cross-entropies times ``sharpness`` times the root of the
@@ -42,7 +42,6 @@ from coverbay.llm.wordhash import Runs, portions
 
 ORDER = 4
 MOST_TERMS = 1 << 21
-MOST_LANGUAGES = 200
 EXAMPLES = 4_000
 REJECT = 0.001
 _SHARPNESS = [0.25, 0.5, 1.0, 2.0, 4.0, 8.0, 16.0]
@@ -159,9 +158,7 @@ def learned(documents: DataFrame) -> dict[str, dict[int, tuple[np.ndarray, np.nd
         below = F.col("gram").bitwiseAND(F.lit((1 << 16 * (order - 1)) - 1))
         level = level.groupBy("lang", below.alias("gram")).agg(F.count(F.lit(1)).alias("n"))
     stored = materialise(parts.select("lang", "part", F.xxhash64("gram").alias("hash"), F.col("value").cast("float").alias("value")))
-    langs = sorted(r["lang"] for r in stored.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect())
-    if len(langs) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    langs = sorted(r["lang"] for r in stored.select("lang").distinct().collect())
     return Stored(langs, stored) if stored.count() > MOST_TERMS else _arrays(langs, stored.toArrow())
 
 
@@ -211,19 +208,42 @@ def log_probabilities(parts: dict, asked: dict[int, np.ndarray]) -> np.ndarray:
     return np.log(p)
 
 
-def cross_entropies(model: dict, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-    """(symbols of each text, cross-entropy of each text in each language)."""
+def _entropies(model: dict, texts: list[bytes | None]) -> tuple[np.ndarray, Iterator[np.ndarray]]:
+    """(symbols of each text, for one language after the other the cross-entropy of each text)."""
     grams = Grams(texts)
     values, at = np.unique(grams.gram, return_inverse=True)
     asked = _asked(values)
     text = np.repeat(np.arange(len(texts)), np.diff(grams.first))
     word_size = np.bincount(grams.word, minlength=grams.words)
     size = np.bincount(text, word_size[grams.used], len(texts))
-    out = np.empty((len(texts), len(model)))
-    for column, parts in enumerate(model.values()):
+
+    def entropy(parts: dict) -> np.ndarray:
         word = np.bincount(grams.word, log_probabilities(parts, asked)[at], grams.words)
-        out[:, column] = -np.bincount(text, word[grams.used], len(texts)) / np.maximum(size, 1)
-    return size, out
+        return -np.bincount(text, word[grams.used], len(texts)) / np.maximum(size, 1)
+
+    return size, map(entropy, model.values())
+
+
+def cross_entropies(model: dict, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(symbols of each text, cross-entropy of each text in each language)."""
+    size, columns = _entropies(model, texts)
+    return size, np.stack(list(columns), axis=1)
+
+
+def _compete(size: np.ndarray, columns: Iterator[np.ndarray], sharpness: list[float]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(best language of each text, its cross-entropy, and the languages' summed weights for each sharpness).
+
+    A language weighs exp(-gap); the best one's gap is 0. The gap is that of the cross-entropies times
+    the sharpness times the root of the number of symbols.
+    """
+    scale = np.array(sharpness)[:, None] * np.sqrt(size)
+    best, least, weight = np.zeros(len(size), np.int64), np.full(len(size), np.inf), np.zeros(scale.shape)
+    for number, entropy in enumerate(columns):
+        better = entropy < least
+        fall = np.exp(-np.abs(entropy - least) * scale) if number else np.zeros(scale.shape)
+        weight = np.where(better, weight * fall + 1, weight + fall)
+        best, least = np.where(better, number, best), np.where(better, entropy, least)
+    return best, least, weight
 
 
 def _in_runs(documents: DataFrame, name: str) -> DataFrame:
@@ -272,31 +292,33 @@ def _judged(documents: DataFrame, model: dict | Stored, judge: Callable, schema:
     return rows.groupBy(name).cogroup(terms.groupBy(name)).applyInArrow(meet, schema)
 
 
-def _confidence(size: np.ndarray, entropy: np.ndarray, sharpness: float) -> np.ndarray:
-    gap = (entropy - entropy.min(1, keepdims=True)) * (sharpness * np.sqrt(size))[:, None]
-    weight = np.exp(-gap)
-    return weight / weight.sum(1, keepdims=True)
-
-
 def calibrated(documents: DataFrame, model: dict | Stored, most: int = EXAMPLES) -> tuple[float, float]:
     """(sharpness, rejection threshold) from at most ``most`` documents (doc_id, lang, text), by the hash of the id."""
     if not model:
         return 1.0, 0.0
     langs = languages(model)
-    kept = documents.where(F.col("text").isNotNull() & F.col("lang").isin(langs))
+    kept = documents.where("text is not null and lang is not null")
     chosen = kept.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     sample = kept.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(F.struct("text", "lang")).alias("row")).select("row.*")
 
     def judge(model: dict, batch: pa.RecordBatch) -> pa.RecordBatch:
-        truth = np.array([langs.index(lang) for lang in batch.column(1).to_pylist()], np.int64)
+        truth = pc.index_in(batch.column(1), pa.array(langs, pa.string())).fill_null(-1).to_numpy().astype(np.int64)
         losses, entropies = [], []
         for row, texts in portions(texts_of(batch)):
-            size, entropy = cross_entropies(model, texts)
-            here = np.flatnonzero(size > 0)
-            right = truth[row : row + len(texts)][here]
-            loss = [-np.log(np.maximum(_confidence(size[here], entropy[here], s)[np.arange(len(here)), right], 1e-9)) for s in _SHARPNESS]
-            losses += np.array(loss).T.tolist()
-            entropies += entropy[here, right].tolist()
+            true, own = truth[row : row + len(texts)], np.zeros(len(texts))
+            size, columns = _entropies(model, texts)
+
+            def noted(columns: Iterator[np.ndarray]) -> Iterator[np.ndarray]:
+                for number, entropy in enumerate(columns):
+                    own[true == number] = entropy[true == number]  # noqa: B023
+                    yield entropy
+
+            _, least, weight = _compete(size, noted(columns), _SHARPNESS)
+            scale = np.array(_SHARPNESS)[:, None] * np.sqrt(size)
+            loss = np.minimum((own - least) * scale + np.log(weight), -np.log(1e-9)).T
+            here = (size > 0) & (true >= 0)
+            losses += loss[here].tolist()
+            entropies += own[here].tolist()
         return pa.RecordBatch.from_arrays([pa.array(losses, pa.list_(pa.float64())), pa.array(entropies, pa.float64())], ["loss", "entropy"])
 
     schema = T.StructType().add("loss", T.ArrayType(T.DoubleType())).add("entropy", T.DoubleType())
@@ -321,11 +343,11 @@ def identify(documents: DataFrame, model: dict | Stored, sharpness: float, thres
         if not model:
             nothing = np.zeros(len(texts))
             return np.full(len(texts), -1), nothing, nothing, nothing > 0
-        size, entropy = cross_entropies(model, texts)
-        best, none = entropy.argmin(1), size == 0
-        least = np.where(none, 0.0, entropy.min(1))
-        score = np.where(none, 0.0, _confidence(size, entropy, sharpness).max(1))
-        return np.where(none, -1, best), score, least, least > threshold
+        size, columns = _entropies(model, texts)
+        best, least, weight = _compete(size, columns, [sharpness])
+        none = size == 0
+        least = np.where(none, 0.0, least)
+        return np.where(none, -1, best), np.where(none, 0.0, 1 / weight[0]), least, least > threshold
 
     def judge(model: dict, batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = [judged(model, texts) for _, texts in portions(texts_of(batch))]

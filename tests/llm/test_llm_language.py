@@ -131,3 +131,18 @@ def test_model_beyond_the_broadcast_size_scores_alike(spark, monkeypatch):
     for x, y in zip(sorted(a.collect(), key=key), sorted(b.collect(), key=key), strict=True):
         assert x[:-4] == y[:-4] and (x["lang_pred"], x["rejected"]) == (y["lang_pred"], y["rejected"])
         assert (x["score"], x["cross_entropy"]) == pytest.approx((y["score"], y["cross_entropy"]))
+
+
+def test_many_languages_and_streamed_scores(spark):
+    rng = random.Random(9)
+    rows = [(i, sentence(rng, "en", 6), f"l{i % 230:03}") for i in range(460)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model, sharpness, threshold = m.train(docs, F.lit(True))
+    assert len(model) == 230
+    size, entropy = m.cross_entropies(model, [r[1].encode() for r in rows])
+    gap = (entropy - entropy.min(1, keepdims=True)) * (sharpness * np.sqrt(size))[:, None]
+    want = 1 / np.exp(-gap).sum(1)
+    got = sorted(m.identify(docs, model, sharpness, threshold)[0].collect())
+    assert [r["lang_pred"] for r in got] == [list(model)[x] for x in entropy.argmin(1)]
+    assert [r["score"] for r in got] == pytest.approx(want)
+    assert [r["cross_entropy"] for r in got] == pytest.approx(entropy.min(1))
