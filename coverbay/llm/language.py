@@ -16,9 +16,12 @@ driver keeps their names, and texts meet one after the other, so that only the b
 
 The language with the least cross-entropy per symbol is predicted, the first in code-point order among
 equals. The score is the softmax of the cross-entropies times ``sharpness`` times the root of the
-number of symbols; ``sharpness`` and the rejection threshold, the cross-entropy that ``REJECT`` of the
-calibration texts exceed, come from at most ``EXAMPLES`` learning documents. A text whose best
-cross-entropy is beyond the threshold has ``rejected`` set: no learned language fits it well.
+number of symbols. ``sharpness`` and the rejection threshold, the cross-entropy that ``REJECT`` of the
+calibration texts exceed, come from all learning rows whose text's hash falls in a share of one in
+``HELD``, judged by a model that counts none of them; then all learning rows make the model that judges
+the documents. Equal texts fall on the same side. If no such row has a language that model knows, all
+learning rows are judged by the final model. A text whose best cross-entropy is beyond the threshold has
+``rejected`` set: no learned language fits it well.
 
 NULL texts and texts without a letter are ``und`` with score 0; so are all texts if nothing could be
 learned. Documents without language teach nothing. Repeated rows count each time. Columns pass through;
@@ -42,8 +45,9 @@ from coverbay.llm.wordhash import Runs, portions
 
 ORDER = 4
 MOST_TERMS = 1 << 21
-EXAMPLES = 4_000
+HELD = 16
 REJECT = 0.001
+_RANKS = 100_000  # percentiles are exact to one rank in so many
 _SHARPNESS = [0.25, 0.5, 1.0, 2.0, 4.0, 8.0, 16.0]
 _SYMBOLS = 1 << 16
 _RUN_BYTES = 4 << 20
@@ -150,7 +154,11 @@ def _arrays(langs: list[str], terms: pa.Table) -> dict[str, dict[int, tuple[np.n
 
 def learned(documents: DataFrame) -> dict[str, dict[int, tuple[np.ndarray, np.ndarray]]] | Stored:
     """By language and part: sorted hashes and values. Part n: shares of order n; -n: what is left over."""
-    counts = materialise(gram_counts(documents.where("lang is not null and text is not null").select("lang", "text")))
+    return modelled(materialise(gram_counts(documents.where("lang is not null and text is not null").select("lang", "text"))))
+
+
+def modelled(counts: DataFrame) -> dict[str, dict[int, tuple[np.ndarray, np.ndarray]]] | Stored:
+    """The model of counts (lang, gram, n)."""
     parts, level = None, counts
     for order in range(ORDER, 0, -1):
         terms = _terms(level, order)
@@ -292,14 +300,12 @@ def _judged(documents: DataFrame, model: dict | Stored, judge: Callable, schema:
     return rows.groupBy(name).cogroup(terms.groupBy(name)).applyInArrow(meet, schema)
 
 
-def calibrated(documents: DataFrame, model: dict | Stored, most: int = EXAMPLES) -> tuple[float, float]:
-    """(sharpness, rejection threshold) from at most ``most`` documents (doc_id, lang, text), by the hash of the id."""
+def calibrated(documents: DataFrame, model: dict | Stored) -> tuple[float, float] | None:
+    """(sharpness, rejection threshold) of all documents (text, lang) with a language of the model; None without any."""
     if not model:
-        return 1.0, 0.0
+        return None
     langs = languages(model)
-    kept = documents.where("text is not null and lang is not null")
-    chosen = kept.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    sample = kept.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(F.struct("text", "lang")).alias("row")).select("row.*")
+    kept = documents.where("text is not null and lang is not null").select("text", "lang")
 
     def judge(model: dict, batch: pa.RecordBatch) -> pa.RecordBatch:
         truth = pc.index_in(batch.column(1), pa.array(langs, pa.string())).fill_null(-1).to_numpy().astype(np.int64)
@@ -322,11 +328,10 @@ def calibrated(documents: DataFrame, model: dict | Stored, most: int = EXAMPLES)
         return pa.RecordBatch.from_arrays([pa.array(losses, pa.list_(pa.float64())), pa.array(entropies, pa.float64())], ["loss", "entropy"])
 
     schema = T.StructType().add("loss", T.ArrayType(T.DoubleType())).add("entropy", T.DoubleType())
-    losses = _judged(sample, model, judge, schema).toArrow()
-    if not losses.num_rows:
-        return 1.0, 0.0
-    total = np.array(losses.column(0).to_pylist()).sum(0)
-    return _SHARPNESS[int(total.argmin())], float(np.quantile(losses.column(1).to_numpy(), 1 - REJECT))
+    losses = _judged(kept, model, judge, schema)
+    total = F.array(*(F.sum(F.col("loss")[i]) for i in range(len(_SHARPNESS)))).alias("total")
+    row = losses.agg(total, F.percentile_approx("entropy", 1 - REJECT, _RANKS).alias("threshold")).first()
+    return None if row["threshold"] is None else (_SHARPNESS[int(np.argmin(row["total"]))], row["threshold"])
 
 
 def identify(documents: DataFrame, model: dict | Stored, sharpness: float, threshold: float) -> tuple[DataFrame, dict[str, str]]:
@@ -360,6 +365,8 @@ def identify(documents: DataFrame, model: dict | Stored, sharpness: float, thres
 
 def train(documents: DataFrame, learn: Column) -> tuple[dict | Stored, float, float]:
     """Model, sharpness and threshold from the documents that fulfil ``learn`` and have a language."""
-    lessons = documents.where(learn)
-    model = learned(lessons)
-    return model, *calibrated(lessons, model)
+    lessons = documents.where(learn).where("lang is not null and text is not null").select("lang", "text")
+    held = F.pmod(F.xxhash64("text"), F.lit(HELD)) == 0
+    apart, rest = (materialise(gram_counts(lessons.where(rows))) for rows in (held, ~held))
+    model = modelled(rest.union(apart).groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    return model, *(calibrated(lessons.where(held), modelled(rest)) or calibrated(lessons, model) or (1.0, 0.0))

@@ -146,3 +146,23 @@ def test_many_languages_and_streamed_scores(spark):
     assert [r["lang_pred"] for r in got] == [list(model)[x] for x in entropy.argmin(1)]
     assert [r["score"] for r in got] == pytest.approx(want)
     assert [r["cross_entropy"] for r in got] == pytest.approx(entropy.min(1))
+
+
+def test_calibration_covers_all_held_out_rows_and_learns_none_of_them(spark, monkeypatch):
+    rows = [(r[0], r[1], r[2]) for r in lessons(10, 400)] * 12
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    judged, learned = [], []
+    calibrated, modelled = m.calibrated, m.modelled
+    monkeypatch.setattr(m, "calibrated", lambda d, model: judged.append((d, model)) or calibrated(d, model))
+    monkeypatch.setattr(m, "modelled", lambda counts: learned.append(counts) or modelled(counts))
+    model, sharpness, threshold = m.train(docs, F.lit(True))
+    (held, apart), = judged
+    texts = {r["text"] for r in held.collect()}
+    assert 5 < len(texts) < 80 and held.count() == 12 * len(texts)
+    total = lambda frame: {(r["lang"], r["gram"]): r["n"] for r in frame.collect()}
+    assert total(learned[0]) == total(m.gram_counts(docs.select("lang", "text")))
+    assert total(learned[1]) == total(m.gram_counts(docs.where(~F.col("text").isin(list(texts))).select("lang", "text")))
+    rows = [(t, lang) for _, t, lang in rows if t in texts]
+    _, entropy = m.cross_entropies(apart, [t.encode() for t, _ in rows])
+    own = entropy[np.arange(len(rows)), [list(apart).index(lang) for _, lang in rows]]
+    assert threshold == pytest.approx(own.max())
