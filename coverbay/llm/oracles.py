@@ -124,4 +124,72 @@ WITH RECURSIVE doc AS (
 SELECT doc.doc_id, (SELECT min(root) FROM reach WHERE node = text_id) AS class_id, text_id FROM doc
 """
 
-ORACLES = {"op1_decontaminate": _OP1, "op2_topk": _OP2, "op4_shard": _OP4, "op9_warc": _OP9, "op10_near_duplicates": _OP10}
+# each level hashes runs of eight; then every leaf is walked up, its siblings listed and its claim folded
+_OP11 = """
+WITH RECURSIVE steps(n, c, k) AS (
+    SELECT i, i, 0 FROM (SELECT CAST(unnest(range(256)) AS UBIGINT) AS i)
+    UNION ALL
+    SELECT n, CASE WHEN c & 1 = 1 THEN xor(CAST(3988292384 AS UBIGINT), c >> 1) ELSE c >> 1 END, k + 1 FROM steps WHERE k < 8
+), remainders AS (
+    SELECT list(c ORDER BY n) AS t FROM steps WHERE k = 8
+), doc AS (
+    SELECT doc_id, lang, text,
+           coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || doc_id, '-')
+           || coalesce(octet_length(encode(source)) || ':' || source, '-')
+           || coalesce(octet_length(encode(lang)) || ':' || lang, '-')
+           || coalesce(octet_length(encode(CAST(n_chars AS VARCHAR))) || ':' || n_chars, '-') AS head,
+           xor(list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), list_transform(regexp_extract_all(hex(encode(CAST(doc_id AS VARCHAR))), '..'),
+               lambda pair: CAST('0x' || pair AS UBIGINT))), lambda c, b: xor(c >> 8, t[CAST(xor(c, b) & 255 AS BIGINT) + 1])),
+               CAST(4294967295 AS UBIGINT)) % 3 = 0 AS tamper
+    FROM documents, remainders
+), hashed AS (
+    SELECT doc_id, lang, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+           sha256(head || coalesce(octet_length(encode(text)) || ':' || CASE WHEN tamper
+               THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END, '-')) AS claimed
+    FROM doc
+), leaves AS (
+    SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+           row_number() OVER (ORDER BY lang NULLS FIRST, doc_id NULLS FIRST, leaf, claimed) AS row,
+           row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, claimed) - 1 AS idx,
+           count(*) OVER (PARTITION BY lang) AS size FROM hashed
+), nodes(tree, level, idx, size, digest) AS (
+    SELECT tree, 0, idx, size, leaf FROM leaves
+    UNION ALL
+    SELECT tree, level + 1, idx // 8, (size + 7) // 8, sha256(string_agg(digest, '' ORDER BY idx))
+    FROM nodes WHERE size > 1 GROUP BY tree, level, idx // 8, size
+), subroots AS (
+    SELECT tree, digest, count(*) OVER () AS size FROM nodes WHERE size = 1
+), tops(level, idx, size, digest) AS (
+    SELECT 0, tree, size, digest FROM subroots
+    UNION ALL
+    SELECT level + 1, idx // 8, (size + 7) // 8, sha256(string_agg(digest, '' ORDER BY idx))
+    FROM tops WHERE size > 1 GROUP BY level, idx // 8, size
+), runs AS (
+    SELECT tree, level, idx // 8 AS run, list(digest ORDER BY idx) AS members FROM nodes WHERE size > 1 GROUP BY ALL
+    UNION ALL
+    SELECT -1, level, idx // 8, list(digest ORDER BY idx) FROM tops WHERE size > 1 GROUP BY ALL
+), climbed(row, own, level, idx, proof, fold) AS (
+    SELECT row, tree, 0, idx, '', claimed FROM leaves
+    UNION ALL
+    SELECT c.row, own, c.level + 1, idx // 8,
+           proof || array_to_string(members[:idx % 8] || members[idx % 8 + 2:], ''),
+           sha256(array_to_string(members[:idx % 8] || [fold] || members[idx % 8 + 2:], ''))
+    FROM climbed c JOIN runs r ON r.tree = c.own AND r.level = c.level AND r.run = c.idx // 8
+), arrived AS (
+    SELECT row, own, proof, fold FROM climbed QUALIFY row_number() OVER (PARTITION BY row ORDER BY level DESC) = 1
+), above(row, level, idx, proof, fold) AS (
+    SELECT row, 0, own, proof, fold FROM arrived
+    UNION ALL
+    SELECT a.row, a.level + 1, idx // 8,
+           proof || array_to_string(members[:idx % 8] || members[idx % 8 + 2:], ''),
+           sha256(array_to_string(members[:idx % 8] || [fold] || members[idx % 8 + 2:], ''))
+    FROM above a JOIN runs r ON r.tree = -1 AND r.level = a.level AND r.run = a.idx // 8
+), ended AS (
+    SELECT row, proof, fold FROM above QUALIFY row_number() OVER (PARTITION BY row ORDER BY level DESC) = 1
+)
+SELECT doc_id, leaf, s.digest AS subroot, t.digest AS root, sha256(proof) AS proof_sha256, fold AS folded_root,
+       fold = t.digest AS verified
+FROM leaves JOIN ended USING (row) JOIN subroots s USING (tree), (SELECT digest FROM tops WHERE size = 1) t
+"""
+
+ORACLES = {"op1_decontaminate": _OP1, "op2_topk": _OP2, "op4_shard": _OP4, "op9_warc": _OP9, "op10_near_duplicates": _OP10, "op11_merkle": _OP11}

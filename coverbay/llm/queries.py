@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from coverbay.llm import decontaminate, language, mixing, neardup, quality, secretscan, sharding, topk, toxicity, warc
+from coverbay.llm import decontaminate, language, merkle, mixing, neardup, quality, secretscan, sharding, topk, toxicity, warc
 from coverbay.llm.shared import remainder, table
 
 
@@ -107,6 +107,11 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    return merkle.proofs(merkle.build(documents, remainder(F.col("doc_id"), 3) == 0))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_topk": op2_topk,
@@ -118,4 +123,5 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_warc": op9_warc,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_merkle": op11_merkle,
 }

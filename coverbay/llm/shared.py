@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 import coverbay.llm
 
@@ -52,6 +52,24 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def row_numbers(df: DataFrame, keys: list[str], name: str = "row") -> DataFrame:
+    """``df`` with the place of each row, from 0, in the ascending order of ``keys``, NULL first.
+
+    Rows are put in ranges of the keys and counted per range; running sums of these counts, one per
+    partition, and a row number inside each range give the place. Equal rows are cut apart where a
+    range would grow too large; they are numbered in the order in which they are stored.
+    """
+    tie = fresh(df.columns, "tie")
+    part = fresh([*df.columns, tie], "part")
+    ranges = df.withColumn(tie, F.monotonically_increasing_id()).repartitionByRange(*keys, tie)
+    ranges = materialise(ranges.withColumn(part, F.spark_partition_id()))
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    starts = ranges.groupBy(part).agg(F.count(F.lit(1)).alias("n")).select(part, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    inside = F.row_number().over(Window.partitionBy(part).orderBy(*keys, tie))
+    numbered = ranges.withColumn(name, inside.cast("long")).join(F.broadcast(starts), part)
+    return numbered.select(*df.columns, (F.col(name) + F.col("start") - 1).alias(name))
+
+
 def fresh(taken: list[str], name: str) -> str:
     """``name``, or a longer one that no column has, whatever its case."""
     used = {column.lower() for column in taken}
