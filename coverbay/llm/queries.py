@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from coverbay.llm import decontaminate, language, merkle, mixing, neardup, quality, secretscan, sharding, topk, toxicity, warc
+from coverbay.llm import decontaminate, language, merkle, mixing, neardup, quality, secretscan, sharding, topk, toxicity, warc, wavelet
 from coverbay.llm.shared import remainder, table
 
 
@@ -112,6 +112,11 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.proofs(merkle.build(documents, remainder(F.col("doc_id"), 3) == 0))
 
 
+def op12_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = wavelet.read_files(wavelet.write_files(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_topk": op2_topk,
@@ -124,4 +129,5 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_near_duplicates": op10_near_duplicates,
     "op11_merkle": op11_merkle,
+    "op12_tokens": op12_tokens,
 }
