@@ -192,4 +192,26 @@ SELECT doc_id, leaf, s.digest AS subroot, t.digest AS root, sha256(proof) AS pro
 FROM leaves JOIN ended USING (row) JOIN subroots s USING (tree), (SELECT digest FROM tops WHERE size = 1) t
 """
 
-ORACLES = {"op1_decontaminate": _OP1, "op2_topk": _OP2, "op4_shard": _OP4, "op9_warc": _OP9, "op10_near_duplicates": _OP10, "op11_merkle": _OP11}
+# all rows against all anchors
+_OP13 = """
+WITH vec AS (
+    SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pair AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+           CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+    FROM vec a, vec b WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), positive AS (
+    SELECT * FROM pair WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, p.other_id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.other_id ORDER BY n.score DESC, n.other_id) AS INTEGER) AS rank,
+       n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positive p JOIN pair n ON n.anchor_id = p.anchor_id AND NOT n.same
+    AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY rank <= 3
+"""
+
+ORACLES = {"op1_decontaminate": _OP1, "op2_topk": _OP2, "op4_shard": _OP4, "op9_warc": _OP9, "op10_near_duplicates": _OP10, "op11_merkle": _OP11, "op13_hard_negatives": _OP13}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from coverbay.llm import decontaminate, language, merkle, mixing, neardup, quality, secretscan, sharding, topk, toxicity, warc, wavelet
+from coverbay.llm import decontaminate, hardneg, language, merkle, mixing, neardup, quality, secretscan, sharding, topk, toxicity, warc, wavelet
 from coverbay.llm.shared import remainder, table
 
 
@@ -117,6 +117,10 @@ def op12_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hardneg.mine(hardneg.typed(table(spark, sf_dir, "embeddings"), label=hardneg.flipped()))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_topk": op2_topk,
@@ -130,4 +134,5 @@ QUERIES = {
     "op10_near_duplicates": op10_near_duplicates,
     "op11_merkle": op11_merkle,
     "op12_tokens": op12_tokens,
+    "op13_hard_negatives": op13_hard_negatives,
 }
