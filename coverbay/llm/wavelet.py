@@ -20,6 +20,9 @@ from __future__ import annotations
 
 import json
 import re
+import struct
+import sys
+import types
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -38,17 +41,22 @@ END = 2
 SHARD_TOKENS = 1 << 22
 MAGIC = b"WMTOKEN1"
 BLOCK_BITS = 512
-#: Encoded words a task remembers, and bytes of whole encoded texts.
-MOST_WORDS = 1 << 20
-MOST_TEXTS = 32 << 20
+#: Encoded words a Python worker remembers, and bytes of whole encoded texts.
+MOST_WORDS = 3 << 18
+MOST_TEXTS = 8 << 20
 MOST_TASKS = 10_000
 _PLACES = 1 << 14
+_SLICE = 1 << 16
 
-# The vocabulary's rules always cut a text before a single space between two visible characters and
-# between a plain letter and a mark, so pieces between such places are encoded apart with equal results.
-_CUT = re.compile(r"(?<=\S)(?= \S)|(?<=[A-Za-z])(?=[.,;:!?])")
-# Such a piece is one word for them, so that the model alone gives its ids.
-_WORD = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_LETTERS, _MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", "-.,;:!?#$%&*()/=+_"
+# The vocabulary's rules always cut a text before white space that follows something else, after a single line
+# end, and between a letter and a mark, so pieces between such places are encoded apart with equal results.
+_CUT = re.compile(rf"(?<=\S)(?=\s)|(?<=\S\n)(?=\S)|(?<=[{_LETTERS}])(?=[{_MARKS}])|(?<=[{_MARKS}])(?=[{_LETTERS}])")
+# A space at either end of a text or beside other white space; between two others it is such a place.
+_EDGE = re.compile(r"^ | \s|\s | $")
+# One word for those rules, so that the model alone gives its ids; and a word with marks after it.
+_WORD = re.compile(f" ?[{_LETTERS}]+")
+_MARKED = re.compile(f"([{_LETTERS}]+)([{_MARKS}]*)")
 
 
 def _byte_letters() -> dict[int, int]:
@@ -58,43 +66,85 @@ def _byte_letters() -> dict[int, int]:
     return {byte: byte for byte in visible} | {byte: 256 + n for n, byte in enumerate(hidden)}
 
 
-class Encoder:
-    """Ids of whole texts, as little-endian 32-bit integers; remembers words and repeated texts."""
+class _Pieces(dict):
+    """Ids of pieces, each as little-endian 32-bit integers; a new one is encoded when it is asked for."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.letters = self.tokenizer.model, _byte_letters()
-        self.words: dict[str, bytes] = {}
+
+    def word(self, word: str) -> bytes:
+        """Ids of letters with or without a space before them."""
+        tokens = self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
+        return struct.pack(f"<{len(tokens)}I", *[token.id for token in tokens])
+
+    def __missing__(self, piece: str) -> bytes:
+        if _WORD.fullmatch(piece):
+            found = self.word(piece)
+        else:
+            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+            found = struct.pack(f"<{len(ids)}I", *ids)
+        self[piece] = found
+        return found
+
+
+class _Spaced(dict):
+    """Ids of what stands between two single spaces, the one before it included."""
+
+    def __init__(self, pieces: _Pieces):
+        super().__init__()
+        self.pieces = pieces
+
+    def __missing__(self, text: str) -> bytes:
+        marked = _MARKED.fullmatch(text)
+        if marked is None:
+            found = b"".join(map(self.pieces.__getitem__, _CUT.split(" " + text)))
+        elif marked[2]:
+            found = self[marked[1]] + self.pieces[marked[2]]
+        else:
+            found = self.pieces.word(" " + text)
+        self[text] = found
+        return found
+
+
+class Encoder:
+    """Ids of whole texts, as little-endian 32-bit integers; remembers words and repeated texts."""
+
+    def __init__(self, path: str):
+        self.pieces = _Pieces(path)
+        self.spaced = _Spaced(self.pieces)
         self.texts: dict[str, bytes] = {}
         self.kept = 0
 
-    def _learn(self, pieces: list[str]) -> None:
-        other = []
-        for piece in pieces:
-            if _WORD.fullmatch(piece):
-                tokens = self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))
-                self.words[piece] = np.array([token.id for token in tokens], "<u4").tobytes()
-            else:
-                other.append(piece)
-        for start in range(0, len(other), 1024):
-            part = other[start : start + 1024]
-            for piece, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.words[piece] = np.array(found.ids, "<u4").tobytes()
+    @classmethod
+    def of_process(cls, path: str) -> Encoder:
+        """The encoder of this Python worker, so that its later tasks find what earlier ones have learned."""
+        kept = sys.modules.setdefault("_kept_encoders", types.ModuleType("_kept_encoders"))
+        if getattr(kept, "path", None) != path:
+            kept.path, kept.encoder = path, cls(path)
+        return kept.encoder
+
+    def _encode(self, text: str) -> Iterator[bytes]:
+        if _EDGE.search(text):  # more white space than single spaces
+            pieces, learned = _CUT.split(text), self.pieces
+        else:
+            first, *pieces = text.split(" ")
+            yield from map(self.pieces.__getitem__, _CUT.split(first))
+            learned = self.spaced
+        for start in range(0, len(pieces), _SLICE):  # so that words of a very long text are forgotten as well
+            if len(learned) > MOST_WORDS:
+                learned.clear()
+            if len(self.pieces) > MOST_WORDS:
+                self.pieces.clear()
+            yield from map(learned.__getitem__, pieces[start : start + _SLICE])
 
     def encode(self, text: str) -> bytes:
         found = self.texts.get(text)
         if found is None:
-            parts = []
-            pieces = _CUT.split(text)
-            for start in range(0, len(pieces), 1 << 16):  # so that words of a very long text can be forgotten
-                some = pieces[start : start + (1 << 16)]
-                if len(self.words) > MOST_WORDS:
-                    self.words.clear()
-                self._learn([piece for piece in dict.fromkeys(some) if piece not in self.words])
-                parts.append(b"".join(map(self.words.__getitem__, some)))
-            found = b"".join(parts)
+            found = b"".join(self._encode(text)) if text else b""
             size = len(found) + 4 * len(text)
             if size <= MOST_TEXTS // 16:
                 if self.kept + size > MOST_TEXTS:
@@ -122,11 +172,11 @@ def write(ids: np.ndarray, lengths: list[int], doc_ids: list[int | None]) -> Ite
     current = ids.astype(np.uint16 if levels <= 16 else np.uint32)
     planes, zeros = [], []
     for level in range(levels - 1, -1, -1):
-        bits = (current >> level & 1).astype(bool)
+        bits = (current & current.dtype.type(1 << level)) != 0
         planes.append(_plane(bits))
-        low = current[~bits]
+        low = current.take(np.flatnonzero(~bits))  # much faster than a mask
         zeros.append(len(low))
-        current = np.concatenate([low, current[bits]])
+        current = np.concatenate([low, current.take(np.flatnonzero(bits))])
     names = zlib.compress(json.dumps(doc_ids).encode(), 1)
     sizes = zlib.compress(np.array(lengths, "<i8").tobytes(), 1)
     head = {"n": len(ids), "zeros": zeros, "mixed": [len(mixed) for _, mixed in planes], "docs": [len(names), len(sizes)]}
@@ -254,8 +304,8 @@ class WaveletFile:
         for level in range(len(self.zeros) - 1, -1, -1):
             bits, zeros = self._bits(level), self.zeros[level]
             current = np.empty(self.n, kind)
-            current[~bits] = below[:zeros]
-            current[bits] = below[zeros:] | kind(1 << (len(self.zeros) - 1 - level))
+            current[np.flatnonzero(~bits)] = below[:zeros]
+            current[np.flatnonzero(bits)] = below[zeros:] | kind(1 << (len(self.zeros) - 1 - level))
             below = current
         return below
 
@@ -279,7 +329,7 @@ def write_files(documents: DataFrame, tokenizer: str | None = None, shard_tokens
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = fs.FileSystem.from_uri(folder)
-        encoder, part = Encoder(path), TaskContext.get().partitionId()
+        encoder, part = Encoder.of_process(path), TaskContext.get().partitionId()
         name = f"{part:06d}-{uuid.uuid4().hex}"  # only files that a finished task reports are read
         done, held, doc_ids, size = [], [], [], 0
         end = np.array([END], "<u4").tobytes()

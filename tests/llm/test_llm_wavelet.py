@@ -25,6 +25,9 @@ TEXTS = [
     "under_score CamelCase A.B.C. e.g.: end",
     "emoji 👩‍👩‍👧 é é \x1c \x85 x",
     "trailing space ",
+    "end<|endoftext|>of it <|endoftext|> a<|b |>c",
+    "a-b_c (d)/e=f+g; 1-2 é-ß: ***x*** x***\ny",
+    "café'll n'est d'une L'été's",
     " lead. \n.,;:!?a",
 ]
 
@@ -37,7 +40,7 @@ def tokenizer():
 def test_encoder_equals_the_library(tokenizer):
     encoder = wavelet.Encoder(PATH)
     rng = random.Random(1)
-    alphabet = list("abé ..,'\n\tÜ1#s ") + ["'s", "  ", " the", " ", "日"]
+    alphabet = list("abé ..,'\n\tÜ1#s -_<|>$") + ["'s", "  ", " the", " ", "日"]
     texts = TEXTS + ["".join(rng.choice(alphabet) for _ in range(rng.randrange(40))) for _ in range(3000)]
     for text in texts + texts[:20]:
         want = tokenizer.encode(text, add_special_tokens=False).ids
