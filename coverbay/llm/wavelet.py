@@ -42,7 +42,7 @@ SHARD_TOKENS = 1 << 22
 MAGIC = b"WMTOKEN1"
 BLOCK_BITS = 512
 #: Encoded words a Python worker remembers, and bytes of whole encoded texts.
-MOST_WORDS = 3 << 18
+MOST_WORDS = 5 << 18
 MOST_TEXTS = 8 << 20
 MOST_TASKS = 10_000
 _PLACES = 1 << 14
@@ -52,8 +52,6 @@ _LETTERS, _MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", "-.,;:!?#$%&*()/=+_"
 # The vocabulary's rules always cut a text before white space that follows something else, after a single line
 # end, and between a letter and a mark, so pieces between such places are encoded apart with equal results.
 _CUT = re.compile(rf"(?<=\S)(?=\s)|(?<=\S\n)(?=\S)|(?<=[{_LETTERS}])(?=[{_MARKS}])|(?<=[{_MARKS}])(?=[{_LETTERS}])")
-# A space at either end of a text or beside other white space; between two others it is such a place.
-_EDGE = re.compile(r"^ | \s|\s | $")
 # One word for those rules, so that the model alone gives its ids; and a word with marks after it.
 _WORD = re.compile(f" ?[{_LETTERS}]+")
 _MARKED = re.compile(f"([{_LETTERS}]+)([{_MARKS}]*)")
@@ -75,10 +73,12 @@ class _Pieces(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.letters = self.tokenizer.model, _byte_letters()
+        self.space = chr(self.letters[0x20])
 
     def word(self, word: str) -> bytes:
         """Ids of letters with or without a space before them."""
-        tokens = self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
+        letters = word.replace(" ", self.space) if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+        tokens = self.model.tokenize(letters)
         return struct.pack(f"<{len(tokens)}I", *[token.id for token in tokens])
 
     def __missing__(self, piece: str) -> bytes:
@@ -91,6 +91,10 @@ class _Pieces(dict):
         return found
 
 
+class _MoreSpace(Exception):
+    """A text with a space at an end or beside other white space, which isn't such a place."""
+
+
 class _Spaced(dict):
     """Ids of what stands between two single spaces, the one before it included."""
 
@@ -101,6 +105,8 @@ class _Spaced(dict):
     def __missing__(self, text: str) -> bytes:
         marked = _MARKED.fullmatch(text)
         if marked is None:
+            if text != text.strip() or not text:
+                raise _MoreSpace
             found = b"".join(map(self.pieces.__getitem__, _CUT.split(" " + text)))
         elif marked[2]:
             found = self[marked[1]] + self.pieces[marked[2]]
@@ -127,24 +133,28 @@ class Encoder:
             kept.path, kept.encoder = path, cls(path)
         return kept.encoder
 
-    def _encode(self, text: str) -> Iterator[bytes]:
-        if _EDGE.search(text):  # more white space than single spaces
-            pieces, learned = _CUT.split(text), self.pieces
-        else:
-            first, *pieces = text.split(" ")
-            yield from map(self.pieces.__getitem__, _CUT.split(first))
-            learned = self.spaced
+    def _joined(self, pieces: list[str], learned: dict[str, bytes]) -> bytes:
+        found = []
         for start in range(0, len(pieces), _SLICE):  # so that words of a very long text are forgotten as well
-            if len(learned) > MOST_WORDS:
-                learned.clear()
-            if len(self.pieces) > MOST_WORDS:
-                self.pieces.clear()
-            yield from map(learned.__getitem__, pieces[start : start + _SLICE])
+            for words in (learned, self.pieces):
+                if len(words) > MOST_WORDS:
+                    words.clear()
+            found.append(b"".join(map(learned.__getitem__, pieces[start : start + _SLICE])))
+        return b"".join(found)
+
+    def _encode(self, text: str) -> bytes:
+        first, *rest = text.split(" ")
+        if first and not first[-1].isspace():
+            try:
+                return self._joined(_CUT.split(first), self.pieces) + self._joined(rest, self.spaced)
+            except _MoreSpace:
+                pass
+        return self._joined(_CUT.split(text), self.pieces)
 
     def encode(self, text: str) -> bytes:
         found = self.texts.get(text)
         if found is None:
-            found = b"".join(self._encode(text)) if text else b""
+            found = self._encode(text) if text else b""
             size = len(found) + 4 * len(text)
             if size <= MOST_TEXTS // 16:
                 if self.kept + size > MOST_TEXTS:
@@ -365,8 +375,12 @@ def write_files(documents: DataFrame, tokenizer: str | None = None, shard_tokens
     return materialise(written.select("path", "docs", "tokens", start.alias("start")))
 
 
-def read_files(manifest: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids): the documents of all files, ids as little-endian 32-bit integers."""
+def read_files(manifest: DataFrame, with_ids: bool = True) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32, ids): the documents of all files.
+
+    ids are little-endian 32-bit integers and ids_crc32 their checksum; without ``with_ids`` only the
+    checksum leaves the task.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -379,18 +393,18 @@ def read_files(manifest: DataFrame) -> DataFrame:
                 while at < len(file.doc_ids):  # about 1 M ids at a time
                     to = max(at + 1, int(np.searchsorted(starts, starts[at] + (1 << 20))))
                     to = min(to, len(file.doc_ids))
-                    cut = range(at, to)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(file.doc_ids[at:to], pa.int64()),
-                            pa.array(starts[at:to] + first, pa.int64()),
-                            pa.array(np.diff(starts[at : to + 1]), pa.int64()),
-                            pa.array([ids[starts[i] : starts[i + 1]].tobytes() for i in cut], pa.binary()),
-                        ],
-                        ["doc_id", "start", "n_tokens", "ids"],
-                    )
+                    cut = [ids[starts[i] : starts[i + 1]] for i in range(at, to)]
+                    columns = {
+                        "doc_id": pa.array(file.doc_ids[at:to], pa.int64()),
+                        "start": pa.array(starts[at:to] + first, pa.int64()),
+                        "n_tokens": pa.array(np.diff(starts[at : to + 1]), pa.int64()),
+                        "ids_crc32": pa.array([zlib.crc32(part) for part in cut], pa.int64()),
+                    }
+                    if with_ids:
+                        columns["ids"] = pa.array([part.tobytes() for part in cut], pa.binary())
+                    yield pa.RecordBatch.from_pydict(columns)
                     at = to
 
     files = manifest.select("path", "start")
     files = files.repartition(max(1, min(files.count(), MOST_TASKS)))
-    return files.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    return files.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids)

@@ -98,7 +98,9 @@ def test_round_trip_equals_brute_force(spark, tokenizer, shard):
     rows = [(r[0], r[1]) for r in documents(random.Random(shard), 40)] + [(100 + i, t) for i, t in enumerate(TEXTS)]
     docs = spark.createDataFrame([(*r, 5, "x") for r in rows], "doc_id long, text string, start int, path string").repartition(6)
     manifest = wavelet.write_files(docs, shard_tokens=shard)
-    found = wavelet.read_files(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids")).orderBy("start").collect()
+    found = wavelet.read_files(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids"), "ids_crc32").orderBy("start").collect()
+    assert all(r[3] == r[4] for r in found)
+    assert "ids" not in wavelet.read_files(manifest, with_ids=False).columns
     starts = [r[1] for r in found]
     assert starts == np.cumsum([0] + [r[2] for r in found])[:-1].tolist()
     assert [r[0] for r in found] == [r[0] for r in brute(rows, tokenizer)]
