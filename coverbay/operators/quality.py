@@ -23,6 +23,7 @@ from coverbay.sources.parameters import literal_table
 from coverbay.sources.raw import CORRUPT
 
 FAIL, WARN = "FAIL", "WARN"
+REPORT = "stage string, table_name string, rule_id string, severity string, violations bigint, passed boolean"
 
 
 class QualityGateFailed(Exception):
@@ -253,11 +254,13 @@ def run_rules(
     stages: dict[str, list[Rule]],
     tables: dict[str, DataFrame],
     presence: dict[str, tuple[str, list[str]]] | None = None,
+    found: set[str] | None = None,
 ) -> DataFrame:
     """One report row per rule of the named stages, which share their passes over the tables.
 
     Nothing stops early: a rule that cannot run is reported as failed with NULL violations.
-    ``presence`` gives, per stage, a rule id and the names expected among ``tables``.
+    ``presence`` gives, per stage, a rule id and the names expected among ``found``, what storage
+    holds, or else among ``tables``.
     """
     rules = [rule for of_stage in stages.values() for rule in of_stage]
     runnable = [rule for rule in rules if _runnable(rule, tables)]
@@ -274,7 +277,7 @@ def run_rules(
     ]
     for stage, (rule_id, expected) in (presence or {}).items():
         declared.append((stage, "*", rule_id, FAIL, True))
-        known.append((rule_id, len(set(expected) - set(tables))))
+        known.append((rule_id, len(set(expected) - (set(tables) if found is None else found))))
 
     frames = _row_results(runnable, tables) + _key_results(runnable, tables)
     if known:
@@ -517,10 +520,10 @@ def check_tables(spark: SparkSession, star: dict[str, DataFrame]) -> DataFrame:
 
 
 def check_views(
-    spark: SparkSession, star: dict[str, DataFrame], views: dict[str, DataFrame]
+    spark: SparkSession, star: dict[str, DataFrame], views: dict[str, DataFrame], found: set[str] | None = None
 ) -> DataFrame:
-    """The part of the loaded stage that needs the views."""
-    present = run_rules(spark, {"loaded": []}, {**star, **views}, _present("loaded"))
+    """The part of the loaded stage that needs the views; ``found`` names what storage holds."""
+    present = run_rules(spark, {"loaded": []}, {**star, **views}, _present("loaded"), found)
     return present.unionByName(_view_probes(spark, views))
 
 
@@ -533,5 +536,4 @@ def _view_probes(spark: SparkSession, views: dict[str, DataFrame]) -> DataFrame:
         except PySparkException:
             empty, severity = None, FAIL
         rows.append(("loaded", name, f"V-L10.{name}", severity, empty, empty == 0))
-    schema = "stage string, table_name string, rule_id string, severity string, violations bigint, passed boolean"
-    return spark.createDataFrame(rows, schema)
+    return spark.createDataFrame(rows, REPORT)

@@ -23,6 +23,18 @@ def create_once(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Write an empty file, new or again."""
+    hadoop, files = _path(spark, path)
+    files.create(hadoop, True).close()
+
+
+def modified(spark: SparkSession, path: str) -> int | None:
+    """When a file was last written, in milliseconds of the file system's clock; None if it is not there."""
+    hadoop, files = _path(spark, path)
+    return files.getFileStatus(hadoop).getModificationTime() if files.exists(hadoop) else None
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a file or folder with all it holds; nothing happens if it is not there."""
     hadoop, files = _path(spark, path)

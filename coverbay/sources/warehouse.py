@@ -1,24 +1,29 @@
 """The star schema as versioned Parquet tables, published only when all nine tables pass.
 
 A load writes a new version directory, checks what it wrote, computes the semantic views once, and
-then appends one row to the list of published versions. Readers take the newest published version,
-so a load that fails or is cut short is never seen, and a repeated load replaces the whole data
-set. Dashboards read the written views, whose size is segments x periods, and never the facts.
+then creates the marker that publishes it. Readers take the newest published version, so a load that
+fails or is cut short is never seen, and a repeated load replaces the whole data set. Dashboards read
+the written views, whose size is segments x periods, and never the facts.
 
 A load claims its version number first, by creating a file that only one load can create, so two
-loads at a time write different folders. Of the published versions the newest few are kept.
+loads at a time write different folders. The claim is a lease: a load writes the file anew after each
+step. A load that ends after a later version was published, or whose claim is gone, raises
+:class:`LateLoad` and publishes nothing. Of the published versions the newest few are kept, older ones go
+with their markers, and with them what crashed loads left behind once their lease has run out. What a
+running load writes stays, whatever its number. All times are the file system's own.
 
-    <root>/claims/<n>                       the load that may write version n
+    <root>/claims/<n>                       the load that may write version n, as old as its last step
     <root>/versions/<n>/raw_report          rules of the raw stage and their outcome, if there was one
     <root>/versions/<n>/<table>             the tables of one load
     <root>/versions/<n>/views/<view>        the semantic views over them, partitioned by year
+    <root>/versions/<n>/manifest            name, columns and rows of each table and view
     <root>/versions/<n>/quality_report      every rule and its outcome
-    <root>/published                        one row per published version
+    <root>/published/<n>                    version n is complete
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from coverbay.operators import quality
@@ -29,6 +34,8 @@ from coverbay.sources import folders
 # The policy fact is the one large table that is read by year.
 PARTITIONED = {"fact_policies": "policy_year"}
 KEPT_VERSIONS = 3
+#: A load without a finished step for so long has crashed.
+LEASE_MS = 12 * 3600 * 1000
 # Rows are sorted inside each file, so that row groups outside a date range are skipped.
 SORTED = {"fact_policies": "effective_date_key", "fact_claims": "incident_date_key"}
 
@@ -37,15 +44,18 @@ class NothingPublished(Exception):
     """The warehouse has no published version."""
 
 
+class LateLoad(Exception):
+    """A load that ends after a later version was published, or after its claim was given up."""
+
+
+def published_versions(spark: SparkSession, root: str) -> list[int]:
+    """All published versions that are kept, the newest last."""
+    return sorted(int(name) for name in folders.names(spark, f"{root}/published"))
+
+
 def published_version(spark: SparkSession, root: str) -> int:
     """Newest published version, 0 if there is none."""
-    try:
-        versions = spark.read.parquet(f"{root}/published")
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return 0
-        raise
-    return versions.agg(F.max("version")).first()[0] or 0
+    return max(published_versions(spark, root), default=0)
 
 
 def table_path(root: str, version: int, name: str) -> str:
@@ -137,14 +147,44 @@ def release_version(spark: SparkSession, root: str, version: int) -> None:
     folders.delete(spark, f"{root}/claims/{version}")
 
 
-def drop_old_versions(spark: SparkSession, root: str, keep: int) -> None:
-    """Remove published versions but the newest ``keep``; folders of running loads stay."""
-    published = spark.read.parquet(f"{root}/published").select("version").distinct()
-    kept = {row.version for row in published.orderBy(F.desc("version")).limit(keep).collect()}
-    for name in folders.names(spark, f"{root}/versions"):
-        if int(name) < min(kept):
-            folders.delete(spark, f"{root}/versions/{name}")
-            folders.delete(spark, f"{root}/claims/{name}")
+def renew_claim(spark: SparkSession, root: str, version: int) -> None:
+    """Start the lease of a running load anew."""
+    claim = f"{root}/claims/{version}"
+    if folders.modified(spark, claim) is None:
+        raise LateLoad(f"the claim of version {version} is gone")
+    folders.touch(spark, claim)
+
+
+def publish(spark: SparkSession, root: str, version: int) -> None:
+    """Make a complete version visible, unless a later one is."""
+    renew_claim(spark, root, version)
+    newest = published_version(spark, root)
+    if newest > version:
+        raise LateLoad(f"version {newest} was published before version {version} was complete")
+    folders.create_once(spark, f"{root}/published/{version}")
+
+
+def drop_old_versions(spark: SparkSession, root: str, keep: int, lease_ms: int = LEASE_MS) -> None:
+    """Remove published versions but the newest ``keep``, and older leftovers of loads that have ended.
+
+    A version that isn't published stays while its claim is younger than the lease.
+    """
+    published = published_versions(spark, root)
+    if not published:
+        return
+    oldest = published[-keep:][0]
+    clock = f"{root}/clock"
+    folders.touch(spark, clock)
+    now = folders.modified(spark, clock)
+    claimed = {int(name) for name in folders.names(spark, f"{root}/claims")}
+    for version in sorted(claimed | {int(name) for name in folders.names(spark, f"{root}/versions")}):
+        if version >= oldest:
+            continue
+        written = folders.modified(spark, f"{root}/claims/{version}")
+        if version in published or written is None or now - written > lease_ms:
+            folders.delete(spark, f"{root}/published/{version}")
+            folders.delete(spark, f"{root}/versions/{version}")
+            folders.delete(spark, f"{root}/claims/{version}")
 
 
 def load_warehouse(
@@ -154,11 +194,13 @@ def load_warehouse(
 
     Tables are written dimensions first, then every rule runs on what was written. Raises, and
     publishes nothing, if a FAIL rule is violated; the report stays beside the tables, and the next
-    load overwrites them. ``version`` is one that the caller has claimed.
+    load overwrites them. Raises :class:`LateLoad` if a later version is published already.
+    ``version`` is one that the caller has claimed.
     """
     version = claim_version(spark, root) if version is None else version
     try:
         _write_version(spark, star, root, version)
+        publish(spark, root, version)
     except BaseException:
         release_version(spark, root, version)
         raise
@@ -169,18 +211,60 @@ def load_warehouse(
 def _write_version(spark: SparkSession, star: dict[str, DataFrame], root: str, version: int) -> None:
     for name in STAR:
         write_table(star[name], table_path(root, version, name), name)
+        renew_claim(spark, root, version)
     written = read_version(spark, root, version)
     _record(spark, root, version, quality.check_tables(spark, written), "overwrite")
 
     for name, view in build_views(written).items():
+        renew_claim(spark, root, version)
         # one writer per year: a view is segments x periods, a year of it a few files at most
         view.hint("rebalance", F.col("year")).write.mode("overwrite").partitionBy("year").parquet(view_path(root, version, name))
     views = {name: _stored_view(spark, root, version, name) for name in VIEWS}
-    _record(spark, root, version, quality.check_views(spark, written, views), "append")
+    _manifest(spark, {**written, **views}).write.mode("overwrite").parquet(table_path(root, version, "manifest"))
+    present = present_in_storage(spark, root, version)
+    _record(spark, root, version, quality.check_views(spark, written, views, present), "append")
+
+
+def _manifest(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
+    """(name, columns, rows) of stored tables; the rows are counted from the files' footers."""
+    counts = None
+    for name, table in tables.items():
+        columns = F.lit(", ".join(f"{column} {kind}" for column, kind in sorted(table.dtypes)))
+        one = table.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("name"), columns.alias("columns"), "rows")
+        counts = one if counts is None else counts.unionAll(one)
+    return counts.coalesce(1)
+
 
-    spark.range(1).select(
-        F.lit(version).alias("version"), F.current_timestamp().alias("published_at")
-    ).coalesce(1).write.mode("append").parquet(f"{root}/published")
+def present_in_storage(spark: SparkSession, root: str, version: int) -> set[str]:
+    """The tables and views of a version that storage holds, whatever its manifest says."""
+    top, views = f"{root}/versions/{version}", f"{root}/versions/{version}/views"
+    found = {name for name in STAR if folders.names(spark, f"{top}/{name}")}
+    return found | {name for name in VIEWS if folders.names(spark, f"{views}/{name}")}
+
+
+def verify_version(spark: SparkSession, root: str, version: int) -> DataFrame:
+    """Holds what storage has of a version against its manifest: a report of rules.
+
+    V-L11 counts tables and views that are not there, V-L12.<name> the rows that one has more or less
+    than the manifest says, NULL where its columns differ or it can't be read.
+    """
+    present = present_in_storage(spark, root, version)
+    manifest = spark.read.parquet(table_path(root, version, "manifest"))
+    rows = []
+    for name, columns, count in manifest.select("name", "columns", "rows").collect():  # one row per table
+        difference = None
+        if name in present:
+            try:
+                path = view_path(root, version, name) if name in VIEWS else table_path(root, version, name)
+                table = _stored_view(spark, root, version, name) if name in VIEWS else spark.read.parquet(path).select(STAR[name].names)
+                if ", ".join(f"{column} {kind}" for column, kind in sorted(table.dtypes)) == columns:
+                    difference = abs(table.count() - count)
+            except PySparkException:
+                difference = None
+        rows.append(("loaded", name, f"V-L12.{name}", quality.FAIL, difference, difference == 0))
+    missing = len({*STAR, *VIEWS} - present)
+    rows.append(("loaded", "*", quality.PRESENCE["loaded"][0], quality.FAIL, missing, missing == 0))
+    return spark.createDataFrame(rows, quality.REPORT)
 
 
 def missing_from_catalog(spark: SparkSession, names: list[str]) -> list[str]:

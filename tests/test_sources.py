@@ -188,6 +188,51 @@ def test_old_versions_go(spark, root):
     assert any(name.startswith("year=") for name in years)
 
 
+def test_a_load_that_runs_for_long_keeps_its_folder_and_raises_in_the_end(spark, root):
+    star = spark_star(spark, CLEAN_STAR)
+    slow = warehouse.claim_version(spark, root)
+    warehouse.write_table(star["dim_time"], warehouse.table_path(root, slow, "dim_time"), "dim_time")
+    published = [warehouse.load_warehouse(spark, star, root, keep=2) for _ in range(4)]
+    assert published == [2, 3, 4, 5]
+    assert folders.names(spark, f"{root}/versions") == ["1", "4", "5"]
+    assert warehouse.published_versions(spark, root) == [4, 5]  # the list is as short as what is kept
+    with pytest.raises(warehouse.LateLoad, match="version 5"):
+        warehouse.load_warehouse(spark, star, root, version=slow)
+    assert warehouse.published_versions(spark, root) == [4, 5]
+    assert warehouse.claim_version(spark, root) == 6
+
+
+def test_what_a_crashed_load_left_goes_when_its_lease_has_run_out(spark, root):
+    star = spark_star(spark, CLEAN_STAR)
+    crashed = warehouse.claim_version(spark, root)
+    warehouse.write_table(star["dim_time"], warehouse.table_path(root, crashed, "dim_time"), "dim_time")
+    for _ in range(2):
+        warehouse.load_warehouse(spark, star, root)
+    warehouse.drop_old_versions(spark, root, 1)
+    assert folders.names(spark, f"{root}/versions") == ["1", "3"]
+    warehouse.drop_old_versions(spark, root, 1, lease_ms=-1)
+    assert folders.names(spark, f"{root}/versions") == ["3"] and folders.names(spark, f"{root}/claims") == ["3"]
+    with pytest.raises(warehouse.LateLoad, match="claim of version 1 is gone"):
+        warehouse.publish(spark, root, crashed)
+
+
+def test_storage_is_held_against_the_manifest(spark, root):
+    star = spark_star(spark, CLEAN_STAR)
+    version = warehouse.load_warehouse(spark, star, root)
+    assert warehouse.verify_version(spark, root, version).where("NOT passed").count() == 0
+    folders.delete(spark, warehouse.table_path(root, version, "dim_state"))
+    folders.delete(spark, warehouse.view_path(root, version, "risk_daily"))
+    star["fact_taxes"].unionAll(star["fact_taxes"]).write.mode("overwrite").parquet(warehouse.table_path(root, version, "fact_taxes"))
+    star["dim_products"].drop("plan_name").write.mode("overwrite").parquet(warehouse.table_path(root, version, "dim_products"))
+    failed = warehouse.verify_version(spark, root, version).where("NOT passed")
+    assert row_set(failed, "rule_id", "violations") == row_set(
+        spark.createDataFrame(
+            [("V-L11", 2), ("V-L12.dim_state", None), ("V-L12.risk_daily", None), ("V-L12.fact_taxes", 1), ("V-L12.dim_products", None)],
+            "rule_id string, violations bigint",
+        )
+    )
+
+
 def test_a_failing_view_is_a_failed_rule(spark):
     star = spark_star(spark, CLEAN_STAR)
     built = views.build_views(star)
