@@ -92,11 +92,26 @@ STAR_DIRT = {
     ),
 }
 
+# Ids that repeat with equal, overlapping and touching terms in one segment and over several; the claims
+# and headers of those policies have the same ids.
+_SHARED_ID = "CASE WHEN policy_id LIKE '%7' THEN concat('PX', substr(policy_id, 7, 1)) END"
+REPEATED_IDS = {
+    "fact_policies": Dirt(repeat="policy_id LIKE '%4'", change={"policy_id": _SHARED_ID}),
+    "dim_policies": Dirt(drop="policy_id LIKE '%37'", repeat="policy_id LIKE '%5'", change={"policy_id": _SHARED_ID}),
+    "fact_claims": Dirt(
+        repeat="claim_id LIKE '%3'",
+        change={
+            "policy_id": _SHARED_ID,
+            "claim_id": "CASE WHEN claim_id LIKE '%5' THEN concat('CX', substr(claim_id, 3, 2)) END",
+        },
+    ),
+}
+
 
 def dirtied(tables: dict[str, DataFrame], dirt: dict[str, Dirt]) -> dict[str, DataFrame]:
     out = {}
     for name, table in tables.items():
-        faults = dirt[name]
+        faults = dirt.get(name, Dirt())
         kept = table.where(f"NOT coalesce({faults.drop}, false)")
         rows = kept.unionAll(kept.where(faults.repeat))
         types = dict(rows.dtypes)

@@ -14,6 +14,12 @@ With ``running`` the sum over policies started and not yet ended when the period
                  - sum(value * days before the start)   over policies starting in the period
                  + sum(value * days up to the end)      over policies ending in the period
 
+Where a policy id may repeat, counts of ids are summed from other events (``distinct``): a policy's terms
+within a segment are first reduced to the latest end per start, on the map side, and then cut so that
+none covers a period that an earlier one covers, by a running maximum of the ends. An id is thus counted
+once per period however many of its rows overlap, and has a row per period at most in that window. Sums
+still count every row.
+
 The cost is two rows per policy before a map-side aggregate, and segments x periods after it.
 Periods are days or calendar months; a window partition holds one segment's periods, so its size
 is bounded by the calendar, however many policies the segment has.
@@ -30,6 +36,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from coverbay.functions.dates import date_key, key_date, month_start
 
+#: Rows in force, where ids are counted apart from them.
+_ROWS = "rows_in_force__"
+#: The end of a term that goes on after the calendar.
+_OPEN = datetime.date(9999, 12, 31)
+_STARTED, _ENDED = -1, -2
+
 PER_POLICY = "policy"
 PER_DAY = "day"
 
@@ -38,13 +50,15 @@ PER_DAY = "day"
 class InForceSum:
     """A sum over policies in force. ``value`` is a column of the policies, NULL adds nothing.
 
-    With ``null_if_empty`` the sum is NULL, not zero, when no policy in force has a value.
+    With ``null_if_empty`` the sum is NULL, not zero, when no policy in force has a value. With ``ids``
+    it is the number of different policies with a value, not of rows, where ids may repeat.
     """
 
     name: str
     value: Column
     per: str = PER_POLICY
     null_if_empty: bool = False
+    ids: bool = False
 
 
 class BadCalendar(Exception):
@@ -151,6 +165,7 @@ def in_force(
     null_expiration: str,
     regroup: Callable[[DataFrame], DataFrame] | None = None,
     keep: list[str] | None = None,
+    distinct: bool = False,
 ) -> DataFrame:
     """Sums over the policies in force per segment and period, periods without a policy left out.
 
@@ -159,22 +174,27 @@ def in_force(
     those in ``keep``: a dimension is joined to the few aggregated rows, never to the policies.
 
     Returns the segment columns, ``period`` (first day of the month, or the day),
-    ``active_policies``, ``started``, ``ended`` and one column per sum. The policy id must be
-    unique: it is counted by rows.
+    ``active_policies``, ``started``, ``ended`` and one column per sum. With ``distinct`` these
+    count different values of ``policy_id``, NULL none; without it they count rows, which is the
+    same where ids are unique.
     """
-    wanted = [InForceSum("active_policies", F.lit(1)), *sums]
+    wanted = [InForceSum("active_policies", F.lit(1), ids=True), *sums]
+    counted = [one for one in wanted if one.ids] if distinct else []
+    if distinct:
+        wanted = [InForceSum(_ROWS, F.lit(1)), *[one for one in wanted if not one.ids]]
     wanted += [
         InForceSum(_present(one.name), one.value.isNotNull().cast("int"))
         for one in sums
         if one.null_if_empty
     ]
     terms = terms_in_calendar(policies, calendar, null_expiration).select(
+        *(["policy_id"] if distinct else []),
         *segment,
         "term_start",
         "term_end",
         "starts",
         "ends",
-        *[one.value.alias(f"v_{one.name}") for one in wanted],
+        *[one.value.alias(f"v_{one.name}") for one in [*wanted, *counted]],
     )
     by_period = _sum_events(terms, calendar, segment, wanted, grain)
     if regroup is not None:
@@ -183,7 +203,15 @@ def in_force(
         by_period = regroup(by_period).groupBy(*segment, "period").agg(
             *[F.sum(name).alias(name) for name in totals]
         )
-    filled = _run_forward(by_period, calendar, segment, wanted, grain)
+    if distinct:
+        named = terms if regroup is None else regroup(terms)
+        counts = _count_events(named, calendar, segment, counted, grain)
+        both = by_period.drop("started", "ended").unionByName(counts, allowMissingColumns=True)
+        totals = [name for name in both.columns if name not in (*segment, "period")]
+        by_period = both.groupBy(*segment, "period").agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in totals])
+        wanted += counted
+    present = _ROWS if distinct else "active_policies"
+    filled = _run_forward(by_period, calendar, segment, wanted, grain, present)
 
     total = {one.name: _total(one, calendar, grain) for one in wanted}
     columns = [total["active_policies"].alias("active_policies")]
@@ -198,7 +226,14 @@ def in_force(
         F.when(_is_event(), F.col("started")).otherwise(0).alias("started"),
         F.when(_is_event(), F.col("ended")).otherwise(0).alias("ended"),
         *columns,
-    ).where(F.col("active_policies") > 0)
+        *([total[_ROWS].alias(_ROWS)] if distinct else []),
+    ).where(F.col(present) > 0).drop(_ROWS)
+
+
+def ids_are_unique(table: DataFrame, column: str) -> bool:
+    """No value occurs twice and none is NULL; one aggregate over the column."""
+    counts = table.groupBy(column).agg(F.count("*").alias("n"))
+    return counts.where((F.col("n") > 1) | F.col(column).isNull()).isEmpty()
 
 
 def _is_event() -> Column:
@@ -240,8 +275,46 @@ def _sum_events(
     return exploded.withColumn("period", period).groupBy(*segment, "period").agg(*totals)
 
 
+def _count_events(
+    terms: DataFrame, calendar: Calendar, segment: list[str], counted: list[InForceSum], grain: str
+) -> DataFrame:
+    """Starts and ends of the periods in which an id counts, summed per segment and period."""
+
+    def period(day: Column) -> Column:
+        return month_start(day) if grain == "month" else day
+
+    def kind(number: int, when: Column, start: Column, end: Column) -> Column:
+        return F.when(when, F.struct(F.lit(number).alias("kind"), start.alias("start"), end.alias("end")))
+
+    start, end = period(F.col("term_start")), period(F.col("term_end"))
+    until = F.when(F.col("ends"), end).otherwise(F.lit(_OPEN))
+    kinds = [kind(i, F.col(f"v_{one.name}").isNotNull(), start, until) for i, one in enumerate(counted)]
+    kinds += [kind(_STARTED, F.col("starts"), start, start), kind(_ENDED, F.col("ends"), end, end)]
+    rows = terms.where(F.col("policy_id").isNotNull()).select("policy_id", *segment, F.explode(F.array_compact(F.array(*kinds))).alias("k"))
+    key = ["policy_id", *segment, "kind"]
+    longest = rows.select("policy_id", *segment, "k.*").groupBy(*key, "start").agg(F.max("end").alias("end"))
+    earlier = Window.partitionBy(*key).orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    covered = F.col("covered")
+    after = F.add_months(covered, 1) if grain == "month" else F.date_add(covered, 1)
+    cut = longest.withColumn("covered", F.max("end").over(earlier)).where(covered.isNull() | (F.col("end") > covered))
+    cut = cut.withColumn("start", F.when(covered.isNull() | (F.col("start") > covered), F.col("start")).otherwise(after))
+    cut = cut.where(F.col("start") <= F.lit(calendar.last_day))  # what only goes on after the calendar
+    events = F.array(
+        F.struct(F.col("start").alias("period"), F.lit(False).alias("is_end")),
+        F.struct(F.when((F.col("end") < F.lit(_OPEN)) & (F.col("kind") >= 0), F.col("end")).alias("period"), F.lit(True).alias("is_end")),
+    )
+    is_end = F.col("event.is_end")
+    totals = [F.count(F.when(F.col("kind") == number, 1)).alias(name) for number, name in ((_STARTED, "started"), (_ENDED, "ended"))]
+    for i, one in enumerate(counted):
+        mine = F.col("kind") == i
+        totals.append(F.sum(F.when(mine & is_end, -1).when(mine, 1)).alias(f"change_{one.name}"))
+        totals.append(F.sum(F.when(mine & is_end, 1)).alias(f"extra_{one.name}"))
+    exploded = cut.withColumn("event", F.explode(events)).where(F.col("event.period").isNotNull())
+    return exploded.groupBy(*segment, F.col("event.period").alias("period")).agg(*totals)
+
+
 def _run_forward(
-    by_period: DataFrame, calendar: Calendar, segment: list[str], wanted: list[InForceSum], grain: str
+    by_period: DataFrame, calendar: Calendar, segment: list[str], wanted: list[InForceSum], grain: str, present: str
 ) -> DataFrame:
     """Running sums; each row then stands for all periods up to the segment's next events."""
     ordered = Window.partitionBy(*segment).orderBy("period")
@@ -261,7 +334,7 @@ def _run_forward(
     else:
         step, before_next = "1 day", F.date_sub("next_period", 1)
     # With nothing in force any more, the row stands for its own period only.
-    until = F.when(F.col("running_active_policies") > 0, F.coalesce(before_next, last))
+    until = F.when(F.col(f"running_{present}") > 0, F.coalesce(before_next, last))
     until = until.otherwise(F.col("event_period"))
     periods = F.sequence("event_period", until, F.expr(f"interval {step}"))
     return running.withColumn("period", F.explode(periods))

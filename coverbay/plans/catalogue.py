@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DecimalType
 
 from coverbay import standin
-from coverbay.dirt import RAW_DIRT, STAR_DIRT, dirtied
+from coverbay.dirt import RAW_DIRT, REPEATED_IDS, STAR_DIRT, dirtied
 from coverbay.functions.text import tolerant_flag
 from coverbay.operators import derive, quality, star as builders
 from coverbay.operators.inforce import Calendar
@@ -63,6 +63,11 @@ def _dashboard(view, query) -> Query:
     return lambda spark, sf_dir: query(_view(view)(spark, sf_dir))
 
 
+def _repeated_view(build) -> Query:
+    """The view where policy and claim ids repeat, over the same calendar."""
+    return lambda spark, sf_dir: build(dirtied(_star(spark, sf_dir), REPEATED_IDS), _calendar(spark, sf_dir))
+
+
 def kpi_yoy(spark: SparkSession, sf_dir: str) -> DataFrame:
     yearly = dashboards.yearly_kpis(_view(views.exec_portfolio)(spark, sf_dir))
     metrics = [name for name in yearly.columns if name != "year"]
@@ -254,6 +259,7 @@ QUERIES: dict[str, Query] = {
     "claims_loss": _view(views.claims_loss),
     "operations_daily": _view(views.operations_daily),
     "risk_daily": _view(views.risk_daily),
+    **{f"{name}_repeated_ids": _repeated_view(build) for name, build in views.BUILDERS.items()},
     "exec_portfolio_month_once": _view(views.exec_portfolio_month_once),
     "claims_loss_true_exposure": _view(views.claims_loss_true_exposure),
     "operations_daily_equivalent": _view(views.operations_daily_equivalent),

@@ -2,6 +2,11 @@
 
 Facts are aggregated on their own columns first. Dimensions meet only the aggregated rows, so no
 fact row is shuffled on a handful of product or date keys and no join needs a hint.
+
+Policies and claims are counted by their ids. Each builder takes ``distinct``: False where the ids of
+the policy tables and of the claims are known to be unique, as after a load whose rules have passed, so
+that rows may be counted; True where they may repeat; None, the default, looks by one aggregate over
+the ids.
 """
 
 from __future__ import annotations
@@ -16,8 +21,12 @@ from coverbay.operators.inforce import (
     Calendar,
     InForceSum,
     calendar_columns,
+    ids_are_unique,
     in_force,
 )
+from coverbay.operators.skew import salted_join
+
+from coverbay.schemas import PRIMARY_KEY
 
 Star = dict[str, DataFrame]
 
@@ -49,8 +58,15 @@ def _calendar(star: Star, calendar: Calendar | None) -> Calendar:
     return calendar or Calendar.of(star["dim_time"])
 
 
+def _repeats(star: Star, distinct: bool | None, *tables: str) -> bool:
+    """Whether ids of these tables may repeat."""
+    if distinct is None:
+        return not all(ids_are_unique(star[name], PRIMARY_KEY[name]) for name in tables)
+    return distinct
+
+
 def _line_in_force(
-    star: Star, calendar: Calendar, policies: DataFrame, sums, *, grain: str, null_expiration: str
+    star: Star, calendar: Calendar, policies: DataFrame, sums, *, grain: str, null_expiration: str, distinct: bool
 ) -> DataFrame:
     return in_force(
         policies,
@@ -61,6 +77,7 @@ def _line_in_force(
         null_expiration=null_expiration,
         regroup=_with_line(star),
         keep=LINE_SEGMENT,
+        distinct=distinct,
     )
 
 
@@ -68,14 +85,15 @@ def _money(name: str) -> Column:
     return F.col(name).cast(MONEY).alias(name)
 
 
-def _portfolio(star: Star, calendar: Calendar | None, per: str) -> DataFrame:
+def _portfolio(star: Star, calendar: Calendar | None, per: str, distinct: bool | None) -> DataFrame:
+    repeats = _repeats(star, distinct, "fact_policies")
     calendar = _calendar(star, calendar)
     sums = [
         InForceSum("total_annual_premium", F.col("annual_premium"), per, null_if_empty=True),
         InForceSum("total_monthly_premium", F.col("monthly_premium"), per, null_if_empty=True),
     ]
     rows = _line_in_force(
-        star, calendar, star["fact_policies"], sums, grain="month", null_expiration="single_day"
+        star, calendar, star["fact_policies"], sums, grain="month", null_expiration="single_day", distinct=repeats
     )
     return rows.select(
         *_month_columns(),
@@ -86,18 +104,28 @@ def _portfolio(star: Star, calendar: Calendar | None, per: str) -> DataFrame:
     )
 
 
-def exec_portfolio(star: Star, calendar: Calendar | None = None) -> DataFrame:
+def exec_portfolio(star: Star, calendar: Calendar | None = None, distinct: bool | None = None) -> DataFrame:
     """Policies and premium per month, state, region and line.
 
     A premium counts once for every day of the month its policy is in force. A policy without an
     expiration is in force on its first day only.
     """
-    return _portfolio(star, calendar, PER_DAY)
+    return _portfolio(star, calendar, PER_DAY, distinct)
 
 
-def exec_portfolio_month_once(star: Star, calendar: Calendar | None = None) -> DataFrame:
-    """As :func:`exec_portfolio`, each premium counted once per policy and month."""
-    return _portfolio(star, calendar, PER_POLICY)
+def exec_portfolio_month_once(
+    star: Star, calendar: Calendar | None = None, distinct: bool | None = None
+) -> DataFrame:
+    """As :func:`exec_portfolio`, each premium counted once per policy row and month."""
+    return _portfolio(star, calendar, PER_POLICY, distinct)
+
+
+def _claims_in_calendar(star: Star, calendar: Calendar) -> DataFrame:
+    incident = F.col("incident_date_key")
+    inside = star["fact_claims"].where(
+        incident.between(*calendar.key_range()) & F.col("policy_id").isNotNull()
+    )
+    return inside.withColumn("period", month_start(key_date(incident)))
 
 
 def _claims_by_policy_month(star: Star, calendar: Calendar) -> DataFrame:
@@ -105,11 +133,7 @@ def _claims_by_policy_month(star: Star, calendar: Calendar) -> DataFrame:
 
     This comes before any join: a policy with very many claims is combined on the map side.
     """
-    incident = F.col("incident_date_key")
-    inside = star["fact_claims"].where(
-        incident.between(*calendar.key_range()) & F.col("policy_id").isNotNull()
-    )
-    return inside.groupBy("policy_id", month_start(key_date(incident)).alias("period")).agg(
+    return _claims_in_calendar(star, calendar).groupBy("policy_id", "period").agg(
         F.count("*").alias("claims"), F.sum("claim_amount_paid").alias("paid")
     )
 
@@ -123,15 +147,46 @@ def _claim_metrics() -> list[Column]:
     ]
 
 
-def _claims_by_segment(star: Star, calendar: Calendar) -> DataFrame:
+def _claims_by_segment(star: Star, calendar: Calendar, repeats: bool) -> DataFrame:
     policies = star["fact_policies"].select("policy_id", "product_key", *GEOGRAPHY, "annual_premium")
     joined = _claims_by_policy_month(star, calendar).join(policies, "policy_id")
-    return joined.groupBy("product_key", *GEOGRAPHY, "period").agg(
+    sums = joined.groupBy("product_key", *GEOGRAPHY, "period").agg(
         F.count("*").alias("exposed_policies"),
         F.sum("claims").alias("claim_count"),
         F.sum("paid").alias("total_losses"),
         F.sum(F.col("annual_premium") * F.col("claims")).alias("total_premium"),
     )
+    if not repeats:
+        return sums
+    counts = _distinct_claims(star, calendar)
+    both = sums.drop("exposed_policies", "claim_count").unionByName(counts, allowMissingColumns=True)
+    return both.groupBy("product_key", *GEOGRAPHY, "period").agg(
+        F.coalesce(F.sum("exposed_policies"), F.lit(0)).alias("exposed_policies"),
+        F.coalesce(F.sum("claim_count"), F.lit(0)).alias("claim_count"),
+        F.sum("total_losses").alias("total_losses"),
+        F.sum("total_premium").alias("total_premium"),
+    )
+
+
+def _distinct_claims(star: Star, calendar: Calendar) -> DataFrame:
+    """Different policies and claims per segment and month, where ids of either may repeat.
+
+    Both are counted in two levels: each (segment, month, id) becomes one row on the map side, then
+    the rows are counted. A policy with very many claims meets its segments in slices.
+    """
+    segment = ["product_key", *GEOGRAPHY]
+    claims = _claims_in_calendar(star, calendar).select("claim_id", "policy_id", "period").distinct()
+    held = star["fact_policies"].where(F.col("policy_id").isNotNull()).select("policy_id", *segment).distinct()
+    placed = salted_join(claims, held, "policy_id", spread_by="claim_id", how="inner")
+    ids = F.array(
+        F.struct(F.lit(True).alias("is_claim"), F.col("claim_id").alias("id")),
+        F.struct(F.lit(False).alias("is_claim"), F.col("policy_id").alias("id")),
+    )
+    single = placed.select(*segment, "period", F.inline(ids)).distinct()
+    return single.groupBy(*segment, "period").agg(
+        F.count(F.when(~F.col("is_claim"), F.col("id"))).alias("exposed_policies"),
+        F.count(F.when(F.col("is_claim"), F.col("id"))).alias("claim_count"),
+    )
 
 
 def _finish_claims(star: Star, rows: DataFrame) -> DataFrame:
@@ -150,21 +205,25 @@ def _finish_claims(star: Star, rows: DataFrame) -> DataFrame:
     )
 
 
-def claims_loss(star: Star, calendar: Calendar | None = None) -> DataFrame:
+def claims_loss(star: Star, calendar: Calendar | None = None, distinct: bool | None = None) -> DataFrame:
     """Claims per incident month, product, state and region.
 
     Only policies with a claim in the month are exposed, and a policy's premium counts once per
     claim. Claims of unknown policies or of days outside the calendar are left out.
     """
+    repeats = _repeats(star, distinct, "fact_policies", "fact_claims")
     calendar = _calendar(star, calendar)
-    return _finish_claims(star, _claims_by_segment(star, calendar))
+    return _finish_claims(star, _claims_by_segment(star, calendar, repeats))
 
 
-def claims_loss_true_exposure(star: Star, calendar: Calendar | None = None) -> DataFrame:
+def claims_loss_true_exposure(
+    star: Star, calendar: Calendar | None = None, distinct: bool | None = None
+) -> DataFrame:
     """As :func:`claims_loss`, against all policies in force in the month and their premium once.
 
     Open-ended policies stay in force, as in the daily views. Months without a claim show zeros.
     """
+    repeats = _repeats(star, distinct, "fact_policies", "fact_claims")
     calendar = _calendar(star, calendar)
     segment = ["product_key", *GEOGRAPHY]
     exposure = in_force(
@@ -174,8 +233,9 @@ def claims_loss_true_exposure(star: Star, calendar: Calendar | None = None) -> D
         [InForceSum("total_premium", F.col("annual_premium"), null_if_empty=True)],
         grain="month",
         null_expiration="open",
+        distinct=repeats,
     )
-    claims = _claims_by_segment(star, calendar).drop("exposed_policies", "total_premium")
+    claims = _claims_by_segment(star, calendar, repeats).drop("exposed_policies", "total_premium")
     keys = [*segment, "period"]
     # NULL keys are real segments here, so the match must be null-safe.
     same = [F.col(f"e.{key}").eqNullSafe(F.col(f"c.{key}")) for key in keys]
@@ -192,7 +252,10 @@ def claims_loss_true_exposure(star: Star, calendar: Calendar | None = None) -> D
     return _finish_claims(star, rows)
 
 
-def _operations(star: Star, calendar: Calendar | None, exposure: str, factor: Column) -> DataFrame:
+def _operations(
+    star: Star, calendar: Calendar | None, distinct: bool | None, exposure: str, factor: Column
+) -> DataFrame:
+    repeats = _repeats(star, distinct, "fact_policies")
     calendar = _calendar(star, calendar)
     rows = _line_in_force(
         star,
@@ -201,6 +264,7 @@ def _operations(star: Star, calendar: Calendar | None, exposure: str, factor: Co
         [InForceSum("premium", F.col("monthly_premium"), null_if_empty=True)],
         grain="day",
         null_expiration="open",
+        distinct=repeats,
     )
     return rows.select(
         *_day_columns(),
@@ -212,27 +276,31 @@ def _operations(star: Star, calendar: Calendar | None, exposure: str, factor: Co
     )
 
 
-def operations_daily(star: Star, calendar: Calendar | None = None) -> DataFrame:
+def operations_daily(star: Star, calendar: Calendar | None = None, distinct: bool | None = None) -> DataFrame:
     """Policies in force, their monthly premium, starts and expirations per day and segment."""
-    return _operations(star, calendar, "daily_premium_exposure", F.col("premium").cast(MONEY))
+    return _operations(star, calendar, distinct, "daily_premium_exposure", F.col("premium").cast(MONEY))
 
 
-def operations_daily_equivalent(star: Star, calendar: Calendar | None = None) -> DataFrame:
+def operations_daily_equivalent(
+    star: Star, calendar: Calendar | None = None, distinct: bool | None = None
+) -> DataFrame:
     """As :func:`operations_daily`, the premium as a daily equivalent: monthly x 12 / 365."""
     per_day = (F.col("premium").cast(MONEY) * 12).cast("double") / F.lit(365.0)
-    return _operations(star, calendar, "daily_premium_equivalent", per_day)
+    return _operations(star, calendar, distinct, "daily_premium_equivalent", per_day)
 
 
 def risk_daily(
     star: Star,
     calendar: Calendar | None = None,
     high_risk_threshold: float = CONTRACT_RISK_THRESHOLD,
+    distinct: bool | None = None,
 ) -> DataFrame:
     """Risk scores and underwriting mix of the policies in force per day and segment.
 
-    State and region come from the policy dimension. The two policy tables meet on their unique
-    key before anything is expanded.
+    State and region come from the policy dimension. The two policy tables meet on their key before
+    anything is expanded.
     """
+    repeats = _repeats(star, distinct, "fact_policies", "dim_policies")
     calendar = _calendar(star, calendar)
     score, renewal = F.col("risk_score"), F.col("is_renewal")
     threshold = F.lit(str(high_risk_threshold)).cast("decimal(10,4)")
@@ -240,9 +308,9 @@ def risk_daily(
     sums = [
         InForceSum("score", score),
         InForceSum("scored", score.isNotNull().cast("int")),
-        InForceSum("high_risk_policies", F.when(score >= threshold, 1)),
-        InForceSum("new_business_policies", F.when(~renewal, 1)),
-        InForceSum("renewal_policies", F.when(renewal, 1)),
+        InForceSum("high_risk_policies", F.when(score >= threshold, 1), ids=True),
+        InForceSum("new_business_policies", F.when(~renewal, 1), ids=True),
+        InForceSum("renewal_policies", F.when(renewal, 1), ids=True),
         InForceSum("new_score", new_score),
         InForceSum("new_scored", new_score.isNotNull().cast("int")),
     ]
@@ -262,6 +330,7 @@ def risk_daily(
         sums,
         grain="day",
         null_expiration="open",
+        distinct=repeats,
     )
     return rows.select(
         *_day_columns(),
@@ -275,9 +344,9 @@ def risk_daily(
     )
 
 
-def risk_daily_threshold(star: Star, calendar: Calendar | None = None) -> DataFrame:
+def risk_daily_threshold(star: Star, calendar: Calendar | None = None, distinct: bool | None = None) -> DataFrame:
     """:func:`risk_daily` with a threshold inside the 1 to 10 scale of the scores."""
-    return risk_daily(star, calendar, SCORE_SCALE_THRESHOLD)
+    return risk_daily(star, calendar, SCORE_SCALE_THRESHOLD, distinct)
 
 
 BUILDERS = {
@@ -288,10 +357,12 @@ BUILDERS = {
 }
 
 
-def build_views(star: Star, calendar: Calendar | None = None) -> dict[str, DataFrame]:
+def build_views(
+    star: Star, calendar: Calendar | None = None, distinct: bool | None = None
+) -> dict[str, DataFrame]:
     """The four views over one calendar."""
     calendar = _calendar(star, calendar)
-    return {name: build(star, calendar) for name, build in BUILDERS.items()}
+    return {name: build(star, calendar, distinct=distinct) for name, build in BUILDERS.items()}
 
 
 def register_views(star: Star, prefix: str = "vw_dash_") -> list[str]:

@@ -186,3 +186,36 @@ def test_views_answer_sql(spark):
 def test_wanted_literal_tables_have_a_known_size(spark):
     table = literal_table(spark, "a b", [("x", 1), ("y", 2)])
     assert "LocalTableScan" in table._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module", params=[4, 5])
+def repeated(request, spark):
+    """Ids that repeat with equal, overlapping and touching terms, in one segment and over several; NULL ids."""
+    rows = random_star_rows(request.param, policies=220)
+
+    def shared(id_):
+        number = int(id_[1:])
+        return None if number % 29 == 0 else f"P{number % 9}"
+
+    rows["fact_policies"] = [(shared(r[0]), *r[1:]) for r in rows["fact_policies"]]
+    rows["fact_policies"] += rows["fact_policies"][:20]
+    rows["dim_policies"] = [(f"P{i % 9}", *r[1:]) for i, r in enumerate(rows["dim_policies"][:14])]
+    rows["fact_claims"] = [
+        (None if i % 31 == 0 else f"K{i % 70}", f"P{i % 11}", *r[2:]) for i, r in enumerate(rows["fact_claims"])
+    ]
+    star = {name: df.cache() for name, df in spark_star(spark, rows).items()}
+    yield star, duck(rows)
+    for df in star.values():
+        df.unpersist()
+
+
+@pytest.mark.parametrize("name", ["exec_portfolio", "claims_loss", "operations_daily", "risk_daily"])
+def test_repeated_ids_count_once(repeated, name):
+    star, con = repeated
+    assert same(views.BUILDERS[name](star), con, name) > 20
+
+
+def test_counting_ids_or_rows_is_the_same_where_ids_are_unique(both):
+    star, _ = both
+    for name, build in views.BUILDERS.items():
+        assert row_set(build(star, distinct=True)) == row_set(build(star, distinct=False)), name
