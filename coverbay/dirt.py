@@ -107,6 +107,8 @@ REPEATED_IDS = {
     ),
 }
 
+UNSCORED = {"fact_policies": Dirt(clear={"risk_score": "state_code LIKE '%1' AND policy_id NOT LIKE '%4' OR policy_id LIKE '%7'"})}
+
 
 def dirtied(tables: dict[str, DataFrame], dirt: dict[str, Dirt]) -> dict[str, DataFrame]:
     out = {}

@@ -2,12 +2,12 @@
 
 A stage reads each table once per kind of rule, whatever the number of its rules:
 
-* row rules of a table share one aggregate, which yields one row;
+* row rules of a table and the metrics of shares share one aggregate, which yields one row;
 * key rules (unique, reference) of all tables share one aggregate by (domain, key). A domain is a
-  primary key, as a number; its own table and every column that refers to it count their keys into it. Keys
-  are combined on the map side, so a key that fills a third of a table is one row per task, and
-  no join is needed to find keys without a parent;
-* a share rule counts its two tables.
+  primary key; its own table and every column that refers to it count their keys into it, so no join is
+  needed to find keys without a parent. Whole numbers stay numbers, other keys are text; each has its
+  own column of the aggregate. Keys are combined on the map side: days, states and products leave a task
+  as a few thousand rows however large the facts are, and a key that fills a third of a table as one.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from coverbay.schemas import PRIMARY_KEY, RAW, STAR, VIEWS
 from coverbay.sources.parameters import literal_table
@@ -130,87 +130,67 @@ def _union(frames: Iterable[DataFrame]) -> DataFrame:
 
 
 def _row_results(rules: list[Rule], tables: dict[str, DataFrame]) -> list[DataFrame]:
-    """One aggregate per table for its row rules; shares meet on their single rows."""
-    frames = []
-    for table in dict.fromkeys(rule.table for rule in rules if isinstance(rule, (NotEmpty, Rows))):
-        measures = []
-        for rule in rules:
-            if rule.table != table:
-                continue
-            if isinstance(rule, NotEmpty):
-                count = F.when(F.count("*") > 0, 0).otherwise(1)
-            elif isinstance(rule, Rows):
-                count = F.count(F.when(F.expr(rule.bad), 1))
-            else:
-                continue
-            measures.append((rule.rule_id, count.cast("bigint")))
-        rows = tables[table]
-        if not any(isinstance(rule, Rows) and rule.table == table for rule in rules):
-            rows = rows.limit(1)  # only asked whether there is a row at all
-        row = rows.agg(*[count.alias(f"m{i}") for i, (_, count) in enumerate(measures)])
-        entries = [
-            F.struct(F.lit(rule_id).alias("rule_id"), F.col(f"m{i}").alias("violations"))
-            for i, (rule_id, _) in enumerate(measures)
-        ]
-        frames.append(row.select(F.inline(F.array(*entries))))
+    """One aggregate per table for its row rules and the metrics of shares; a few entries meet in the end."""
+    measures: dict[str, list[tuple[str, int | None, Column]]] = {}  # table: (rule, side of a share, value)
+    whole = set()  # tables of which more is asked than whether there is a row at all
     for rule in rules:
-        if isinstance(rule, Share):
-            frames.append(_share_result(rule, tables))
-    return frames
-
-
-def _share_result(rule: Share, tables: dict[str, DataFrame]) -> DataFrame:
-    sides = [
-        tables[table].agg(F.expr(metric).cast("double").alias("metric")).select(F.lit(side).alias("side"), "metric")
-        for side, (table, metric) in enumerate([rule.numerator, rule.denominator])
-    ]
-    both = _union(sides).agg(
+        if isinstance(rule, NotEmpty):
+            measures.setdefault(rule.table, []).append((rule.rule_id, None, F.when(F.count("*") > 0, 0).otherwise(1)))
+        elif isinstance(rule, Rows):
+            measures.setdefault(rule.table, []).append((rule.rule_id, None, F.count(F.when(F.expr(rule.bad), 1))))
+            whole.add(rule.table)
+        elif isinstance(rule, Share):
+            for side, (table, metric) in enumerate([rule.numerator, rule.denominator]):
+                measures.setdefault(table, []).append((rule.rule_id, side, F.expr(metric)))
+                whole.add(table)
+    entries = []
+    for table, asked in measures.items():
+        rows = tables[table] if table in whole else tables[table].limit(1)
+        row = rows.agg(*[value.cast("double" if side is not None else "bigint").alias(f"m{i}") for i, (_, side, value) in enumerate(asked)])
+        none = F.lit(None)
+        structs = [
+            F.struct(
+                F.lit(rule_id).alias("rule_id"),
+                (F.col(f"m{i}") if side is None else none).cast("bigint").alias("violations"),
+                F.lit(side).cast("int").alias("side"),
+                (none if side is None else F.col(f"m{i}")).cast("double").alias("metric"),
+            )
+            for i, (rule_id, side, _) in enumerate(asked)
+        ]
+        entries.append(row.select(F.inline(F.array(*structs))))
+    if not entries:
+        return []
+    found = _union(entries).groupBy("rule_id").agg(
+        F.max("violations").alias("violations"),
         F.max(F.when(F.col("side") == 0, F.col("metric"))).alias("top"),
         F.max(F.when(F.col("side") == 1, F.col("metric"))).alias("bottom"),
     )
-    inside = F.try_divide("top", "bottom").between(rule.low, rule.high)
-    violations = F.when(F.coalesce(inside, F.lit(False)), 0).otherwise(1).cast("bigint")
-    return both.select(F.lit(rule.rule_id).alias("rule_id"), violations.alias("violations"))
+    counted = F.col("violations")
+    for rule in rules:
+        if isinstance(rule, Share):
+            inside = F.coalesce(F.try_divide("top", "bottom").between(rule.low, rule.high), F.lit(False))
+            counted = F.when(F.col("rule_id") == rule.rule_id, F.when(inside, 0).otherwise(1)).otherwise(counted)
+    return [found.select("rule_id", counted.cast("bigint").alias("violations"))]
 
 
-def _key_results(rules: list[Rule], tables: dict[str, DataFrame]) -> list[DataFrame]:
-    """One aggregate by (domain, key) for every unique and reference rule of the stage."""
-    unique = [rule for rule in rules if isinstance(rule, Unique)]
+def _domains(rules: list[Rule]) -> dict[str, list[tuple[str, str]]]:
+    """Which column of which table counts into which domain, and in which role (0 is the parent)."""
+    unique = [rule.table for rule in rules if isinstance(rule, Unique)]
     references = [rule for rule in rules if isinstance(rule, Reference)]
-    if not unique and not references:
-        return []
-
-    # Which column of which table counts into which domain, and in which role (0 is the parent).
-    own = dict.fromkeys([rule.table for rule in unique] + [rule.parent for rule in references])
-    roles: dict[str, list[tuple[str, str]]] = {
-        table: [(table, PRIMARY_KEY[table])] for table in own
-    }
+    roles = {table: [(table, PRIMARY_KEY[table])] for table in dict.fromkeys([*unique, *(rule.parent for rule in references)])}
     for rule in references:
         roles[rule.parent].append((rule.table, rule.column))
-    roles = {domain: list(dict.fromkeys(columns)) for domain, columns in roles.items()}
-    width = max(len(columns) for columns in roles.values())
-    number = {domain: i for i, domain in enumerate(roles)}
+    return {domain: list(dict.fromkeys(columns)) for domain, columns in roles.items()}
+
+
+def _counts(width: int) -> list[Column]:
+    return [F.count(F.when(F.col("role") == role, 1)).alias(f"n{role}") for role in range(width)]
 
-    keys = []
-    for table in dict.fromkeys(t for columns in roles.values() for t, _ in columns):
-        entries = [
-            F.struct(
-                F.lit(number[domain]).alias("domain"),
-                F.lit(role).alias("role"),
-                F.col(column).cast("string").alias("key"),
-            )
-            for domain, columns in roles.items()
-            for role, (of, column) in enumerate(columns)
-            if of == table
-        ]
-        keys.append(tables[table].select(F.inline(F.array(*entries))))
-    counted = _union(keys).groupBy("domain", "key").agg(
-        *[F.count(F.when(F.col("role") == role, 1)).alias(f"n{role}") for role in range(width)]
-    )
 
-    known, null = F.col("n0") > 0, F.col("key").isNull()
-    further, nulls = F.greatest(F.col("n0") - 1, F.lit(0)), F.when(null, F.col("n0"))
-    measures = [F.sum(further).alias("repeated"), F.sum(nulls).alias("null_keys")]
+def _domain_measures(null: Column, width: int) -> list[Column]:
+    """Sums over a domain's keys, of which ``n<role>`` says how often each occurs."""
+    known, further = F.col("n0") > 0, F.greatest(F.col("n0") - 1, F.lit(0))
+    measures = [F.sum(further).alias("repeated"), F.sum(F.when(null, F.col("n0"))).alias("null_keys")]
     for role in range(1, width):
         count = F.col(f"n{role}")
         missing = (count > 0) & ~known
@@ -220,33 +200,69 @@ def _key_results(rules: list[Rule], tables: dict[str, DataFrame]) -> list[DataFr
             F.sum(F.when(missing, count)).alias(f"rows{role}"),
             F.sum(F.when(missing & ~null, count)).alias(f"real_rows{role}"),
         ]
-    domains = counted.groupBy("domain").agg(*measures)
+    return measures
 
+
+def _domain_rules(rules: list[Rule], domain: str, columns: list[tuple[str, str]]) -> list[tuple[str, Column]]:
+    """(rule, violations) in terms of the measures of its domain."""
     results = []
-    for rule in unique:
-        total = F.col("repeated")
-        if rule.not_null:
-            # a NULL that occurs once is a violation, further NULLs are already counted
-            total = total + F.when(F.coalesce("null_keys", F.lit(0)) > 0, 1).otherwise(0)
-        results.append((rule.table, rule.rule_id, total))
-    for rule in references:
-        role = roles[rule.parent].index((rule.table, rule.column))
-        prefix = "real_" if rule.nulls == "ignore" else ""
-        results.append((rule.parent, rule.rule_id, F.col(f"{prefix}{rule.count}{role}")))
+    for rule in rules:
+        if isinstance(rule, Unique) and rule.table == domain:
+            total = F.col("repeated")
+            if rule.not_null:
+                # a NULL that occurs once is a violation, further NULLs are already counted
+                total = total + F.when(F.coalesce("null_keys", F.lit(0)) > 0, 1).otherwise(0)
+            results.append((rule.rule_id, total))
+        elif isinstance(rule, Reference) and rule.parent == domain:
+            prefix = "real_" if rule.nulls == "ignore" else ""
+            results.append((rule.rule_id, F.col(f"{prefix}{rule.count}{columns.index((rule.table, rule.column))}")))
+    return results
+
+
+def _entry(rule_id: str, violations: Column) -> Column:
+    return F.struct(F.lit(rule_id).alias("rule_id"), F.coalesce(violations, F.lit(0)).cast("bigint").alias("violations"))
+
+
+def _key_type(tables: dict[str, DataFrame], columns: list[tuple[str, str]]) -> str:
+    """The type that all columns of a domain have; text where they differ."""
+    kinds = {tables[table].schema[column].dataType.simpleString() for table, column in columns}
+    return kinds.pop() if len(kinds) == 1 else "string"
+
+
+def _key_results(rules: list[Rule], tables: dict[str, DataFrame]) -> list[DataFrame]:
+    """One aggregate for every unique and reference rule; a key is a number or a text, the other is NULL."""
+    domains = _domains(rules)
+    if not domains:
+        return []
+    number = {domain: i for i, domain in enumerate(domains)}
+    kinds = {domain: _key_type(tables, columns) for domain, columns in domains.items()}
+    width = max(len(columns) for columns in domains.values())
+    keys = []
+    for table in dict.fromkeys(table for columns in domains.values() for table, _ in columns):
+        entries = []
+        for domain, columns in domains.items():
+            whole = kinds[domain] in ("tinyint", "smallint", "int", "bigint")
+            for role, (of, column) in enumerate(columns):
+                if of == table:
+                    entries.append(
+                        F.struct(
+                            F.lit(number[domain]).alias("domain"),
+                            F.lit(role).alias("role"),
+                            (F.col(column) if whole else F.lit(None)).cast("bigint").alias("number"),
+                            (F.lit(None) if whole else F.col(column)).cast("string").alias("text"),
+                        )
+                    )
+        keys.append(tables[table].select(F.inline(F.array(*entries))))
+    counted = _union(keys).groupBy("domain", "number", "text").agg(*_counts(width))
+    null = F.col("number").isNull() & F.col("text").isNull()
+    measured = counted.groupBy("domain").agg(*_domain_measures(null, width))
     entries = [
-        F.struct(
-            F.lit(number[domain]).alias("rule_domain"),
-            F.lit(rule_id).alias("rule_id"),
-            total.alias("violations"),
-        )
-        for domain, rule_id, total in results
-    ]
-    rows = domains.select("domain", F.inline(F.array(*entries)))
-    return [
-        rows.where(F.col("domain") == F.col("rule_domain")).select(
-            "rule_id", F.coalesce("violations", F.lit(0)).cast("bigint").alias("violations")
-        )
+        F.struct(F.lit(number[domain]).alias("of"), _entry(rule_id, violations).alias("entry"))
+        for domain, columns in domains.items()
+        for rule_id, violations in _domain_rules(rules, domain, columns)
     ]
+    rows = measured.select("domain", F.inline(F.array(*entries))).where(F.col("domain") == F.col("of"))
+    return [rows.select("entry.*")]
 
 
 def run_rules(

@@ -68,12 +68,18 @@ def build_dim_state(clients: DataFrame) -> DataFrame:
 def first_per_key(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """One whole row per key: the smallest by the remaining columns, NULLs first.
 
-    The choice does not depend on file order, and as a plain ``min`` it combines on the
-    map side, so a key that repeats very often never gathers in one task.
+    The choice does not depend on file order. Keys are counted by hash, and rows whose key occurs
+    once pass through a hash join unsorted; only rows of repeated keys are compared, by a ``min`` that
+    combines before it shuffles, so a key that repeats very often never gathers in one task.
     """
     rest = [name for name in columns if name != key]
-    chosen = df.groupBy(key).agg(F.min(F.struct(*rest)).alias("row"))
-    return chosen.select(key, "row.*").select(columns)
+    repeated = df.groupBy(F.col(key).alias("repeated_key")).agg(F.count("*").alias("n")).where("n > 1")
+    flagged = df.select(columns).join(
+        repeated.hint("shuffle_hash"), F.col(key).eqNullSafe(F.col("repeated_key")), "left"
+    )
+    once = flagged.where(F.col("n").isNull()).select(columns)
+    chosen = flagged.where(F.col("n").isNotNull()).groupBy(key).agg(F.min(F.struct(*rest)).alias("row"))
+    return once.unionByName(chosen.select(key, "row.*").select(columns))
 
 
 def build_dim_clients(clients: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DecimalType
 
 from coverbay import standin
-from coverbay.dirt import RAW_DIRT, REPEATED_IDS, STAR_DIRT, dirtied
+from coverbay.dirt import RAW_DIRT, REPEATED_IDS, STAR_DIRT, UNSCORED, dirtied
 from coverbay.functions.text import tolerant_flag
 from coverbay.operators import derive, quality, star as builders
 from coverbay.operators.inforce import Calendar
@@ -68,6 +68,20 @@ def _repeated_view(build) -> Query:
     return lambda spark, sf_dir: build(dirtied(_star(spark, sf_dir), REPEATED_IDS), _calendar(spark, sf_dir))
 
 
+def _claims_over(by: list[str], grain: str, dirt: dict | None = None) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        star = dirtied(_star(spark, sf_dir), dirt or {})
+        return views.claims_over(star, by, grain, _calendar(spark, sf_dir))
+
+    return run
+
+
+def risk_dashboard_unscored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The risk dashboard where many policies of some segments have no score."""
+    star = dirtied(_star(spark, sf_dir), UNSCORED)
+    return dashboards.risk_by_day(views.risk_states(star, _calendar(spark, sf_dir)))
+
+
 def kpi_yoy(spark: SparkSession, sf_dir: str) -> DataFrame:
     yearly = dashboards.yearly_kpis(_view(views.exec_portfolio)(spark, sf_dir))
     metrics = [name for name in yearly.columns if name != "year"]
@@ -126,7 +140,7 @@ def renewal_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     registered = raw["clients"].select("client_id", "registration_year")
     # a client's policies of a year are one row before they meet the client
     held = raw["policies"].groupBy("client_id", F.year("effective_date").alias("policy_year"))
-    joined = held.agg(F.count("*").alias("held")).join(registered, "client_id")
+    joined = held.agg(F.count("*").alias("held")).join(registered, "client_id", "left")
     renewed = derive.is_renewal(F.col("registration_year"), F.col("policy_year"))
     return joined.groupBy("policy_year", "registration_year").agg(
         F.sum(F.when(renewed, F.col("held")).otherwise(0)).alias("renewals"),
@@ -290,7 +304,11 @@ QUERIES: dict[str, Query] = {
         views.claims_loss, lambda view: dashboards.claims_rollup(view, ["state_code"])
     ),
     "operations_dashboard": _dashboard(views.operations_daily, dashboards.operations_by_day),
-    "risk_dashboard": _dashboard(views.risk_daily, dashboards.risk_by_day),
+    "risk_dashboard": _dashboard(views.risk_states, dashboards.risk_by_day),
+    "risk_dashboard_unscored": risk_dashboard_unscored,
+    "claims_by_quarter": _claims_over(["line_of_business"], "quarter"),
+    "claims_by_year": _claims_over(["state_code", "line_of_business"], "year"),
+    "claims_by_year_repeated_ids": _claims_over(["line_of_business"], "year", REPEATED_IDS),
     "quality_raw": quality_raw,
     "quality_star": quality_star,
     "quality_loaded": quality_loaded,

@@ -143,7 +143,7 @@ def claims_rollup(claims: DataFrame, by: list[str]) -> DataFrame:
     """Claim metrics of coarser segments within a month.
 
     ``by`` is a subset of product, line, state and region; a policy belongs to one of each, so
-    exposed policies add up. They do not add up across months.
+    exposed policies add up. They do not add up across months: ``views.claims_over`` counts those.
     """
     sums = claims.groupBy("year_month", *by).agg(
         F.sum("exposed_policies").alias("exposed_policies"),
@@ -174,14 +174,22 @@ def _share(part: Column, whole: Column) -> Column:
 
 
 def risk_by_day(risk: DataFrame) -> DataFrame:
-    """Daily mean score weighted by active policies, high-risk count and underwriting mix."""
+    """Daily mean score, high-risk count and underwriting mix.
+
+    ``risk`` are the view's states, whose sums and numbers of scores add up over segments, or the view
+    itself, whose means are then weighted by active policies: that is the mean of all scored policies
+    only where each segment's policies all have a score or none has.
+    """
     active = F.col("active_policies")
-    scored = F.when(F.col("avg_risk_score").isNotNull(), active)
-    # as decimals the weighted scores add up to the same total in any order
-    weighted = (F.col("avg_risk_score") * scored).cast("decimal(28,6)")
+    if "scored" in risk.columns:
+        score, scored = F.col("score"), F.col("scored")
+    else:
+        scored = F.when(F.col("avg_risk_score").isNotNull(), active)
+        # as decimals the weighted scores add up to the same total in any order
+        score = (F.col("avg_risk_score") * scored).cast("decimal(28,6)")
     return risk.groupBy("day_date").agg(
         F.sum("active_policies").alias("active_policies"),
-        _share(weighted, scored).alias("avg_risk_score"),
+        _share(score, scored).alias("avg_risk_score"),
         F.sum("high_risk_policies").alias("high_risk_policies"),
         _share(F.col("new_business_policies"), active).alias("new_business_share"),
         _share(F.col("renewal_policies"), active).alias("renewal_share"),

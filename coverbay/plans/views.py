@@ -120,20 +120,20 @@ def exec_portfolio_month_once(
     return _portfolio(star, calendar, PER_POLICY, distinct)
 
 
-def _claims_in_calendar(star: Star, calendar: Calendar) -> DataFrame:
+def _claims_in_calendar(star: Star, calendar: Calendar, grain: str = "month") -> DataFrame:
     incident = F.col("incident_date_key")
     inside = star["fact_claims"].where(
         incident.between(*calendar.key_range()) & F.col("policy_id").isNotNull()
     )
-    return inside.withColumn("period", month_start(key_date(incident)))
+    return inside.withColumn("period", F.trunc(key_date(incident), grain))
 
 
-def _claims_by_policy_month(star: Star, calendar: Calendar) -> DataFrame:
-    """Claims of calendar days, one row per policy and incident month.
+def _claims_by_policy(star: Star, calendar: Calendar, grain: str = "month") -> DataFrame:
+    """Claims of calendar days, one row per policy and incident period.
 
     This comes before any join: a policy with very many claims is combined on the map side.
     """
-    return _claims_in_calendar(star, calendar).groupBy("policy_id", "period").agg(
+    return _claims_in_calendar(star, calendar, grain).groupBy("policy_id", "period").agg(
         F.count("*").alias("claims"), F.sum("claim_amount_paid").alias("paid")
     )
 
@@ -147,20 +147,32 @@ def _claim_metrics() -> list[Column]:
     ]
 
 
-def _claims_by_segment(star: Star, calendar: Calendar, repeats: bool) -> DataFrame:
-    policies = star["fact_policies"].select("policy_id", "product_key", *GEOGRAPHY, "annual_premium")
-    joined = _claims_by_policy_month(star, calendar).join(policies, "policy_id")
-    sums = joined.groupBy("product_key", *GEOGRAPHY, "period").agg(
+PRODUCT_SEGMENT = ["product_key", *GEOGRAPHY]
+
+
+def _claims_by_segment(
+    star: Star, calendar: Calendar, repeats: bool, by: list[str] = PRODUCT_SEGMENT, grain: str = "month"
+) -> DataFrame:
+    """Exposed policies, claims, losses and premium by ``by`` and period.
+
+    A policy is one row of its period, so exposed policies are counted over the whole period; where
+    ids repeat they are counted by :func:`_distinct_claims`.
+    """
+    policies = star["fact_policies"].select("policy_id", *PRODUCT_SEGMENT, "annual_premium")
+    joined = _claims_by_policy(star, calendar, grain).join(policies, "policy_id")
+    sums = joined.groupBy(*PRODUCT_SEGMENT, "period").agg(
         F.count("*").alias("exposed_policies"),
         F.sum("claims").alias("claim_count"),
         F.sum("paid").alias("total_losses"),
         F.sum(F.col("annual_premium") * F.col("claims")).alias("total_premium"),
     )
-    if not repeats:
+    if not repeats and by == PRODUCT_SEGMENT:
         return sums
-    counts = _distinct_claims(star, calendar)
-    both = sums.drop("exposed_policies", "claim_count").unionByName(counts, allowMissingColumns=True)
-    return both.groupBy("product_key", *GEOGRAPHY, "period").agg(
+    named = sums if by == PRODUCT_SEGMENT else _with_line(star)(sums)
+    if repeats:
+        counts = _distinct_claims(star, calendar, by, grain)
+        named = named.drop("exposed_policies", "claim_count").unionByName(counts, allowMissingColumns=True)
+    return named.groupBy(*by, "period").agg(
         F.coalesce(F.sum("exposed_policies"), F.lit(0)).alias("exposed_policies"),
         F.coalesce(F.sum("claim_count"), F.lit(0)).alias("claim_count"),
         F.sum("total_losses").alias("total_losses"),
@@ -168,27 +180,44 @@ def _claims_by_segment(star: Star, calendar: Calendar, repeats: bool) -> DataFra
     )
 
 
-def _distinct_claims(star: Star, calendar: Calendar) -> DataFrame:
-    """Different policies and claims per segment and month, where ids of either may repeat.
+def _distinct_claims(star: Star, calendar: Calendar, by: list[str], grain: str) -> DataFrame:
+    """Different policies and claims per segment and period, where ids of either may repeat.
 
-    Both are counted in two levels: each (segment, month, id) becomes one row on the map side, then
+    Both are counted in two levels: each (segment, period, id) becomes one row on the map side, then
     the rows are counted. A policy with very many claims meets its segments in slices.
     """
-    segment = ["product_key", *GEOGRAPHY]
-    claims = _claims_in_calendar(star, calendar).select("claim_id", "policy_id", "period").distinct()
-    held = star["fact_policies"].where(F.col("policy_id").isNotNull()).select("policy_id", *segment).distinct()
+    claims = _claims_in_calendar(star, calendar, grain).select("claim_id", "policy_id", "period").distinct()
+    held = star["fact_policies"].where(F.col("policy_id").isNotNull()).select("policy_id", *PRODUCT_SEGMENT).distinct()
+    if by != PRODUCT_SEGMENT:
+        held = _with_line(star)(held).select("policy_id", *by).distinct()
     placed = salted_join(claims, held, "policy_id", spread_by="claim_id", how="inner")
     ids = F.array(
         F.struct(F.lit(True).alias("is_claim"), F.col("claim_id").alias("id")),
         F.struct(F.lit(False).alias("is_claim"), F.col("policy_id").alias("id")),
     )
-    single = placed.select(*segment, "period", F.inline(ids)).distinct()
-    return single.groupBy(*segment, "period").agg(
+    single = placed.select(*by, "period", F.inline(ids)).distinct()
+    return single.groupBy(*by, "period").agg(
         F.count(F.when(~F.col("is_claim"), F.col("id"))).alias("exposed_policies"),
         F.count(F.when(F.col("is_claim"), F.col("id"))).alias("claim_count"),
     )
 
 
+def claims_over(
+    star: Star, by: list[str], grain: str, calendar: Calendar | None = None, distinct: bool | None = None
+) -> DataFrame:
+    """Claim metrics of a month, quarter or year (``grain``) and coarser segments.
+
+    ``by`` is a subset of product, line, state and region. A policy with claims in several months of a
+    period is exposed once, so this starts from the facts: exposed policies of months don't add up.
+    """
+    repeats = _repeats(star, distinct, "fact_policies", "fact_claims")
+    rows = _claims_by_segment(star, _calendar(star, calendar), repeats, by, grain)
+    amounts = {name: F.col(name).cast(MONEY) for name in ("total_losses", "total_premium")}
+    named = rows.withColumns(amounts).withColumnRenamed("period", "period_start")
+    counts = ["exposed_policies", "claim_count", "total_losses", "total_premium"]
+    return named.select("period_start", *by, *counts, *_claim_metrics())
+
+
 def _finish_claims(star: Star, rows: DataFrame) -> DataFrame:
     amounts = {name: F.col(name).cast(MONEY) for name in ("total_losses", "total_premium")}
     named = _with_line(star)(rows).withColumns(amounts)
@@ -289,13 +318,33 @@ def operations_daily_equivalent(
     return _operations(star, calendar, distinct, "daily_premium_equivalent", per_day)
 
 
-def risk_daily(
+#: Name of the joined policies in a star that holds them; a load stores them, so its views don't join.
+POLICY_RISKS = "policy_risks"
+
+
+def policy_risks(star: Star) -> DataFrame:
+    """Terms and scores of the policy fact with state, region and renewal flag of the policy dimension."""
+    facts = star["fact_policies"].select(
+        "policy_id",
+        "product_key",
+        "effective_date_key",
+        "expiration_date_key",
+        "policy_year",
+        "risk_score",
+    )
+    return facts.join(star["dim_policies"].select("policy_id", *GEOGRAPHY, "is_renewal"), "policy_id")
+
+
+def risk_states(
     star: Star,
     calendar: Calendar | None = None,
     high_risk_threshold: float = CONTRACT_RISK_THRESHOLD,
     distinct: bool | None = None,
 ) -> DataFrame:
-    """Risk scores and underwriting mix of the policies in force per day and segment.
+    """What :func:`risk_daily` is made of, in a form that adds up: sums and numbers of scores.
+
+    ``score`` and ``scored`` belong to all policies in force, ``new_score`` and ``new_scored`` to new
+    business; the other columns are those of the view.
 
     State and region come from the policy dimension. The two policy tables meet on their key before
     anything is expanded.
@@ -314,19 +363,11 @@ def risk_daily(
         InForceSum("new_score", new_score),
         InForceSum("new_scored", new_score.isNotNull().cast("int")),
     ]
-    facts = star["fact_policies"].select(
-        "policy_id",
-        "product_key",
-        "effective_date_key",
-        "expiration_date_key",
-        "policy_year",
-        "risk_score",
-    )
-    headers = star["dim_policies"].select("policy_id", *GEOGRAPHY, "is_renewal")
+    policies = star[POLICY_RISKS] if POLICY_RISKS in star else policy_risks(star)
     rows = _line_in_force(
         star,
         calendar,
-        facts.join(headers, "policy_id"),
+        policies,
         sums,
         grain="day",
         null_expiration="open",
@@ -336,6 +377,35 @@ def risk_daily(
         *_day_columns(),
         *LINE_SEGMENT,
         "active_policies",
+        "score",
+        "scored",
+        "high_risk_policies",
+        "new_business_policies",
+        "renewal_policies",
+        "new_score",
+        "new_scored",
+    )
+
+
+def risk_daily(
+    star: Star,
+    calendar: Calendar | None = None,
+    high_risk_threshold: float = CONTRACT_RISK_THRESHOLD,
+    distinct: bool | None = None,
+) -> DataFrame:
+    """Risk scores and underwriting mix of the policies in force per day and segment."""
+    return risk_of_states(risk_states(star, calendar, high_risk_threshold, distinct))
+
+
+def risk_of_states(states: DataFrame) -> DataFrame:
+    """The risk view of its states."""
+    return states.select(
+        "day_date",
+        "year",
+        "month",
+        "year_month",
+        *LINE_SEGMENT,
+        "active_policies",
         ratio(F.col("score"), F.col("scored")).alias("avg_risk_score"),
         "high_risk_policies",
         "new_business_policies",

@@ -15,6 +15,8 @@ running load writes stays, whatever its number. All times are the file system's
     <root>/claims/<n>                       the load that may write version n, as old as its last step
     <root>/versions/<n>/raw_report          rules of the raw stage and their outcome, if there was one
     <root>/versions/<n>/<table>             the tables of one load
+    <root>/versions/<n>/policy_risks        policies with the columns of their header, joined once
+    <root>/versions/<n>/risk_states         the risk view's sums and numbers of scores, which add up
     <root>/versions/<n>/views/<view>        the semantic views over them, partitioned by year
     <root>/versions/<n>/manifest            name, columns and rows of each table and view
     <root>/versions/<n>/quality_report      every rule and its outcome
@@ -27,7 +29,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from coverbay.operators import quality
-from coverbay.plans.views import build_views
+from coverbay.plans.views import POLICY_RISKS, build_views, policy_risks, risk_states
 from coverbay.schemas import STAR, VIEWS
 from coverbay.sources import folders
 
@@ -82,18 +84,30 @@ def write_table(df: DataFrame, path: str, name: str) -> None:
 
 
 def read_version(spark: SparkSession, root: str, version: int) -> dict[str, DataFrame]:
-    return {
+    """The nine tables of a version, and the policies joined to their headers if they are stored."""
+    tables = {
         name: spark.read.schema(schema).parquet(table_path(root, version, name)).select(schema.names)
         for name, schema in STAR.items()
     }
+    joined = table_path(root, version, POLICY_RISKS)
+    return tables | ({POLICY_RISKS: spark.read.parquet(joined)} if folders.names(spark, joined) else {})
 
 
-def read_warehouse(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The nine tables of the newest published version."""
+def read_risk_states(spark: SparkSession, root: str) -> DataFrame:
+    """The risk view of the newest published version as sums and numbers of scores."""
+    return spark.read.parquet(table_path(root, _published(spark, root), "risk_states"))
+
+
+def _published(spark: SparkSession, root: str) -> int:
     version = published_version(spark, root)
     if version == 0:
         raise NothingPublished(root)
-    return read_version(spark, root, version)
+    return version
+
+
+def read_warehouse(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The nine tables of the newest published version."""
+    return read_version(spark, root, _published(spark, root))
 
 
 def quality_report(spark: SparkSession, root: str, version: int) -> DataFrame:
@@ -111,10 +125,7 @@ def read_view(spark: SparkSession, root: str, name: str) -> DataFrame:
 
     A filter on ``year`` reads that year's files only.
     """
-    version = published_version(spark, root)
-    if version == 0:
-        raise NothingPublished(root)
-    return _stored_view(spark, root, version, name)
+    return _stored_view(spark, root, _published(spark, root), name)
 
 
 def _stored_view(spark: SparkSession, root: str, version: int, name: str) -> DataFrame:
@@ -215,13 +226,18 @@ def _write_version(spark: SparkSession, star: dict[str, DataFrame], root: str, v
     written = read_version(spark, root, version)
     _record(spark, root, version, quality.check_tables(spark, written), "overwrite")
 
+    joined = policy_risks(written).hint("rebalance", F.col("policy_year")).sortWithinPartitions("policy_year", "effective_date_key")
+    joined.write.mode("overwrite").partitionBy("policy_year").parquet(table_path(root, version, POLICY_RISKS))
+    written = read_version(spark, root, version)
+    states = risk_states(written, distinct=False).hint("rebalance", F.col("year"))
+    states.write.mode("overwrite").partitionBy("year").parquet(table_path(root, version, "risk_states"))
     # the rules that have passed say that ids are unique, so views need not look
     for name, view in build_views(written, distinct=False).items():
         renew_claim(spark, root, version)
         # one writer per year: a view is segments x periods, a year of it a few files at most
         view.hint("rebalance", F.col("year")).write.mode("overwrite").partitionBy("year").parquet(view_path(root, version, name))
     views = {name: _stored_view(spark, root, version, name) for name in VIEWS}
-    _manifest(spark, {**written, **views}).write.mode("overwrite").parquet(table_path(root, version, "manifest"))
+    _manifest(spark, {name: written[name] for name in STAR} | views).write.mode("overwrite").parquet(table_path(root, version, "manifest"))
     present = present_in_storage(spark, root, version)
     _record(spark, root, version, quality.check_views(spark, written, views, present), "append")
 

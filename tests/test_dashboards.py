@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -87,3 +88,14 @@ def test_daily_dashboards(spark):
     )
     assert row_set(dashboards.risk_by_day(risk)) == [(D(2024, 1, 1), 8, 6.0, 2, 5 / 8, 2 / 8)]
     assert row_set(dashboards.risk_by_day(risk.where(F.col("avg_risk_score").isNull())), "avg_risk_score") == [(None,)]
+
+
+def test_mean_scores_of_half_scored_segments_add_up(spark):
+    rows = [(D(2024, 1, 1), 10, Decimal("18.00"), 2, 1, 5, 5), (D(2024, 1, 1), 4, Decimal("4.00"), 4, 0, 2, 2), (D(2024, 1, 2), 3, Decimal("0"), 0, 0, 0, 3)]
+    states = spark.createDataFrame(
+        rows,
+        "day_date date, active_policies bigint, score decimal(28,2), scored bigint, high_risk_policies bigint, "
+        "new_business_policies bigint, renewal_policies bigint",
+    )
+    # two policies of the first segment have a score, 9 each: weighing its mean by ten would say 6.7
+    assert row_set(dashboards.risk_by_day(states), "day_date", "avg_risk_score") == [(D(2024, 1, 1), 22 / 6), (D(2024, 1, 2), None)]

@@ -8,7 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from coverbay.operators import skew, star as builders
+from coverbay.operators import quality, skew, star as builders
 from coverbay.operators.inforce import Calendar
 from coverbay.plans import dashboards, views
 from coverbay.sources import warehouse
@@ -133,3 +133,25 @@ def test_fact_claims_join_is_salted(spark, stored):
     )
     policies = stored["fact_policies"].selectExpr("policy_id", "state_code", "region_code", "'Auto' AS line_of_business", "'Full' AS plan_name")
     assert "salt" in plan(builders.build_fact_claims(claims, policies))
+
+
+def test_keys_that_are_numbers_stay_numbers(spark, stored):
+    rules = [rule for rule in quality.star_rules() if quality._runnable(rule, stored)]
+    text = plan(quality._key_results(rules, stored)[0])
+    keys = [line for line in text.splitlines() if "Generate inline" in line and "date_key" in line]
+    assert keys and not any(f"cast({name}" in line and "as string" in line.split(f"cast({name}")[1][:60] for line in keys for name in ("date_key", "incident_date_key"))
+    assert all("as bigint" in line for line in keys)
+
+
+def test_shares_read_no_table_again(spark, stored):
+    kinds = (quality.Share, quality.NotEmpty)
+    rules = [rule for rule in quality.star_rules() if isinstance(rule, kinds) and quality._runnable(rule, stored)]
+    text = plan(quality._row_results(rules, stored)[0])
+    assert text.count("/fact_claims]") == text.count("/fact_policies]") == 1
+
+
+def test_keeping_one_row_per_key_sorts_repeated_keys_only(spark, stored):
+    table = stored["dim_policies"]
+    text = plan(builders.first_per_key(table, "policy_id", table.columns))
+    assert "ShuffledHashJoin" in text and "SortMergeJoin" not in text
+    assert text.count("SortAggregate") <= 2 and "Window" not in text
