@@ -22,10 +22,12 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder all executors and the driver share: the session's, else one for this run.
 
     A session that names ``spark.checkpoint.dir`` keeps it. Only where it is unset, as in tests on
-    one machine, a temporary folder is made and noted in the session.
+    one machine, a temporary folder is made and noted in the session; on a cluster that is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no folder that all executors share")
         import tempfile
 
         folder = tempfile.mkdtemp(prefix="run-")
