@@ -28,7 +28,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import public_tokenizers
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
@@ -332,14 +331,17 @@ def write_files(documents: DataFrame, tokenizer: str | None = None, shard_tokens
     ``tokenizer`` is the path of a tokenizer's JSON file on every executor.
     """
     spark = documents.sparkSession
-    path = tokenizer or public_tokenizers.path(VOCABULARY)
+    if tokenizer is None:
+        import public_tokenizers
+
+        tokenizer = public_tokenizers.path(VOCABULARY)
     folder = f"{shared_folder(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
     files, place = fs.FileSystem.from_uri(folder)
     files.create_dir(place)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = fs.FileSystem.from_uri(folder)
-        encoder, part = Encoder.of_process(path), TaskContext.get().partitionId()
+        encoder, part = Encoder.of_process(tokenizer), TaskContext.get().partitionId()
         name = f"{part:06d}-{uuid.uuid4().hex}"  # only files that a finished task reports are read
         done, held, doc_ids, size = [], [], [], 0
         end = np.array([END], "<u4").tobytes()
