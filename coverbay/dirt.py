@@ -17,6 +17,8 @@ class Dirt:
     repeat: str = "false"
     change: dict[str, str] = field(default_factory=dict)  # column: new value, NULL keeps the old one
     clear: dict[str, str] = field(default_factory=dict)  # column: rows that lose their value
+    without: tuple[str, ...] = ()  # columns that are not there
+    absent: bool = False  # the table is not there
 
 
 def _when(condition: str, value: str) -> str:
@@ -107,6 +109,18 @@ REPEATED_IDS = {
     ),
 }
 
+# Tables and columns that are missing.
+INCOMPLETE = {
+    "clients": Dirt(without=("age", "gender")),
+    "policies": Dirt(without=("status",)),
+    "claims": Dirt(without=("report_date", "claim_type")),
+    "expenses": Dirt(without=("expense_category",)),
+    "taxes": Dirt(absent=True),
+    "dim_time": Dirt(without=("quarter", "month_name")),
+    "dim_state": Dirt(without=("market_tier",)),
+    "fact_taxes": Dirt(absent=True),
+}
+
 UNSCORED = {"fact_policies": Dirt(clear={"risk_score": "state_code LIKE '%1' AND policy_id NOT LIKE '%4' OR policy_id LIKE '%7'"})}
 
 
@@ -114,12 +128,14 @@ def dirtied(tables: dict[str, DataFrame], dirt: dict[str, Dirt]) -> dict[str, Da
     out = {}
     for name, table in tables.items():
         faults = dirt.get(name, Dirt())
+        if faults.absent:
+            continue
         kept = table.where(f"NOT coalesce({faults.drop}, false)")
         rows = kept.unionAll(kept.where(faults.repeat))
         types = dict(rows.dtypes)
         changed = {c: F.coalesce(F.expr(value).cast(types[c]), c) for c, value in faults.change.items()}
         changed |= {c: F.when(F.expr(f"NOT coalesce({rows_}, false)"), F.col(c)) for c, rows_ in faults.clear.items()}
-        out[name] = rows.withColumns(changed) if changed else rows
+        out[name] = (rows.withColumns(changed) if changed else rows).drop(*faults.without)
     return out
 
 
@@ -128,5 +144,6 @@ def dirty_sql(source: str, faults: Dirt) -> str:
     changed = [f"coalesce({value}, {c}) AS {c}" for c, value in faults.change.items()]
     changed += [f"CASE WHEN NOT coalesce({rows}, false) THEN {c} END AS {c}" for c, rows in faults.clear.items()]
     columns = "*" if not changed else f"* REPLACE ({', '.join(changed)})"
+    columns += f" EXCLUDE ({', '.join(faults.without)})" if faults.without else ""
     kept = f"SELECT * FROM {source} WHERE NOT coalesce({faults.drop}, false)"
     return f"SELECT {columns} FROM ({kept} UNION ALL SELECT * FROM ({kept}) AS k WHERE {faults.repeat}) AS r"

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DecimalType
 
 from coverbay import standin
-from coverbay.dirt import RAW_DIRT, REPEATED_IDS, STAR_DIRT, UNSCORED, dirtied
+from coverbay.dirt import INCOMPLETE, RAW_DIRT, REPEATED_IDS, STAR_DIRT, UNSCORED, dirtied
 from coverbay.functions.text import tolerant_flag
 from coverbay.operators import derive, quality, star as builders
 from coverbay.operators.inforce import Calendar
@@ -116,6 +116,12 @@ def quality_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.union(quality.check_tables(spark, dirtied(_star(spark, sf_dir), STAR_DIRT)))
 
 
+def quality_incomplete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw and star rules where tables and columns are missing."""
+    raw = quality.check_raw(spark, dirtied(_raw(spark, sf_dir), INCOMPLETE), BOUNDS)
+    return raw.union(quality.check_star(spark, dirtied(_star(spark, sf_dir), INCOMPLETE)))
+
+
 def table_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = _raw(spark, sf_dir)
     return row_counts({**raw, **builders.build_star(raw)})
@@ -314,6 +320,7 @@ QUERIES: dict[str, Query] = {
     "quality_loaded": quality_loaded,
     "quality_ddl": quality_ddl,
     "quality_dirty": quality_dirty,
+    "quality_incomplete": quality_incomplete,
     "row_counts": table_row_counts,
     "fraud_flag_parse": fraud_flag_parse,
     "policy_term": policy_term,
