@@ -95,11 +95,12 @@ STAR_DIRT = {
 }
 
 # Ids that repeat with equal, overlapping and touching terms in one segment and over several; the claims
-# and headers of those policies have the same ids.
-_SHARED_ID = "CASE WHEN policy_id LIKE '%7' THEN concat('PX', substr(policy_id, 7, 1)) END"
+# and headers of those policies have the same ids. An id is shared within ten thousand keys, so the rows
+# that have it don't grow with the tables, and few of them keep a header.
+_SHARED_ID = "CASE WHEN policy_id LIKE '%7' THEN concat('PX', substr(policy_id, 2, 4)) END"
 REPEATED_IDS = {
     "fact_policies": Dirt(repeat="policy_id LIKE '%4'", change={"policy_id": _SHARED_ID}),
-    "dim_policies": Dirt(drop="policy_id LIKE '%37'", repeat="policy_id LIKE '%5'", change={"policy_id": _SHARED_ID}),
+    "dim_policies": Dirt(drop="policy_id LIKE '%7' AND policy_id NOT LIKE '%007'", repeat="policy_id LIKE '%5'", change={"policy_id": _SHARED_ID}),
     "fact_claims": Dirt(
         repeat="claim_id LIKE '%3'",
         change={
