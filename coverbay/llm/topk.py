@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window, functions as F
 
 from coverbay.llm.features import texts_of
@@ -39,6 +40,10 @@ K1, B = 1.2, 0.75
 BLOCK = 32
 SHARD_BYTES = 16 << 20
 QUERY_BYTES = 32 << 20
+PASS_BLOCKS = 4  # blocks of queries for which a shard's index is built once
+FIRST_BLOCKS = 8  # blocks scored first where no bar is known
+GROWTH = 8
+WORD_SIZE = 6  # bytes of a word and what follows it, for the sizes of rounds only
 _NO_ID = np.iinfo(np.int64).max
 
 
@@ -95,8 +100,11 @@ class Shard:
         word[text[head]] = number[head]
         return np.lexsort((length, word))
 
-    def best(self, terms: np.ndarray, idf: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(rows, scores) of the query's k best documents; ``terms`` are hashes, ascending."""
+    def best(self, terms: np.ndarray, idf: np.ndarray, k: int, least: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        """(rows, scores) of the query's k best documents, ties at the k-th score included.
+
+        ``terms`` are hashes, ascending; documents that score below ``least`` may be left out.
+        """
         at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
         here = self.terms[at] == terms
         at, idf = at[here], idf[here]
@@ -104,29 +112,66 @@ class Shard:
         entries, weight = _ranges(self.term_entry[at], size), np.repeat(idf, size)
         block = self.entry_block[entries]
         bound = np.bincount(block, weight * self.entry_most[entries], self.blocks) * (1 + 1e-9)
-        order = np.argsort(-bound)
-        rows, scores, least = np.zeros(0, np.int64), np.zeros(0), 0.0
-        done, step = 0, 4
-        while done < self.blocks and bound[order[done]] > 0 and bound[order[done]] >= least:
-            chosen = order[done : done + step]
-            chosen = chosen[(bound[chosen] >= least) & (bound[chosen] > 0)]
-            done, step = done + step, step * 4
-            wanted = np.zeros(self.blocks, bool)
-            wanted[chosen] = True
-            kept = wanted[block]
-            mine = entries[kept]
-            count = self.entry[mine + 1] - self.entry[mine]
-            postings = _ranges(self.entry[mine], count)
-            score = np.bincount(self.doc[postings], np.repeat(weight[kept], count) * self.impact[postings], len(self.ids))
-            found = np.flatnonzero(score)
-            rows, scores = np.concatenate((rows, found)), np.concatenate((scores, score[found]))
-            if len(rows) > k:
-                top = np.lexsort((self.ids[rows], -scores))[:k]
-                rows, scores = rows[top], scores[top]
-            if len(rows) == k:
-                least = scores.min()
-        top = np.lexsort((self.ids[rows], -scores))[:k]
-        return rows[top], scores[top]
+        score = np.zeros(len(self.ids))
+        if least <= 0.0 and self.blocks > FIRST_BLOCKS:
+            first = np.zeros(self.blocks, bool)
+            first[np.argpartition(-bound, FIRST_BLOCKS)[:FIRST_BLOCKS]] = True
+            score = self._scores(at, idf, entries, weight, first[block])
+            least = _kth(score, k)
+        kept = (bound >= least)[block]
+        if kept.any():
+            score = self._scores(at, idf, entries, weight, kept)
+        found = np.flatnonzero((score >= max(least, _kth(score, k))) & (score > 0))
+        return found, score[found]
+
+    def _scores(self, at: np.ndarray, idf: np.ndarray, entries: np.ndarray, weight: np.ndarray, kept: np.ndarray) -> np.ndarray:
+        """Scores of the documents in the blocks of the kept entries; where most are kept, of all.
+
+        Whole lists are copied faster than many parts of them. Either way terms are added in one order.
+        """
+        if np.count_nonzero(kept) * 2 > len(kept):
+            start, end = self.entry[self.term_entry[at]], self.entry[self.term_entry[at + 1]]
+            spans = [slice(*span) for span in zip(start.tolist(), end.tolist())]
+            doc, impact = (np.concatenate([column[span] for span in spans]) for column in (self.doc, self.impact))
+            return np.bincount(doc, np.repeat(idf, end - start) * impact, len(self.ids))
+        mine = entries[kept]
+        count = self.entry[mine + 1] - self.entry[mine]
+        postings = _ranges(self.entry[mine], count)
+        return np.bincount(self.doc[postings], np.repeat(weight[kept], count) * self.impact[postings], len(self.ids))
+
+
+def _kth(score: np.ndarray, k: int) -> float:
+    return float(np.partition(score, len(score) - k)[len(score) - k]) if len(score) >= k else 0.0
+
+
+class Best:
+    """The best k rows of some queries in one task, and the bar that further rows must pass.
+
+    A bar is the score and id of a row that k known rows reach; only what comes strictly before it, by
+    higher score or smaller id, can still be among the best.
+    """
+
+    def __init__(self, score: np.ndarray, doc: np.ndarray, k: int):
+        self.bar_score, self.bar_doc, self.k = score.copy(), doc.copy(), k
+        self.rows: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def add(self, query: int, doc: np.ndarray, score: np.ndarray) -> None:
+        bar, bar_doc = self.bar_score[query], self.bar_doc[query]
+        better = (score > bar) | ((score == bar) & (doc < bar_doc))
+        if not better.any():
+            return
+        doc, score = doc[better], score[better]
+        if query in self.rows:
+            doc, score = np.append(self.rows[query][0], doc), np.append(self.rows[query][1], score)
+        top = np.lexsort((doc, -score))[: self.k]
+        self.rows[query] = doc[top], score[top]
+        if len(top) == self.k:
+            self.bar_score[query], self.bar_doc[query] = score[top[-1]], doc[top[-1]]
+
+    def batch(self, query_id: np.ndarray) -> pa.RecordBatch:
+        query = np.repeat(query_id[list(self.rows)], [len(doc) for doc, _ in self.rows.values()]) if self.rows else np.zeros(0, np.int64)
+        doc, score = (np.concatenate([row[i] for row in self.rows.values()] or [np.zeros(0, kind)]) for i, kind in enumerate((np.int64, np.float64)))
+        return pa.RecordBatch.from_arrays([pa.array(query), pa.array(doc, mask=doc == _NO_ID), pa.array(score)], ["query_id", "doc_id", "score"])
 
 
 def _frequencies(documents: DataFrame) -> DataFrame:
@@ -183,39 +228,91 @@ def search(documents: DataFrame, queries: DataFrame, k: int = 10, shard_bytes: i
     terms = weighted.agg(F.sum(F.size("terms")).alias("n")).first()["n"] or 0
     blocks = max(1, -(-2 * 16 * terms // query_bytes))
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rounds = _rounds(texts, rows * mean * WORD_SIZE, shard_bytes)
     found = None
-    for number in range(blocks):
-        part = _found(texts, weighted.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == number), mean, k, shard_bytes)
+    for start in range(0, blocks, PASS_BLOCKS):
+        held = [_block(weighted.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == n)) for n in range(start, min(blocks, start + PASS_BLOCKS))]
+        part = _found(held, rounds, mean, k, shard_bytes)
         found = part if found is None else found.union(part)
+    return found.select("query_id", "rank", "doc_id", "score")
+
+
+def _rounds(texts: DataFrame, size: float, shard_bytes: int) -> list[DataFrame]:
+    """The rows in rounds, each ``GROWTH`` times as large as all before; the first about a shard or two."""
+    share, shares = 1.0, [1.0]
+    while size * share > 2 * shard_bytes:
+        share /= GROWTH
+        shares.append(share)
+    shares.reverse()
+    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
+    ends = [0, *(int(share * (1 << 30)) for share in shares)]
+    rounds = [texts.where((place >= low) & (place < high)) for low, high in zip(ends, ends[1:])]
+    return [rounds[0].repartition(GROWTH), *rounds[1:]] if len(rounds) > 1 else rounds
+
+
+def _top(found: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "doc_id", "score")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _found(texts: DataFrame, block: DataFrame, mean: float, k: int, shard_bytes: int) -> DataFrame:
-    """(query_id, doc_id, score): each shard's k best documents for each query of the block."""
+def _block(block: DataFrame) -> tuple[np.ndarray, Broadcast]:
+    """(ids, broadcast of ids, first term of each query and the end, terms, idf) of a block of queries."""
     table = block.toArrow()
     sizes = np.array([len(x) for x in table.column("terms")], np.int64)
     flat = table.column("terms").combine_chunks().flatten() if table.num_rows else None
     terms = flat.field("term").to_numpy().view(np.uint64) if flat is not None else np.zeros(0, np.uint64)
     idf = flat.field("idf").to_numpy() if flat is not None else np.zeros(0)
     sort = np.lexsort((terms, np.repeat(np.arange(len(sizes)), sizes)))
-    plain = (table.column("query_id").to_numpy(), np.append(0, np.cumsum(sizes)), terms[sort], idf[sort])
-    shared = texts.sparkSession.sparkContext.broadcast(plain)
+    ids = table.column("query_id").to_numpy()
+    return ids, block.sparkSession.sparkContext.broadcast((ids, np.append(0, np.cumsum(sizes)), terms[sort], idf[sort]))
+
+
+def _bars(best: DataFrame | None, held: list[tuple[np.ndarray, Broadcast]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(score, id) of the k-th best row known for each query of each block; 0 where fewer are known."""
+    bars = [(np.zeros(len(ids)), np.full(len(ids), _NO_ID)) for ids, _ in held]
+    if best is None:
+        return bars
+    table = best.where(F.col("rank") == k).select("query_id", "score", F.coalesce("doc_id", F.lit(int(_NO_ID))).alias("doc_id")).toArrow()
+    query, score, doc = (table.column(name).to_numpy() for name in ("query_id", "score", "doc_id"))
+    sort = np.argsort(query)
+    query, score, doc = query[sort], score[sort], doc[sort]
+    for (ids, _), (bar_score, bar_doc) in zip(held, bars):
+        at = np.searchsorted(query, ids)
+        known = np.append(query, -1)[at] == ids if len(query) else np.zeros(len(ids), bool)
+        known &= at < len(query)
+        bar_score[known], bar_doc[known] = score[at[known]], doc[at[known]]
+    return bars
+
+
+def _found(held: list[tuple[np.ndarray, Broadcast]], rounds: list[DataFrame], mean: float, k: int, shard_bytes: int) -> DataFrame:
+    """(query_id, doc_id, score, rank): the k best documents for each query of the blocks, over all rounds."""
+    best = None
+    for rows in rounds:
+        if best is not None:
+            best = materialise(best)
+        found = _searched(rows, [shared for _, shared in held], _bars(best, held, k), mean, k, shard_bytes)
+        best = _top(found if best is None else best.drop("rank").union(found), k)
+    return best
+
+
+def _searched(texts: DataFrame, blocks: list[Broadcast], bars: list[tuple[np.ndarray, np.ndarray]], mean: float, k: int, shard_bytes: int) -> DataFrame:
+    """(query_id, doc_id, score): each task's k best documents for each query, if they pass its bar."""
+    passed = texts.sparkSession.sparkContext.broadcast(bars)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query_id, first, terms, idf = shared.value
+        best = [Best(*bar, k) for bar in passed.value]
         for ids, bodies in _shards(batches, shard_bytes):
             shard = Shard(ids, bodies, mean)
             if not len(shard.terms):
                 continue
-            out = []
-            for query in range(len(query_id)):
-                mine = slice(first[query], first[query + 1])
-                rows, scores = shard.best(terms[mine], idf[mine], k)
-                out.append((np.full(len(rows), query_id[query]), shard.ids[rows], scores))
-            query, doc, score = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-            yield pa.RecordBatch.from_arrays([pa.array(query), pa.array(doc, mask=doc == _NO_ID), pa.array(score)], ["query_id", "doc_id", "score"])
+            for block, known in zip(blocks, best):
+                query_id, first, terms, idf = block.value
+                for query in range(len(query_id)):
+                    mine = slice(first[query], first[query + 1])
+                    rows, scores = shard.best(terms[mine], idf[mine], k, known.bar_score[query])
+                    known.add(query, shard.ids[rows], scores)
+        for block, known in zip(blocks, best):
+            yield known.batch(block.value[0])
 
     return texts.mapInArrow(run, "query_id long, doc_id long, score double")
 

@@ -81,3 +81,42 @@ def test_no_rows_and_no_queries(spark):
     one = spark.createDataFrame([(1, "abc")], "query_id long, text string")
     assert topk.search(none, one).collect() == []
     assert topk.search(one.toDF("doc_id", "text"), one.where("false")).collect() == []
+
+
+def test_equal_rows_pass_no_bar_twice(spark):
+    """Copies tie: the smallest ids stay, over rounds, shards and tasks, and each task hands on k rows a query at most."""
+    rows = [(i, "bo da ki bo") for i in range(400)] + [(i, f"bo ri{i} da la") for i in range(400, 500)] + [(None, "bo da ki bo")] * 3
+    rng = random.Random(4)
+    rng.shuffle(rows)
+    queries = [(1, "bo da ki bo"), (2, "ri450 da"), (3, "la")]
+    want = brute(rows, queries, 7)
+    got = results(spark, rows, queries, 7, shard_bytes=600)
+    for query, _ in queries:
+        assert [d for d, _ in got[query]] == [d for d, _ in want[query]]
+
+
+def test_bar_leaves_out_what_cannot_be_among_the_best():
+    import numpy as np
+
+    best = topk.Best(np.array([2.0, 0.0]), np.array([50, topk._NO_ID]), 2)
+    best.add(0, np.array([49, 50, 51, 7]), np.array([2.0, 2.0, 2.0, 1.9]))
+    assert best.rows[0][0].tolist() == [49]
+    best.add(0, np.array([9, 8]), np.array([3.0, 3.0]))
+    assert best.rows[0][0].tolist() == [8, 9] and (best.bar_score[0], best.bar_doc[0]) == (3.0, 9)
+    best.add(1, np.array([1]), np.array([0.5]))
+    assert best.batch(np.array([70, 80])).to_pydict() == {"query_id": [70, 70, 80], "doc_id": [8, 9, 1], "score": [3.0, 3.0, 0.5]}
+
+
+def test_whole_lists_and_parts_of_lists_score_alike():
+    import numpy as np
+
+    texts = [r[1].encode() for r in documents(random.Random(5), 2000) if r[1]]
+    shard = topk.Shard(np.arange(len(texts)), texts, 40.0)
+    terms = np.unique(topk.word_hashes([texts[3]])[0])
+    _, full = shard.best(terms, np.ones(len(terms)), len(texts))
+    for k in (1, 5, 60):
+        rows, scores = shard.best(terms, np.ones(len(terms)), k)
+        least = np.sort(full)[-k]
+        assert sorted(scores.tolist()) == sorted(full[full >= least].tolist())
+        again, same = shard.best(terms, np.ones(len(terms)), k, least)
+        assert again.tolist() == rows.tolist() and same.tolist() == scores.tolist()
