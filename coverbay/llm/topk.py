@@ -2,11 +2,17 @@
 
 Each task indexes its documents in shards of about ``SHARD_BYTES``: postings by term, cut into blocks of
 ``BLOCK`` documents, with the largest impact of each term in each block. A query first adds up, for
-every block, the largest impacts of its terms: no document of the block can score more. Blocks are
-evaluated from the highest bound down; once k documents are known, blocks whose bound lies below the
-k-th score are skipped. This is the pivot test of block-max WAND, made for all blocks of a shard at once.
-Documents are numbered by their most frequent word and length first, so that blocks hold alike ones and
-their bounds are tight.
+every block, the largest impacts of its terms: no document of the block can score more. Blocks whose
+bound lies below the query's bar are skipped. This is the pivot test of block-max WAND, made for all blocks
+of a shard at once. Documents are numbered by their most frequent word and length first, so that
+blocks hold alike ones and their bounds are tight.
+
+A bar is the k-th best row that is known already. Documents are searched in rounds, chosen by a hash of
+the row, each ``GROWTH`` times as large as all before it; the k-th best row of the rounds before is the
+bar of the next, for all tasks. A task keeps one list of the best k over its shards. So about
+``GROWTH`` * k rows of a query reach the merge of a round, however many shards there are. Equal scores are
+told apart by id, so copies pass no bar twice. The first round has no bar; there the ``FIRST_BLOCKS``
+blocks of the highest bounds are scored first and give one.
 
 Statistics are global: the number of documents, their mean length and the terms' document frequencies
 are counted over all rows before any search, so scores from all shards compare, and the best k of the
@@ -17,14 +23,15 @@ whatever the shard, so it is the same to the last bit.
     idf = ln(1 + (documents - df + 0.5) / (df + 0.5))
 
 Words: A-Z lower-cased, then runs of digits, a-z and anything beyond ASCII; equal 64-bit hashes are
-equal words. Queries reach the tasks in blocks of at most ``QUERY_BYTES``, each with a pass of its own
-over the documents. Ties are broken by the smaller id, rows without id last. Only documents that share a
+equal words. Queries reach the tasks in blocks of at most ``QUERY_BYTES``; ``PASS_BLOCKS`` of them share a
+pass over the documents and the index of each shard. Ties are broken by the smaller id, rows without id last. Only documents that share a
 word with the query are found. NULL and empty texts are found by nothing and find nothing; queries
 without an id are ignored. Repeated rows are found each for itself.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,11 +45,12 @@ from coverbay.llm.wordhash import portions, word_hashes
 
 K1, B = 1.2, 0.75
 BLOCK = 32
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 32 << 20
 QUERY_BYTES = 32 << 20
 PASS_BLOCKS = 4  # blocks of queries for which a shard's index is built once
 FIRST_BLOCKS = 8  # blocks scored first where no bar is known
 GROWTH = 8
+FIRST_TASKS = 4
 WORD_SIZE = 6  # bytes of a word and what follows it, for the sizes of rounds only
 _NO_ID = np.iinfo(np.int64).max
 
@@ -64,18 +72,30 @@ def _heads(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(change)
 
 
+def _postings(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, word, count) by text and word, and the number of words of each text."""
+    hashes, first = word_hashes(texts)
+    length = np.diff(first)
+    terms, number = np.unique(hashes, return_inverse=True)
+    key = np.sort(np.repeat(np.arange(len(texts)), length) * np.int64(len(terms)) + number)
+    head = _heads(key)
+    text, number = np.divmod(key[head], max(1, len(terms)))
+    return text, terms[number], np.diff(np.append(head, len(key))), length
+
+
 class Shard:
     """Postings of some documents, by term and block."""
 
     def __init__(self, ids: np.ndarray, texts: list[bytes | None], mean: float):
-        hashes, first = word_hashes(texts)
-        length = np.diff(first)
+        parts, length = [], np.zeros(len(texts), np.int64)
+        for row, some in portions(texts):  # words become postings a few MB at a time
+            text, hashes, tf, words = _postings(some)
+            length[row : row + len(some)] = words
+            parts.append((text + row, hashes, tf))
+        text, hashes, tf = (np.concatenate(column) for column in zip(*parts))
+        del parts
         self.terms, number = np.unique(hashes, return_inverse=True)
-        text = np.repeat(np.arange(len(texts)), length)
-        key = np.sort(text * np.int64(len(self.terms)) + number)
-        head = _heads(key)
-        tf = np.diff(np.append(head, len(key)))
-        text, number = np.divmod(key[head], max(1, len(self.terms)))
+        del hashes
         order = self._alike(text, number, tf, length)
         self.ids = ids[order]
         place = np.empty(len(order), np.int64)
@@ -247,7 +267,9 @@ def _rounds(texts: DataFrame, size: float, shard_bytes: int) -> list[DataFrame]:
     place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
     ends = [0, *(int(share * (1 << 30)) for share in shares)]
     rounds = [texts.where((place >= low) & (place < high)) for low, high in zip(ends, ends[1:])]
-    return [rounds[0].repartition(GROWTH), *rounds[1:]] if len(rounds) > 1 else rounds
+    # small rounds are dealt to few tasks, so that shards are large: each costs a search of its own for each query
+    tasks = [max(FIRST_TASKS, math.ceil(size * share / shard_bytes)) for share in shares[:-1]]
+    return [*(part.repartition(number) for part, number in zip(rounds, tasks)), rounds[-1]]
 
 
 def _top(found: DataFrame, k: int) -> DataFrame:
