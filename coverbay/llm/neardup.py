@@ -14,9 +14,11 @@ larger ones) is ``SIMILARITY`` or more. A class is a set of texts connected by l
 3. Verification. Equal texts are one node, the smallest id that has the text. In each bucket all
    nodes are compared with the bucket's smallest one, and components are built from the links. Where a
    bucket still holds several components, the nodes outside the first one's component are compared
-   with all other nodes of the bucket, in cells of at most about ``2 * CELL`` nodes; a cell gives only
-   the links that join components. So no link between texts that share a bucket is lost, and no pairs
-   are listed within a component, however large.
+   with all other nodes of the bucket, in cells of at most about ``2 * CELL`` nodes and
+   ``2 * CELL_BYTES`` bytes of text (or two texts that are longer); a cell gives only the links that
+   join components. So no link between texts that share a bucket is lost, and no pairs are listed
+   within a component, however large. A node that meets more than ``SLICE`` others is met in several
+   tasks, each with its own copy of the node's text.
 
 Results carry ``doc_id``. NULL and empty texts: a text without words is only the copy of an equal
 text; NULL is a copy of nothing, each such row a class of its own. Rows without an id have no class.
@@ -34,7 +36,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from coverbay.llm.components import components
 from coverbay.llm.features import texts_of
-from coverbay.llm.shared import fresh, materialise
+from coverbay.llm.shared import fresh, materialise, stored
 from coverbay.llm.wordhash import mixed, portions, shingle_hashes, word_hashes
 
 SHINGLE = 5
@@ -43,6 +45,8 @@ BANDS, ROWS = 12, 4
 COMMON = 0.01
 LEAST_IDF = 0.5
 CELL = 256
+CELL_BYTES = 8 << 20
+SLICE = 256  # pairs with one node that stay together
 
 _SEEDS = mixed(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -191,18 +195,18 @@ def band_keys(found: np.ndarray, weights: Weights) -> np.ndarray | None:
 
 
 def _signed(documents: DataFrame, weights) -> DataFrame:
-    """(doc_id, digest, keys): the text's MD5 and its bucket in each band; no keys without words."""
+    """(doc_id, digest, bytes, keys): the text's MD5, length and bucket in each band; no keys without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Weights(*weights.value)
         for batch in batches:
             keys = [band_keys(found, own) for found in shingles(texts_of(batch))]
             column = pa.array([None if k is None else k for k in keys], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), column], ["doc_id", "digest", "keys"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], column], ["doc_id", "digest", "bytes", "keys"])
 
     kept = documents.where("doc_id is not null and text is not null")
-    kept = kept.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5("text")).alias("digest"), "text")
-    return kept.mapInArrow(run, "doc_id long, digest binary, keys array<long>")
+    kept = kept.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5("text")).alias("digest"), F.octet_length("text").cast("long").alias("bytes"), "text")
+    return kept.mapInArrow(run, "doc_id long, digest binary, bytes long, keys array<long>")
 
 
 def _shingled(documents: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -227,8 +231,13 @@ def _compared(pairs: DataFrame, shingled: DataFrame, weights) -> DataFrame:
             got = [similarity(own, np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) for a, b in zip(mine, theirs)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(got, pa.float64())], ["a", "b", "similarity"])
 
-    # the hot side last: its rows then carry texts, so adaptive execution sees what must be split
-    joined = pairs.join(shingled.toDF("a", "mine"), "a").join(shingled.toDF("b", "theirs"), "b")
+    pairs = materialise(pairs)
+    hot = stored(pairs.groupBy("b").agg(F.ceil(F.count("*") / SLICE).cast("int").alias("slices")).where("slices > 1"))
+    slices = F.coalesce("slices", F.lit(1))
+    sliced = pairs.join(hot, "b", "left").select("a", "b", F.pmod(F.xxhash64("a"), slices).cast("int").alias("slice"))
+    theirs = shingled.toDF("b", "theirs").join(hot, "b", "left")
+    theirs = theirs.select("b", F.explode(F.sequence(F.lit(0), slices - 1)).alias("slice"), "theirs")
+    joined = sliced.join(shingled.toDF("a", "mine"), "a").join(theirs, ["b", "slice"])
     found = joined.select("a", "b", "mine", "theirs").mapInArrow(run, "a long, b long, similarity double")
     return materialise(found.groupBy("a", "b").agg(F.max("similarity").alias("similarity")))
 
@@ -242,7 +251,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     context = documents.sparkSession.sparkContext
     weights = context.broadcast((*common_shingles(documents, rows), rows))
     signed = materialise(_signed(documents, weights))
-    nodes = materialise(signed.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("keys").alias("keys")))
+    nodes = materialise(signed.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("bytes").alias("bytes"), F.first("keys").alias("keys")))
     members = _members(nodes)
     shingled = materialise(_shingled(documents, members.select("node").distinct()))
     roots = _linked(members, shingled, weights)
@@ -272,8 +281,8 @@ def keep_one(documents: DataFrame) -> DataFrame:
 
 
 def _members(nodes: DataFrame) -> DataFrame:
-    """(band, key, node, rep) of the buckets with several nodes; rep is the smallest of them."""
-    buckets = nodes.where("keys is not null").select("node", F.posexplode("keys").alias("band", "key"))
+    """(band, key, node, bytes, rep) of the buckets with several nodes; rep is the smallest of them."""
+    buckets = nodes.where("keys is not null").select("node", "bytes", F.posexplode("keys").alias("band", "key"))
     shared = buckets.groupBy("band", "key").agg(F.min("node").alias("rep"), F.max("node").alias("last")).where("rep < last")
     return materialise(buckets.join(shared.drop("last"), ["band", "key"]))
 
@@ -304,9 +313,10 @@ def _cells(members: DataFrame, roots: DataFrame) -> DataFrame:
     be compared with those that are not.
     """
     rooted = _rooted(_rooted(members, roots, "node", "root"), roots, "rep", "rep_root")
-    rooted = rooted.select("band", "key", "node", "root", (F.col("root") == F.col("rep_root")).alias("main"))
+    rooted = rooted.select("band", "key", "node", "bytes", "root", (F.col("root") == F.col("rep_root")).alias("main"))
     rooted = materialise(rooted)
-    chunks = lambda test: F.ceil(F.count_if(test) / CELL).cast("int")
+    length = lambda test: F.coalesce(F.sum(F.when(test, F.col("bytes"))), F.lit(0))
+    chunks = lambda test: F.ceil(F.greatest(F.count_if(test) / CELL, length(test) / CELL_BYTES)).cast("int")
     sizes = rooted.groupBy("band", "key").agg(chunks(F.col("main")).alias("mains"), chunks(~F.col("main")).alias("rests"))
     dealt = rooted.join(sizes.where("rests > 0"), ["band", "key"])
     spread = F.pmod(F.xxhash64("node"), F.when(F.col("main"), F.col("mains")).otherwise(F.col("rests"))).cast("int")

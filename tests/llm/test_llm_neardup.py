@@ -137,6 +137,35 @@ def test_cells_find_links_that_the_first_node_lacks(spark, monkeypatch):
         assert sum((got - want).values()) <= 3  # pairs that share no bucket
 
 
+def test_cells_and_slices_of_any_size_give_the_same_classes(spark, monkeypatch):
+    rows = corpus(4)
+    docs = spark.createDataFrame(rows, DOCUMENTS).repartition(5)
+    monkeypatch.setattr(n, "SLICE", 3)
+    monkeypatch.setattr(n, "CELL_BYTES", 4_000)
+    got = n.near_duplicates(docs).collect()
+    assert Counter((r["doc_id"], r["class_id"]) for r in got) == brute(rows)
+
+
+def test_cells_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(n, "CELL_BYTES", 100)
+    rows = [(0, 7, i, 50, 0) for i in range(40)]
+    members = spark.createDataFrame(rows, "band int, key long, node long, bytes long, rep long")
+    cells = n._cells(members, spark.createDataFrame([], "node long, root long"))
+    held = Counter((r["kind"], r["i"], r["j"]) for r in cells.collect())
+    assert len(held) > 100 and max(held.values()) < 20
+
+
+def test_pairs_of_a_hot_node_are_all_compared(spark, monkeypatch):
+    monkeypatch.setattr(n, "SLICE", 4)
+    found = [(i, np.arange(i, i + 20, dtype=np.uint64).tobytes()) for i in range(30)]
+    shingled = spark.createDataFrame(found, "node long, found binary")
+    pairs = spark.createDataFrame([(i, 0) for i in range(1, 30)] + [(5, 4), (9, 8)], "a long, b long")
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
+    got = n._compared(pairs, shingled, spark.sparkContext.broadcast(none)).collect()
+    want = {(i, 0): max(0, 20 - i) / (40 - max(0, 20 - i)) for i in range(1, 30)} | {(5, 4): 19 / 21, (9, 8): 19 / 21}
+    assert {(r["a"], r["b"]): r["similarity"] for r in got} == pytest.approx(want)
+
+
 def test_empty(spark):
     empty = spark.createDataFrame([], DOCUMENTS)
     assert n.near_duplicates(empty).collect() == [] and n.keep_one(empty).collect() == []
