@@ -7,7 +7,8 @@ divided among the output shards by a tree: each node splits the shards it stands
 draws, without replacement, how many of each source's blocks go left. So each shard gets an exact
 number of blocks, of each source about its share, and the numbers add up exactly. A shard then draws
 its blocks from a permutation of the source's blocks, disjoint from all other shards', and shuffles
-its rows by another hash.
+its rows by another hash: ``dealt`` gives each copy's shard and its place there, by prefix sums over
+ranges of that hash, so a shard is no single task's work.
 
 A row is taken as often as the middle of its words lies on the taken part, so each source misses its
 target by half of one row at most. Sizes are words, runs of anything but space and U+0009 to U+000D.
@@ -127,11 +128,34 @@ def planned(documents: DataFrame, shards: int = SHARDS, weights: tuple[int, ...]
     return placed.select("doc_id", "size", "source_size", "target", F.size("shards").alias("copies"), "shards", *_SOURCE, "key", "tie")
 
 
+def _placed(plan: DataFrame) -> DataFrame:
+    """``plan`` with a row per copy: ``copy``, ``shard`` and ``position``, NULL where a row has none.
+
+    Positions are counted in two levels, ranges of the hash that shuffles and the copies of a range.
+    """
+    place = F.shiftrightunsigned(F.xxhash64("key", "copy", F.lit(SEED)), 1)
+    copies = plan.select("*", F.posexplode_outer("shards").alias("copy", "shard")).withColumn("place", place)
+    copies = copies.withColumn("span", F.shiftright("place", 63 - int(math.log2(BUCKETS))))
+    held = copies.where("shard is not null").groupBy("shard", "span").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("shard").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
+    starts = held.select("shard", "span", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first"))
+    inside = Window.partitionBy("shard", "span").orderBy("place", "doc_id", "tie", "copy")
+    copies = copies.withColumn("inside", F.row_number().over(inside)).join(starts, ["shard", "span"], "left")
+    return copies.withColumn("position", F.col("first") + F.col("inside") - 1).drop("place", "span", "inside", "first")
+
+
+def dealt(documents: DataFrame, shards: int = SHARDS, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
+    """One row per row: doc_id, size, source_size, target, and the copies drawn of it, (copy, shard, position)."""
+    plan = materialise(planned(documents, shards, weights, most))
+    copy = F.when(F.col("shard").isNotNull(), F.struct("copy", "shard", "position"))
+    rows = _placed(plan).groupBy("tie", "doc_id", "size", "source_size", "target").agg(F.array_sort(F.collect_list(copy)).alias("copies"))
+    return rows.drop("tie")
+
+
 def drawn(documents: DataFrame, shards: int = SHARDS, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """(doc_id, shard, position): one row per copy; position counts a shard's rows from 0, shuffled."""
-    copies = planned(documents, shards, weights, most).select("doc_id", "key", "tie", F.posexplode("shards").alias("copy", "shard"))
-    order = Window.partitionBy("shard").orderBy(F.xxhash64("key", "copy", F.lit(SEED)), "doc_id", "tie", "copy")
-    return copies.select("doc_id", "shard", (F.row_number().over(order) - 1).alias("position"))
+    copies = _placed(materialise(planned(documents, shards, weights, most)))
+    return copies.where("shard is not null").select("doc_id", "shard", "position")
 
 
 def mixed_documents(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:

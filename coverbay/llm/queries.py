@@ -75,9 +75,10 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = mixing.planned(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
-    taken = (F.col("size") * F.col("copies")).alias("taken")
-    return rows.select("doc_id", "size", "source_size", "target", taken, F.col("shards").alias("shards_of_copies"))
+    rows = mixing.dealt(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    taken = (F.col("size") * F.size("copies")).alias("taken")
+    shards, positions = F.col("copies.shard").alias("shards_of_copies"), F.col("copies.position").alias("positions_of_copies")
+    return rows.select("doc_id", "size", "source_size", "target", taken, shards, positions)
 
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

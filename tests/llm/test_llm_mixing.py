@@ -74,6 +74,21 @@ def test_drawn_rows_are_the_copies_and_positions_gapless(spark):
     assert len(places) == 8
 
 
+def test_dealt_rows_carry_the_drawn_copies(spark):
+    rows = mixture(4) + documents(random.Random(4), 0)
+    docs = spark.createDataFrame([(*r, 9) for r in rows], DOCUMENTS + ", copies int").repartition(4)
+    plan = sorted((str(r["doc_id"]), r["size"], r["target"], r["shards"]) for r in mixing.planned(docs).collect())
+    got = mixing.dealt(docs).collect()
+    assert sorted((str(r["doc_id"]), r["size"], r["target"], [c["shard"] for c in r["copies"]]) for r in got) == plan
+    assert all([c["copy"] for c in r["copies"]] == list(range(len(r["copies"]))) for r in got)
+    listed = sorted((str(r["doc_id"]), c["shard"], c["position"]) for r in got for c in r["copies"])
+    assert listed == sorted((str(r["doc_id"]), r["shard"], r["position"]) for r in mixing.drawn(docs).collect())
+    places = defaultdict(list)
+    for _, shard, position in listed:
+        places[shard].append(position)
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+
+
 def test_mixed_documents_equal_the_plan(spark):
     rows = mixture(3) + documents(random.Random(3), 0)
     docs = spark.createDataFrame([(*r, 9) for r in rows], DOCUMENTS + ", key int").repartition(4)
