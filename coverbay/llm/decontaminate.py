@@ -189,6 +189,7 @@ def _hits(texts: list[bytes | None], patterns: Patterns, most: int) -> Iterator[
 def _blocks(benchmark: DataFrame, most: int) -> list[list[tuple[str, bytes | None]]]:
     """The items in lists of at most about ``most`` bytes, one list in memory for each broadcast."""
     kept = benchmark.where(F.col("text").isNotNull()).select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text")
+    kept = kept.distinct()  # equal rows would all meet in one block
     size = kept.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     blocks = max(1, -(-2 * size // most))
     if blocks == 1:

@@ -43,6 +43,12 @@ def cases():
     return rows, items
 
 
+def test_repeated_items_fill_no_block(spark):
+    items = [(1, "some words " * 50)] * 200 + [(2, "other words"), (None, "other words"), (3, None)]
+    blocks = list(d._blocks(spark.createDataFrame(items, "item_id long, text string"), 4_000))
+    assert sorted(len(b) for b in blocks if b)[-1] <= 3 and sum(map(len, blocks)) == 3
+
+
 def found(spark, rows, items, **options):
     docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, n_words int")
     got, name = d.annotate(docs, spark.createDataFrame(items, "item_id long, text string"), **options)
