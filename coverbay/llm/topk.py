@@ -14,6 +14,13 @@ bar of the next, for all tasks. A task keeps one list of the best k over its sha
 told apart by id, so copies pass no bar twice. The first round has no bar; there the ``FIRST_BLOCKS``
 blocks of the highest bounds are scored first and give one.
 
+Where bars are known, many queries are searched at once. Most postings belong to few frequent terms, so
+their impacts are kept as a matrix too, documents by terms. A block's bound is then the sum of the
+largest impacts of the frequent terms in it, by one matrix product, and the best sum of the rare terms in
+any of its documents, whose short lists are read whole. In the blocks that are not skipped another
+product adds the frequent terms by document, and the documents that reach the bar are scored exactly from
+their own postings.
+
 Statistics are global: the number of documents, their mean length and the terms' document frequencies
 are counted over all rows before any search, so scores from all shards compare, and the best k of the
 shards' best k are the best k of all. A document's score adds its terms in the order of their hashes,
@@ -33,6 +40,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +56,11 @@ BLOCK = 32
 SHARD_BYTES = 32 << 20
 QUERY_BYTES = 32 << 20
 PASS_BLOCKS = 4  # blocks of queries for which a shard's index is built once
+FREQUENT, MOST_FREQUENT = 40, 1024  # terms of more than one in so many documents are frequent, so many at most
+TOGETHER, FEW = 512, 16  # queries whose matrix products, and whose rare terms, are made at once, at most
+CELLS = 12 << 20  # of a matrix over a shard's documents, at most
+POSTINGS = 1 << 20  # of rare terms read at once, at most, or those of one query
+SLACK = 2e-4  # above the rounding of sums of MOST_FREQUENT products in single precision
 FIRST_BLOCKS = 8  # blocks scored first where no bar is known
 GROWTH = 8
 FIRST_TASKS = 4
@@ -80,7 +93,32 @@ def _postings(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.nda
     key = np.sort(np.repeat(np.arange(len(texts)), length) * np.int64(len(terms)) + number)
     head = _heads(key)
     text, number = np.divmod(key[head], max(1, len(terms)))
-    return text, terms[number], np.diff(np.append(head, len(key))), length
+    return text.astype(np.int32), terms[number], np.diff(np.append(head, len(key))).astype(np.int32), length
+
+
+class Queries:
+    """A block of queries: their ids, and the words of each as numbers of the block's vocabulary, ascending."""
+
+    def __init__(self, ids: np.ndarray, first: np.ndarray, number: np.ndarray, terms: np.ndarray, idf: np.ndarray):
+        self.ids, self.first, self.number, self.terms, self.idf = ids, first, number, terms, idf
+
+    def words(self, query: int) -> tuple[np.ndarray, np.ndarray]:
+        """(hashes, idf) of a query's words."""
+        mine = self.number[self.first[query] : self.first[query + 1]]
+        return self.terms[mine], self.idf[mine]
+
+    def places(self, terms: np.ndarray) -> np.ndarray:
+        """The place of each word of the vocabulary among ``terms``; -1 for those that aren't."""
+        at = np.minimum(np.searchsorted(terms, self.terms), len(terms) - 1)
+        at[terms[at] != self.terms] = -1
+        return at
+
+    def within(self, places: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query - low, place, idf) of the words that have a place, of the queries from ``low`` to ``high``."""
+        number = self.number[self.first[low] : self.first[high]]
+        query, at = np.repeat(np.arange(high - low), np.diff(self.first[low : high + 1])), places[number]
+        here = at >= 0
+        return query[here], at[here], self.idf[number[here]]
 
 
 class Shard:
@@ -101,15 +139,45 @@ class Shard:
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
         sort = np.argsort(number * len(ids) + place[text])
-        number, tf, norm = number[sort], tf[sort], length[text[sort]] / mean
-        self.doc = place[text[sort]]
+        number, tf, norm = number[sort].astype(np.int32), tf[sort], length[text[sort]] / mean
+        self.doc = place[text[sort]].astype(np.int32)
+        del text, sort
         self.impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * norm))
+        del tf, norm
         entry = _heads(number, self.doc // BLOCK)
         self.entry = np.append(entry, len(number))  # postings of each term and block
-        self.entry_block = self.doc[entry] // BLOCK
-        self.entry_most = np.maximum.reduceat(self.impact, entry) if len(entry) else np.zeros(0)
         self.term_entry = np.searchsorted(number[entry], np.arange(len(self.terms) + 1))
         self.blocks = -(-len(ids) // BLOCK)
+        self._by_document(number)
+        self._frequent()
+
+    @cached_property
+    def entry_block(self) -> np.ndarray:
+        return self.doc[self.entry[:-1]] // BLOCK
+
+    @cached_property
+    def entry_most(self) -> np.ndarray:
+        return np.maximum.reduceat(self.impact, self.entry[:-1]) if len(self.impact) else np.zeros(0)
+
+    def _by_document(self, number: np.ndarray) -> None:
+        """The postings once more, by document and term."""
+        narrow = np.uint16 if len(self.ids) <= 1 << 16 else np.int32  # two bytes sort faster
+        sort = np.argsort(self.doc.astype(narrow), kind="stable")
+        self.row_number, self.row_impact = number[sort], self.impact[sort]
+        self.row_first = np.append(0, np.cumsum(np.bincount(self.doc, minlength=len(self.ids))))
+
+    def _frequent(self) -> None:
+        """Impacts of the frequent terms as a matrix, documents by terms, and their maxima by block."""
+        df = self.entry[self.term_entry[1:]] - self.entry[self.term_entry[:-1]]
+        terms = np.flatnonzero(df * FREQUENT > len(self.ids))
+        terms = terms[np.argsort(-df[terms], kind="stable")[: min(MOST_FREQUENT, CELLS // len(self.ids))]]
+        self.column = np.full(len(self.terms), -1, np.int32)
+        self.column[terms] = np.arange(len(terms))
+        self.matrix = np.zeros((self.blocks * BLOCK, len(terms)), np.float32)
+        for column, term in enumerate(terms.tolist()):
+            some = slice(self.entry[self.term_entry[term]], self.entry[self.term_entry[term + 1]])
+            self.matrix[self.doc[some], column] = self.impact[some]
+        self.most = self.matrix.reshape(self.blocks, BLOCK, len(terms)).max(1)
 
     @staticmethod
     def _alike(text: np.ndarray, number: np.ndarray, tf: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -144,6 +212,81 @@ class Shard:
         found = np.flatnonzero((score >= max(least, _kth(score, k))) & (score > 0))
         return found, score[found]
 
+    def passing(self, queries: Queries, bar: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(query, rows, scores) of all documents that score at least their query's bar, which is above 0.
+
+        Blocks are skipped by their bounds for many queries at once. Sums are in single precision and
+        so compared with some ``SLACK``; what reaches the bar with it is then scored as ``best`` does,
+        to the last bit.
+        """
+        places, weights = queries.places(self.terms), np.zeros(len(self.terms))
+        together = max(1, min(TOGETHER, CELLS // (self.blocks * BLOCK)))
+        for low in range(0, len(bar), together):
+            mine = bar[low : low + together]
+            query, at, idf = queries.within(places, low, low + len(mine))
+            first = np.searchsorted(query, np.arange(len(mine) + 1))
+            row, doc = self._likely(query, at, idf, mine * (1 - SLACK))
+            heads = _heads(row)
+            for start, end in zip(heads.tolist(), [*heads[1:].tolist(), len(row)]):
+                number = int(row[start])
+                words = slice(first[number], first[number + 1])
+                weights[at[words]] = idf[words]
+                for cut in range(start, end, 4096):
+                    rows = doc[cut : min(end, cut + 4096)]
+                    exact = self._exact(rows, weights)
+                    good = exact >= mine[number]
+                    if good.any():
+                        yield low + number, rows[good], exact[good]
+                weights[at[words]] = 0.0
+
+    def _likely(self, query: np.ndarray, at: np.ndarray, idf: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(query, row), by query, of the documents whose sum reaches ``least``, from (query, term, idf) of the words."""
+        column = self.column[at]
+        often = column >= 0
+        matrix = np.zeros((len(least), self.matrix.shape[1]), np.float32)
+        matrix[query[often], column[often]] = idf[often]
+        query, at, idf = query[~often], at[~often], idf[~often]
+        first = np.searchsorted(query, np.arange(len(least) + 1))
+        read = np.append(0, np.cumsum(self.entry[self.term_entry[at + 1]] - self.entry[self.term_entry[at]]))[first]
+        score = np.zeros((len(least), self.blocks * BLOCK), np.float32)
+        low = 0
+        while low < len(least):
+            high = max(low + 1, min(len(least), low + FEW, int(np.searchsorted(read, read[low] + POSTINGS, "right")) - 1))
+            some = slice(first[low], first[high])
+            score[low:high] = self._rare(query[some] - low, at[some], idf[some], high - low)
+            low = high
+        bound = matrix @ self.most.T + score.reshape(len(least), self.blocks, BLOCK).max(2)
+        kept = bound >= least[:, None]
+        pairs = [self._reaching(block, matrix, score, kept, least) for block in np.flatnonzero(kept.any(0)).tolist()]
+        if not pairs:
+            return (np.zeros(0, np.int32),) * 2
+        row, doc = (np.concatenate(column) for column in zip(*pairs))
+        sort = np.argsort(row, kind="stable")
+        return row[sort], doc[sort]
+
+    def _rare(self, query: np.ndarray, at: np.ndarray, idf: np.ndarray, queries: int) -> np.ndarray:
+        """Scores of all documents by these rare terms of some queries."""
+        start = self.entry[self.term_entry[at]]
+        count = self.entry[self.term_entry[at + 1]] - start
+        postings = _ranges(start, count)
+        place = np.repeat(query * (self.blocks * BLOCK), count) + self.doc[postings]
+        return np.bincount(place, np.repeat(idf, count) * self.impact[postings], queries * self.blocks * BLOCK).reshape(queries, -1)
+
+    def _reaching(self, block: int, matrix: np.ndarray, score: np.ndarray, kept: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(query, row) of the block's documents that may reach ``least``, for the queries that keep the block."""
+        query = np.flatnonzero(kept[:, block])
+        rows = slice(block * BLOCK, (block + 1) * BLOCK)
+        total = matrix[query] @ self.matrix[rows].T
+        total += score[query, rows]
+        hit, row = np.nonzero(total >= least[query, None])
+        return query[hit].astype(np.int32), (row + block * BLOCK).astype(np.int32)
+
+    def _exact(self, rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Scores of the rows for a query with these weights of all terms, added in the order of the terms."""
+        length = self.row_first[rows + 1] - self.row_first[rows]
+        postings = _ranges(self.row_first[rows], length)
+        return np.bincount(np.repeat(np.arange(len(rows)), length), weights[self.row_number[postings]] * self.row_impact[postings], len(rows))
+
     def _scores(self, at: np.ndarray, idf: np.ndarray, entries: np.ndarray, weight: np.ndarray, kept: np.ndarray) -> np.ndarray:
         """Scores of the documents in the blocks of the kept entries; where most are kept, of all.
 
@@ -278,15 +421,17 @@ def _top(found: DataFrame, k: int) -> DataFrame:
 
 
 def _block(block: DataFrame) -> tuple[np.ndarray, Broadcast]:
-    """(ids, broadcast of ids, first term of each query and the end, terms, idf) of a block of queries."""
+    """(ids, broadcast of what ``Queries`` takes) of a block of queries."""
     table = block.toArrow()
     sizes = np.array([len(x) for x in table.column("terms")], np.int64)
     flat = table.column("terms").combine_chunks().flatten() if table.num_rows else None
     terms = flat.field("term").to_numpy().view(np.uint64) if flat is not None else np.zeros(0, np.uint64)
     idf = flat.field("idf").to_numpy() if flat is not None else np.zeros(0)
-    sort = np.lexsort((terms, np.repeat(np.arange(len(sizes)), sizes)))
+    terms, one, number = np.unique(terms, return_index=True, return_inverse=True)
+    idf = idf[one]  # a word has one idf
+    number = number[np.lexsort((number, np.repeat(np.arange(len(sizes)), sizes)))].astype(np.int32)
     ids = table.column("query_id").to_numpy()
-    return ids, block.sparkSession.sparkContext.broadcast((ids, np.append(0, np.cumsum(sizes)), terms[sort], idf[sort]))
+    return ids, block.sparkSession.sparkContext.broadcast((ids, np.append(0, np.cumsum(sizes)), number, terms, idf))
 
 
 def _bars(best: DataFrame | None, held: list[tuple[np.ndarray, Broadcast]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -328,10 +473,13 @@ def _searched(texts: DataFrame, blocks: list[Broadcast], bars: list[tuple[np.nda
             if not len(shard.terms):
                 continue
             for block, known in zip(blocks, best):
-                query_id, first, terms, idf = block.value
-                for query in range(len(query_id)):
-                    mine = slice(first[query], first[query + 1])
-                    rows, scores = shard.best(terms[mine], idf[mine], k, known.bar_score[query])
+                queries = Queries(*block.value)
+                bar = known.bar_score.copy()
+                for query in np.flatnonzero(bar <= 0.0).tolist():
+                    rows, scores = shard.best(*queries.words(query), k)
+                    known.add(query, shard.ids[rows], scores)
+                bar[bar <= 0.0] = np.inf  # those are done
+                for query, rows, scores in shard.passing(queries, bar):
                     known.add(query, shard.ids[rows], scores)
         for block, known in zip(blocks, best):
             yield known.batch(block.value[0])

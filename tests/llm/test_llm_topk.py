@@ -120,3 +120,60 @@ def test_whole_lists_and_parts_of_lists_score_alike():
         assert sorted(scores.tolist()) == sorted(full[full >= least].tolist())
         again, same = shard.best(terms, np.ones(len(terms)), k, least)
         assert again.tolist() == rows.tolist() and same.tolist() == scores.tolist()
+
+
+def queries_of(texts):
+    import numpy as np
+
+    parts = [np.unique(topk.word_hashes([text])[0]) for text in texts]
+    terms, number = np.unique(np.concatenate(parts), return_inverse=True)
+    idf = np.random.default_rng(6).uniform(0.1, 3.0, len(terms))
+    first = np.append(0, np.cumsum([len(part) for part in parts]))
+    return topk.Queries(np.arange(len(texts)), first, number, terms, idf)
+
+
+@pytest.mark.parametrize("limits", [{}, {"FREQUENT": 1}, {"FREQUENT": 10**6}, {"MOST_FREQUENT": 3, "TOGETHER": 7, "FEW": 2}, {"CELLS": 4096}, {"FREQUENT": 1, "POSTINGS": 3000}])
+def test_many_queries_at_once_score_as_one(limits, monkeypatch):
+    """What reaches the bars is the same to the last bit, whatever terms count as frequent and however queries are cut."""
+    import numpy as np
+
+    for name, value in limits.items():
+        monkeypatch.setattr(topk, name, value)
+    texts = [r[1].encode() for r in documents(random.Random(7), 1500) if r[1]]
+    texts[40:80] = [texts[3]] * 40  # copies tie at the bar
+    shard = topk.Shard(np.arange(len(texts)), texts, 40.0)
+    queries = queries_of([*texts[:60], b"zz yy"])
+    one = [dict(zip(*(x.tolist() for x in shard.best(*queries.words(q), len(texts))))) for q in range(61)]
+    bar = np.array([sorted(scores.values())[-min(len(scores), 1 + 7 * q)] if scores else 1.0 for q, scores in enumerate(one)])
+    got = [{} for _ in one]
+    for query, rows, scores in shard.passing(queries, bar):
+        got[query].update(zip(rows.tolist(), scores.tolist()))
+    assert got == [{row: x for row, x in scores.items() if x >= least} for scores, least in zip(one, bar)]
+    bar[:] = np.inf
+    assert list(shard.passing(queries, bar)) == []
+
+
+def test_searches_with_bars_read_few_postings(monkeypatch):
+    """Once bars are known, only rare terms' lists and the documents that reach a bar are read, and blocks below it are skipped."""
+    import numpy as np
+
+    texts = [r[1].encode() for r in documents(random.Random(8), 3000) if r[1] and r[0] is not None and r[0] < 3000]
+    shard = topk.Shard(np.arange(len(texts)), texts, 40.0)
+    queries = queries_of(texts[:40])
+    bar = np.array([np.sort(shard.best(*queries.words(q), 5)[1])[-5] for q in range(40)])
+    seen, blocks, plain, reaching = [], [], topk._ranges, topk.Shard._reaching
+
+    def counted(start, length):
+        seen.append(int(length.sum()))
+        return plain(start, length)
+
+    def scored(self, block, matrix, score, kept, least):
+        blocks.append(int(kept[:, block].sum()))
+        return reaching(self, block, matrix, score, kept, least)
+
+    monkeypatch.setattr(topk, "_ranges", counted)
+    monkeypatch.setattr(topk.Shard, "_reaching", scored)
+    assert {query for query, _, _ in shard.passing(queries, bar)} == set(range(40))
+    _, at, _ = queries.within(queries.places(shard.terms), 0, 40)
+    assert sum(seen) < 0.1 * (shard.entry[shard.term_entry[at + 1]] - shard.entry[shard.term_entry[at]]).sum()
+    assert sum(blocks) < 0.9 * 40 * shard.blocks
