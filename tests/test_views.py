@@ -215,6 +215,59 @@ def test_repeated_ids_count_once(repeated, name):
     assert same(views.BUILDERS[name](star), con, name) > 20
 
 
+def shuffled_rows(df):
+    """Rows that the exchanges of ``df`` wrote, after it ran without adaptive execution."""
+    df.collect()
+    plans, rows = [df._jdf.queryExecution().executedPlan()], 0
+    while plans:
+        node = plans.pop()
+        if node.nodeName() == "Exchange":
+            rows += node.metrics().apply("shuffleRecordsWritten").value()
+        plans += [node.children().apply(i) for i in range(node.children().size())]
+    return rows
+
+
+def test_claims_of_a_policy_in_many_segments_are_few_rows(spark):
+    """Its claims would be 30,000 rows if each met each segment; the last bit of a word counts too."""
+    states = [None, *[f"S{i:03d}" for i in range(149)]]
+    facts = [("P1", "AUTO_FULL", state, *fact("P1", 20240101, 20241231)[3:]) for state in states]
+    facts.append(("P2", "AUTO_FULL", "S007", *facts[0][3:]))
+    claim = ("X", "X", "ZZ", "ZZ", "Theft", "Paid", False, 20240210, 20240210, None, None, *[money(5)] * 3)
+    claims = [(f"K{i}", "P1", *claim) for i in range(200)] + [("K0", "P2", *claim), ("K900", "P2", *claim), (None, "P2", *claim)]
+    star = small_star(spark, facts, claims=claims)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        view = views.claims_loss(star)
+        assert shuffled_rows(view) < 10_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    found = row_set(view, "state_code", "exposed_policies", "claim_count", "total_losses", "total_premium")
+    both = ("S007", 2, 201, money("1015.00"), money(120 * 203))
+    alone = [(state, 1, 200, money("1000.00"), money(120 * 200)) for state in states if state != "S007"]
+    assert found == sorted([*alone, both], key=lambda r: [(v is not None, str(v)) for v in r])
+
+
+@pytest.mark.parametrize("by", [[], ["line_of_business"], ["state_code", "region_code"], ["product_key"]])
+def test_repeated_ids_count_once_over_years_and_coarser_segments(repeated, by):
+    star, _ = repeated
+    calendar = Calendar.of(star["dim_time"])
+    lines = {r.product_key: r.line_of_business for r in star["dim_products"].collect()}
+    held, exposed, counted = {}, {}, {}
+    for policy in star["fact_policies"].collect():
+        values = {**policy.asDict(), "line_of_business": lines.get(policy.product_key)}
+        held.setdefault(policy.policy_id, set()).add(tuple(values[name] for name in by))
+    first, last = calendar.key_range()
+    for claim in star["fact_claims"].collect():
+        if first <= claim.incident_date_key <= last:
+            for segment in held.get(claim.policy_id, ()) if claim.policy_id else ():
+                exposed.setdefault(segment, set()).add(claim.policy_id)
+                counted.setdefault(segment, set()).update({claim.claim_id} - {None})
+    expected = [(*segment, len(ids), len(counted[segment])) for segment, ids in exposed.items()]
+    view = views.claims_over(star, by, "year", calendar)
+    assert row_set(view, *by, "exposed_policies", "claim_count") == sorted(expected, key=lambda r: [(v is not None, str(v)) for v in r])
+
+
 def test_counting_ids_or_rows_is_the_same_where_ids_are_unique(both):
     star, _ = both
     for name, build in views.BUILDERS.items():
