@@ -12,7 +12,7 @@ from coverbay.plans import catalogue, views
 from coverbay.sources import staging
 from tests.tables import row_set
 
-STAGED = ["claims_loss_repeated_ids", "claims_by_year_repeated_ids", "quality_dirty"]
+STAGED = ["claims_loss_repeated_ids", "claims_by_year_repeated_ids", "quality_dirty", "quality_loaded"]
 
 
 @pytest.fixture(scope="module")
@@ -61,6 +61,7 @@ def test_staged_queries_return_the_same_complete_rows(spark, tables, name, monke
     [
         ("claims_by_year_repeated_ids", views, "claims_over"),
         ("quality_dirty", quality, "check_tables"),
+        ("quality_loaded", views, "build_views"),
     ],
 )
 def test_jobs_read_staged_tables_instead_of_joining_again(spark, tables, name, module, check, monkeypatch, tmp_path):
